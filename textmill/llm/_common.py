@@ -5,8 +5,11 @@ Tokens are hashed in bulk with NumPy straight from the UTF-8 buffer of an Arrow
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once a session: they need not have it installed."""
+    sc = spark.sparkContext
+    if any("textmill-" in str(f) for f in sc.listFiles):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = os.path.join(tempfile.mkdtemp(), f"textmill-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("textmill", os.path.relpath(path, root)))
+    sc.addPyFile(out)
+
+
+def arrow_map(df: DataFrame, f: Callable, schema) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(f, schema)
+
+
 def text_buffers(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mix import mix
+from .near_dup import near_duplicates
+from .secrets import find_secrets
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,8 +15,18 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def queries() -> dict:
-    return {"op1_mix_sources": op1_mix_sources}
+    return {f.__name__: f for f in (op1_mix_sources, op7_minhash_near_dedup, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
