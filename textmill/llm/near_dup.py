@@ -5,11 +5,13 @@
 2. Inverted lists of retained values: values are ordered by how many classes retain them, rarest first, and each class
    is listed under just enough of its rarest values that two classes which share the values a linked pair must share
    meet in a list. Common passages sort last and so build no lists for texts that hold anything else.
-3. In each list every member is compared with the list's smallest class; confirmed links merge classes. Lists that
-   still hold more than one component are then finished by comparing blocks of members across components, a matrix
-   product per block pair, so no list is capped and no pair inside a component is ever made.
-4. A pair goes on if the bottom-k of the sketches' union puts its similarity within reach, and counts if the exact
-   Jaccard similarity of the full sets is 0.75 or more.
+3. Two classes of one list whose similarity, read off the bottom-k of the sketches' union, is within reach of 0.75 fall
+   in one bundle. In each list the members are first compared with the smallest class; lists that still hold more than
+   one bundle are finished by blocks of members, a matrix product per block pair that yields only the pairs which join
+   bundles. No list is capped, and no list's pairs are written out.
+4. Inside each bundle, blocks of members are compared on their full shingle sets, again by matrix products over the
+   shingles that occur twice; similarity of 0.75 or more is a link, and a cell yields a spanning forest of its links.
+   Components of those are the result.
 """
 
 from __future__ import annotations
@@ -25,9 +27,11 @@ from pyspark.sql import types as T
 from ._common import arrow_map, components, mix64, shingle_sets, text_chunks, written
 
 SKETCH = 64
-NEED = 30  # values a linked pair shares in two sketches of 64: mean 48, standard deviation 3.5, so 5 deviations below
+NEED = 34  # values a linked pair shares in two sketches of 64: mean 48, standard deviation 3.5, so 4 deviations below
+REACH = 0.54  # least estimate that goes on to the exact test: as many deviations below 0.75
 BLOCK = 128
 
+PAIRS = "a long, b long"
 SIGNED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
     T.StructField("set_lo", T.LongType()), T.StructField("set_hi", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType())),
@@ -62,92 +66,153 @@ def prefix_length(n: np.ndarray | int, k: int = SKETCH, need: int = NEED, percen
     return np.minimum(n, k) - np.minimum(-(-n * percent // 100), need) + 1
 
 
-def estimate(a: np.ndarray, b: np.ndarray, k: int = SKETCH) -> float:
-    """Jaccard similarity read off the k smallest values of two sorted sketches' union."""
-    both = np.intersect1d(a, b, assume_unique=True)
-    union = np.union1d(a, b)
-    last = union[min(k, len(union)) - 1]
-    return float((both <= last).sum()) / min(k, len(union))
+def estimates(sketches: list[np.ndarray], others: list[np.ndarray], shared: np.ndarray, n: np.ndarray, m: np.ndarray, k: int = SKETCH) -> np.ndarray:
+    """Jaccard similarity of each pair of sorted sketches, read off the values up to the smaller of their last ones.
+
+    Both sketches are whole up to there, as is their union; where neither set is larger than its sketch it is exact.
+    """
+    inf = np.uint64(0xFFFFFFFFFFFFFFFF)
+    last = np.array([inf if c <= k else x[-1] for x, c in zip(sketches, n)], np.uint64)
+    other = np.array([inf if c <= k else x[-1] for x, c in zip(others, m)], np.uint64)
+    a = np.array([np.searchsorted(x, other, "right") for x in sketches]).reshape(len(sketches), len(others))
+    b = np.array([np.searchsorted(x, last, "right") for x in others]).reshape(len(others), len(sketches)).T
+    return shared / np.maximum(1, a + b - shared)
 
 
-def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _estimated(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sides = []
         for c in (2, 3):
-            sets = []
-            for _, _, raw, offs in text_chunks(batch.column(c)):
-                sets += shingle_sets(raw, offs, words)
-            sides.append(sets)
+            col = batch.column(c)
+            sides.append((col.values.to_numpy(zero_copy_only=False).view(np.uint64), col.offsets.to_numpy()))
+        (va, oa), (vb, ob) = sides
+        n, m = batch.column(4).to_numpy(), batch.column(5).to_numpy()
         ok = []
-        for x, y in zip(*sides):
-            inter = len(np.intersect1d(x, y, assume_unique=True))
-            ok.append(100 * inter >= percent * (len(x) + len(y) - inter))
+        for i in range(batch.num_rows):
+            x, y = va[oa[i] : oa[i + 1]], vb[ob[i] : ob[i + 1]]
+            shared = np.array([[len(np.intersect1d(x, y, assume_unique=True))]])
+            ok.append(estimates([x], [y], shared, n[i : i + 1], m[i : i + 1])[0, 0] >= least)
         mask = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
 
-PAIRS = "a long, b long"
+def _sides(batch: pa.RecordBatch, array: str, *fields: str) -> list[list]:
+    """For the list columns l and r of a cell: row bounds, the fields of their structs, bounds and values of their arrays."""
+    out = []
+    for name in ("l", "r"):
+        col = batch.column(name)
+        m = col.values
+        held = m.field(array)
+        out.append([col.offsets.to_numpy(), [m.field(f).to_numpy() for f in fields], held.offsets.to_numpy(), held.values.to_numpy()])
+    return out
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose full shingle sets reach the similarity."""
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    both = (
-        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        .select("a", "b", "ta", "tb")
-    )
-    return arrow_map(both, lambda x: _verify(x, words, percent), PAIRS)
+def _cell(sides: list[list], i: int) -> list[list]:
+    out = []
+    for rows, fields, at, values in sides:
+        x, y = rows[i], rows[i + 1]
+        out.append([*(f[x:y] for f in fields), np.diff(at[x : y + 1]), values[at[x] : at[y]]])
+    return out
 
 
-def _estimated(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sides = []
-        for c in (2, 3):
-            col = batch.column(c)
-            sides.append((col.values.to_numpy(zero_copy_only=False).view(np.uint64), col.offsets.to_numpy()))
-        (va, oa), (vb, ob) = sides
-        ok = [estimate(va[oa[i] : oa[i + 1]], vb[ob[i] : ob[i + 1]]) >= least for i in range(batch.num_rows)]
-        mask = pa.array(ok, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+def _shared(sizes: np.ndarray, values: np.ndarray, left: int, columns: int = 8192) -> np.ndarray:
+    """How many values the first `left` sets share with each of the others; sets lie one after the other in values."""
+    distinct, col, n = np.unique(values, return_inverse=True, return_counts=True)
+    rank = np.cumsum(n > 1) - 1
+    twice = n[col] > 1
+    row, col = np.repeat(np.arange(len(sizes)), sizes)[twice], rank[col[twice]]
+    out = np.zeros((left, len(sizes) - left), np.float32)
+    for c in range(0, int(rank[-1]) + 1 if len(rank) else 0, columns):
+        part = (col >= c) & (col < c + columns)
+        seen = np.zeros((len(sizes), columns), np.float32)
+        seen[row[part], col[part] - c] = 1
+        out += seen[:left] @ seen[left:].T
+    return out
+
 
+def _out(a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(a, np.int64)), pa.array(np.asarray(b, np.int64))], names=["a", "b"])
 
-def _cross(batches: Iterator[pa.RecordBatch], need: int) -> Iterator[pa.RecordBatch]:
-    """Pairs across components and between (or within) two blocks of one list that share enough retained values."""
+
+def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs within reach between two blocks of one list, as many as join its bundles."""
     for batch in batches:
         a, b = [], []
-        sides = []
-        for name in ("l", "r"):
-            col = batch.column(name)
-            m = col.values
-            sketch = m.field("sketch")
-            sides.append((col.offsets.to_numpy(), *(m.field(f).to_numpy() for f in ("cls", "component", "n_shingles")), sketch.offsets.to_numpy(), sketch.values.to_numpy()))
-        for i, same in enumerate(batch.column("same").to_pylist()):
-            got = []
-            for rows, cls, comp, n, at, values in sides:
-                x, y = rows[i], rows[i + 1]
-                got.append((cls[x:y], comp[x:y], n[x:y], np.diff(at[x : y + 1]), values[at[x] : at[y]]))
-            (lc, lk, ln, ll, lv), (rc, rk, rn, rl, rv) = got
-            distinct, col = np.unique(np.concatenate([lv, rv]), return_inverse=True)
-            seen = np.zeros((len(lc) + len(rc), len(distinct)), np.float32)
-            seen[np.repeat(np.arange(len(seen)), np.concatenate([ll, rl])), col] = 1
-            shared = seen[: len(lc)] @ seen[len(lc) :].T
+        sides = _sides(batch, "sketch", "cls", "bundle", "n_shingles")
+        for i in range(batch.num_rows):
+            (lc, lk, ln, ll, lv), (rc, rk, rn, rl, rv) = _cell(sides, i)
+            shared = _shared(np.concatenate([ll, rl]), np.concatenate([lv, rv]), len(lc))
             least, most = np.minimum(ln[:, None], rn), np.maximum(ln[:, None], rn)
-            ok = (lk[:, None] != rk) & (shared >= np.minimum(-(-least * 3 // 4), need)) & (100 * least >= 75 * most)
-            if same:
-                ok &= lc[:, None] < rc
-            x, y = np.nonzero(ok)
-            a.append(np.minimum(lc[x], rc[y]))
-            b.append(np.maximum(lc[x], rc[y]))
-        cat = lambda v: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays([cat(a), cat(b)], names=["a", "b"])
+            ok = (lk[:, None] != rk) & (shared >= np.minimum(-(-least * 3 // 4), NEED)) & (100 * least >= 75 * most)
+            if not ok.any():
+                continue
+            cut = lambda v, w: np.split(v.view(np.uint64), np.cumsum(w)[:-1])
+            x, y = np.nonzero(ok & (estimates(cut(lv, ll), cut(rv, rl), shared, ln, rn) >= REACH))
+            _, one = np.unique(np.stack([np.minimum(lk[x], rk[y]), np.maximum(lk[x], rk[y])]), axis=1, return_index=True)
+            root: dict[int, int] = {}
+
+            def top(k: int, root=root) -> int:
+                while (up := root.get(k, k)) != k:
+                    k = up
+                return k
+
+            for t in one:
+                p, q = top(int(lk[x[t]])), top(int(rk[y[t]]))
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    a.append(lc[x[t]])
+                    b.append(rc[y[t]])
+        yield _out(a, b)
+
+
+def _exact(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Spanning forest of the links between two blocks of one bundle, found on full sets."""
+    for batch in batches:
+        a, b = [], []
+        sides = _sides(batch, "set", "cls")
+        for i in range(batch.num_rows):
+            (lc, ll, lv), (rc, rl, rv) = _cell(sides, i)
+            shared = _shared(np.concatenate([ll, rl]), np.concatenate([lv, rv]), len(lc))
+            link = 100 * shared >= percent * (ll[:, None] + rl - shared)
+            lab_l, lab_r = lc.copy(), rc.copy()
+            far = np.iinfo(np.int64).max
+            while True:
+                new_r = np.minimum(lab_r, np.where(link, lab_l[:, None], far).min(0, initial=far))
+                new_l = np.minimum(lab_l, np.where(link, new_r, far).min(1, initial=far))
+                if (new_l == lab_l).all() and (new_r == lab_r).all():
+                    break
+                lab_l, lab_r = new_l, new_r
+            for c, lab in ((lc, lab_l), (rc, lab_r)):
+                a += list(lab[c != lab])
+                b += list(c[c != lab])
+        yield _out(a, b)
+
+
+def _cells(rows: DataFrame, key: str, member) -> DataFrame:
+    """(l, r): every pair of blocks of a key's members, a block with itself too. rows: key, cls, blocks and the member's fields."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    rows = rows.select(key, member.alias("m"), "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select(key, F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), (F.col("block") <= F.col("other")).alias("is_l"), "m")
+    cells = rows.groupBy(key, "p", "q").agg(F.collect_list(F.when(F.col("is_l"), F.col("m"))).alias("l"), F.collect_list(F.when(~F.col("is_l"), F.col("m"))).alias("r"))
+    return cells.select("l", F.when(F.col("p") == F.col("q"), F.col("l")).otherwise(F.col("r")).alias("r"))
+
+
+SETS = "cls long, set array<long>"
+
+
+def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, j, raw, offs in text_chunks(batch.column(1)):
+            sets = shingle_sets(raw, offs, words)
+            at = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64)))], names=["cls", "set"])
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document.
 
     Texts that are null or without words have an empty set and link with nothing; a text of fewer than `words` words is
-    one shingle. Repeated doc_ids are one document if their sets are equal (each row is returned). A null doc_id keeps
+    one shingle. Repeated rows are one document and are all returned; rows that share a doc_id are taken to share the text. A null doc_id keeps
     its row with a null component and kept true. Only doc_id and text are read. An empty table gives no rows.
     """
     sig = written(signatures(docs, words), "signatures")
@@ -170,26 +235,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
         written(pairs, "star").join(sk.select(F.col("id").alias("a"), F.col("sketch").alias("sa"), "n"), "a")
         .where("100 * least(n, n_shingles) >= 75 * greatest(n, n_shingles)")
         .join(sk.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
-        .select("a", "b", "sa", "sb")
+        .select("a", "b", "sa", "sb", "n", "n_shingles")
     )
-    reached = written(arrow_map(pairs, lambda x: _estimated(x, 0.5), PAIRS), "reached")
-    links = written(verified(reached, docs, words, percent), "links")
-    comp = components(links)
+    reached = written(arrow_map(pairs, lambda x: _estimated(x, REACH), PAIRS), "reached")
+    bundles = components(reached)
 
-    now = lists.join(comp, lists["cls"] == comp["id"], "left").select("value", "cls", "n_shingles", F.coalesce("component", "cls").alias("component"))
+    now = lists.join(bundles, lists["cls"] == bundles["id"], "left").select("value", "cls", "n_shingles", F.coalesce("component", "cls").alias("bundle"))
     now = written(now, "members")
-    open_ = now.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi")
-    open_ = written(open_.withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK))).drop("lo", "hi", "n"), "open")
-    rows = now.join(open_, "value").join(classes.select("cls", "sketch"), "cls")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-    # one row a member and block pair: (its block, every block), lower block first
-    rows = rows.select("value", F.struct("cls", "component", "n_shingles", "sketch").alias("m"), "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("value", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), (F.col("block") <= F.col("other")).alias("is_l"), "m")
-    cells = rows.groupBy("value", "p", "q").agg(F.collect_list(F.when(F.col("is_l"), F.col("m"))).alias("l"), F.collect_list(F.when(~F.col("is_l"), F.col("m"))).alias("r"))
-    cells = cells.select(F.col("l"), F.when(F.col("p") == F.col("q"), F.col("l")).otherwise(F.col("r")).alias("r"), (F.col("p") == F.col("q")).alias("same"))
-    more = written(arrow_map(cells, lambda x: _cross(x, NEED), PAIRS).distinct(), "cross")
+    open_ = now.groupBy("value").agg(F.min("bundle").alias("lo"), F.max("bundle").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi")
+    open_ = written(open_.select("value", F.ceil(F.col("n") / F.lit(BLOCK)).alias("blocks")), "open")
+    cells = _cells(now.join(open_, "value").join(classes.select("cls", "sketch"), "cls"), "value", F.struct("cls", "bundle", "n_shingles", "sketch"))
+    more = written(arrow_map(cells, _cross, PAIRS).distinct(), "cross")
     if not more.isEmpty():
-        comp = components(links.unionByName(verified(more, docs, words, percent)))
+        bundles = components(reached.unionByName(more))
+
+    sized = written(bundles.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks")), "bundles")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(bundles, "id").select("id", "text")
+    sets = written(arrow_map(texts, lambda x: _sets(x, words), SETS).dropDuplicates(["cls"]), "full-sets")
+    rows = bundles.join(sized, "component").withColumnRenamed("id", "cls").join(sets, "cls")
+    comp = components(arrow_map(_cells(rows, "component", F.struct("cls", "set")), lambda x: _exact(x, percent), PAIRS))
     of = comp.select(F.col("id").alias("cls"), "component")
     classes_of = written(written(member.select("n_shingles", "set_lo", "set_hi", "cls"), "sets").join(of, "cls", "left"), "classes-of")
     out = sig.drop("sketch").join(classes_of, ["n_shingles", "set_lo", "set_hi"])
