@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .mix import mix
 from .near_dup import near_duplicates
+from .pii import find_pii
 from .secrets import find_secrets
+from .warc import page_records, resolve_revisits
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +17,40 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits of all pages; see warc.page_records for the crawl they stand for."""
+    out = resolve_revisits(page_records(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    entries = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return out.select("record_id", "canon", "response_id", "resolved", "reason", F.array_join(entries, "; ").alias("headers"))
+
+
+OP5_SQL = r"""
+WITH cut AS (SELECT page_id, md5(coalesce(html, '')) AS md5, regexp_replace(regexp_replace(trim(url, ' '), '#.*$', ''), '^(?i)https?://', '') AS bare FROM pages),
+split AS (SELECT *, CASE WHEN strpos(bare, '?') > 0 THEN left(bare, strpos(bare, '?') - 1) ELSE bare END AS place,
+  CASE WHEN strpos(bare, '?') > 0 THEN substr(bare, strpos(bare, '?') + 1) ELSE '' END AS q FROM cut),
+parts AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(place, '^[^/]*')), '^.*@', ''), ':(80|443)$', ''), '^www\.', '') AS host,
+  regexp_replace(regexp_extract(place, '/.*$'), '/+$', '') AS path,
+  array_to_string(list_sort(list_filter(string_split(q, '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(?i)(utm_[a-z]+|gclid|fbclid|ref|sessionid|phpsessid)(=|$)'))), '&') AS query FROM split),
+p AS (SELECT page_id, md5, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canon,
+  CASE WHEN page_id % 7 <> 3 THEN '"' || md5 || '"' END AS etag, CASE WHEN page_id % 7 <> 3 THEN page_id // 10 END AS modified, CASE WHEN page_id % 5 <> 4 THEN md5 END AS digest FROM parts),
+joined AS (SELECT v.*, r.page_id AS rid, r.etag AS r_etag, r.modified AS r_modified, r.digest AS r_digest FROM p v
+  ASOF LEFT JOIN p r ON v.canon = r.canon AND v.page_id + 100000 >= r.page_id),
+verdict AS (SELECT *, CASE WHEN coalesce(canon, '') = '' THEN 'no url' WHEN rid IS NULL THEN 'no earlier response'
+  WHEN etag IS NOT NULL AND r_etag IS NOT NULL THEN CASE WHEN etag <> r_etag THEN 'validators differ' END
+  WHEN modified IS NOT NULL AND r_modified IS NOT NULL THEN CASE WHEN modified <> r_modified THEN 'validators differ' END
+  WHEN digest IS NOT NULL AND r_digest IS NOT NULL THEN CASE WHEN digest <> r_digest THEN 'validators differ' END
+  ELSE 'no validator' END AS reason FROM joined)
+SELECT page_id * 2 + 1 AS record_id, canon, CASE WHEN reason IS DISTINCT FROM 'no url' THEN rid * 2 END AS response_id, reason IS NULL AS resolved, reason,
+  CASE WHEN reason IS NULL THEN 'content-type=text/html; date=again' || page_id || '; x-cache=full' ELSE 'date=again' || page_id END AS headers
+FROM verdict
+"""
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -26,8 +62,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mix_sources, op7_minhash_near_dedup, op10_secrets)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op5_warc_revisits, op7_minhash_near_dedup, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc_revisits": OP5_SQL}
