@@ -9,6 +9,7 @@ from .mix import mix
 from .near_dup import near_duplicates
 from .pii import find_pii
 from .secrets import find_secrets
+from .toxicity import score_toxicity
 from .warc import page_records, resolve_revisits
 
 
@@ -51,6 +52,11 @@ FROM verdict
 """
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    return score_toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -62,7 +68,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op5_warc_revisits, op7_minhash_near_dedup, op10_secrets)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op5_warc_revisits, op6_toxicity, op7_minhash_near_dedup, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
