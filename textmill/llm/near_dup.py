@@ -29,7 +29,7 @@ from ._common import arrow_map, components, mix64, shingle_sets, text_chunks, wr
 SKETCH = 64
 NEED = 34  # values a linked pair shares in two sketches of 64: mean 48, standard deviation 3.5, so 4 deviations below
 REACH = 0.54  # least estimate that goes on to the exact test: as many deviations below 0.75
-BLOCK = 128
+BLOCK = 512
 
 PAIRS = "a long, b long"
 SIGNED = T.StructType([
