@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .langid import predict_language
 from .mix import mix
 from .near_dup import near_duplicates
 from .pii import find_pii
@@ -23,6 +24,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    return predict_language(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revisits of all pages; see warc.page_records for the crawl they stand for."""
     out = resolve_revisits(page_records(spark.read.parquet(f"{sf_dir}/pages.parquet")))
@@ -68,7 +74,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op5_warc_revisits, op6_toxicity, op7_minhash_near_dedup, op10_secrets)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op4_language, op5_warc_revisits, op6_toxicity, op7_minhash_near_dedup, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
