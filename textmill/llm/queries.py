@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .langid import predict_language
+from .line_dedup import dedup_lines
 from .mix import mix
 from .near_dup import near_duplicates
 from .pii import find_pii
@@ -68,13 +69,19 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their later repeated runs; the text as its length and MD5."""
+    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return out.select("doc_id", "n_words", "n_runs", "n_deleted", F.length("text").cast("long").alias("n_chars_left"), F.md5("text").alias("text_md5"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     return find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op4_language, op5_warc_revisits, op6_toxicity, op7_minhash_near_dedup, op10_secrets)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op4_language, op5_warc_revisits, op6_toxicity, op7_minhash_near_dedup, op8_line_dedup, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
