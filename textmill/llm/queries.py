@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contaminated
 from .langid import predict_language
 from .line_dedup import dedup_lines
 from .mix import mix
@@ -25,6 +26,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items found in all documents."""
+    return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents."""
     return predict_language(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -81,7 +87,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op4_language, op5_warc_revisits, op6_toxicity, op7_minhash_near_dedup, op8_line_dedup, op10_secrets)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op3_decontaminate, op4_language, op5_warc_revisits, op6_toxicity, op7_minhash_near_dedup, op8_line_dedup, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
