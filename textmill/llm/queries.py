@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated
+from .embedding_dup import link_embeddings
 from .langid import predict_language
 from .line_dedup import dedup_lines
 from .mix import mix
@@ -81,13 +82,18 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_runs", "n_deleted", F.length("text").cast("long").alias("n_chars_left"), F.md5("text").alias("text_md5"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return link_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     return find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op3_decontaminate, op4_language, op5_warc_revisits, op6_toxicity, op7_minhash_near_dedup, op8_line_dedup, op10_secrets)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_pii, op3_decontaminate, op4_language, op5_warc_revisits, op6_toxicity, op7_minhash_near_dedup, op8_line_dedup, op9_embedding_near_dedup, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
