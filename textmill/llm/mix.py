@@ -41,8 +41,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most:
     )
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 20, slice_rows: int = 256) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, taken.
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 20, slice_rows: int = 256, keep_source: bool = False) -> DataFrame:
+    """One row per input row: doc_id, size, source_size, target, taken, and source with keep_source.
 
     size: number of words (null or blank text: 0). taken: words the mix takes from the document, repeats counted: whole
     epochs of the source first, then documents in hash-key order up to the exact budget, where the last one is cut.
@@ -76,4 +76,4 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - epochs * F.col("source_size")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return rows.select("doc_id", *["source"] * keep_source, "size", "source_size", "target", taken.cast("long").alias("taken"))
