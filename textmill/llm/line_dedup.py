@@ -77,7 +77,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for b in wanted[r].as_py():
                     part = own[b * BLOCK : (b + 1) * BLOCK]
                     if len(part):
-                        for c, v in zip(out, (ids[r], b, len(own), part.tobytes())):
+                        for c, v in zip(out, (ids[r], b, len(own), part.astype(np.uint32).tobytes())):
                             c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["src", "block", "n_src", "hashes"])
 
@@ -87,10 +87,11 @@ def repeated(own: np.ndarray, doc: int, matches: list[dict], least: int, spare:
 
     matches: src, diag (own word - earlier word), block, n_src, hashes. A run may overlap the earlier one in the same text.
     """
+    own = own.astype(np.uint32)
     seen: dict[tuple[int, int], np.ndarray] = {}
     size: dict[int, int] = {}
     for m in matches:
-        part = np.frombuffer(m["hashes"], U64)
+        part = np.frombuffer(m["hashes"], np.uint32)
         a = m["block"] * BLOCK + m["diag"]
         lo, hi = max(a, 0), min(a + len(part), len(own))
         size[m["src"]] = m["n_src"]
@@ -186,5 +187,5 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     texts = rows.join(wanted, rows["doc_id"] == wanted["src"]).select("src", "text", "blocks")
     fetched = written(arrow_map(texts, _blocks, BLOCKS).dropDuplicates(["src", "block"]), "blocks")
     full = met.join(fetched, ["src", "block"]).groupBy("doc_id").agg(F.collect_list(F.struct("src", "diag", "block", "n_src", "hashes")).alias("found"))
-    joined = rows.join(written(full, "matches"), "doc_id", "left").select("doc_id", "text", "found")
+    joined = rows.join(full, "doc_id", "left").select("doc_id", "text", "found")
     return arrow_map(joined, lambda b: _delete(b, least, spare), CLEAN)
