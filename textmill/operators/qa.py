@@ -94,7 +94,7 @@ def deduped(df: DataFrame, cfg: QaConfig = QaConfig()) -> DataFrame:
     group = ["question", "answer"] + (["batch_id"] if cfg.dedup == "batch" else [])
     order = ["seq"] if "seq" in df.columns else ["id", "attempt"]
     good = F.col("fail_reason").isNull()
-    rank = F.row_number().over(Window.partitionBy(good.alias("g"), *[F.when(good, F.col(c)).otherwise(F.col("id")) if c != "batch_id" else F.col(c) for c in group]).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(good.alias("g"), *[F.when(good, F.col(c)).otherwise(F.col("id").cast("string")) if c != "batch_id" else F.col(c) for c in group]).orderBy(*order))
     return df.withColumn("_n", rank).withColumn("fail_reason", F.when(good & (F.col("_n") > 1), "批次内重复").otherwise(F.col("fail_reason"))).drop("_n")
 
 

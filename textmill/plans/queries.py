@@ -77,13 +77,14 @@ grams AS (SELECT id, x[i] AS c1, x[i + 1] AS c2, count(*) AS n FROM (SELECT id,
 pairs AS (SELECT c1, c2, sum(n)::BIGINT AS n12 FROM grams GROUP BY ALL), heads AS (SELECT c1, sum(n12)::BIGINT AS n1 FROM pairs GROUP BY ALL), voc AS (SELECT count(DISTINCT c2) AS v FROM pairs),
 lnp AS (SELECT c1, c2, ln((n12 + 0.5::DOUBLE) / (n1 + 0.5::DOUBLE * v)) AS p FROM pairs JOIN heads USING (c1), voc),
 score AS (SELECT id, exp(-sum(n * p) / sum(n)) AS ppl FROM grams JOIN lnp USING (c1, c2) GROUP BY id),
-scored AS (SELECT c.id, text, s, t, coalesce(ppl, 'inf'::DOUBLE) AS ppl, CASE WHEN {_CLASSIC} THEN 'classic_chinese' ELSE 'modern_chinese' END AS kind FROM c LEFT JOIN score USING (id)),
+scored AS (SELECT c.id, text, s, t, round(coalesce(ppl, 'inf'::DOUBLE), 6) AS ppl, CASE WHEN {_CLASSIC} THEN 'classic_chinese' ELSE 'modern_chinese' END AS kind FROM c LEFT JOIN score USING (id)),
 lim AS (SELECT coalesce(quantile_cont(ppl, 0.9) FILTER (kind = 'modern_chinese' AND ppl < 15000 AND length(t) >= 8), 100.0) AS tm,
   coalesce(quantile_cont(ppl, 0.1) FILTER (kind = 'classic_chinese' AND ppl < 15000 AND length(t) >= 8), 30.0) AS tc FROM scored)"""
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
-    df = scoring.bigram_perplexity(_clean(spark, d), key="id")
+    # rounded, so that a threshold that is a text's own score compares alike in any order of summation
+    df = scoring.bigram_perplexity(_clean(spark, d), key="id").withColumn("perplexity", F.round("perplexity", 6))
     return stored(df.withColumn("text_type", T.text_type(F.col("cleaned_text"))), "scored")
 
 
@@ -262,11 +263,11 @@ _JUDGED = f"""CASE WHEN coalesce(rewritten_text, '') = '' OR contains(rewritten_
   WHEN rewrite_reason = 'high_perplexity' AND rew_ppl >= perplexity * 0.9 THEN printf('困惑度未降(%.0f)', rew_ppl)
   WHEN rewrite_reason = 'redundant' AND {_redundancy('rewritten_text')} >= {_redundancy('original_text')} THEN printf('冗余未降(%.2f)', {_redundancy('rewritten_text')}) END"""
 _PAIR = """WITH o AS (SELECT *, strpos(output, '问题：') AS q, strpos(output, '答案：') AS a FROM (%s)),
-x AS (SELECT *, %s AS qt, %s AS at FROM o),
+x AS (SELECT *, %s AS qt, %s AS ans FROM o),
 p AS (SELECT id, attempt, batch_id,
   CASE WHEN length(output) - length(replace(output, '问题：', '')) > 3 OR output IS NULL OR q = 0 OR a <= q THEN NULL ELSE qt END AS question,
   CASE WHEN length(output) - length(replace(output, '问题：', '')) > 3 THEN '解析失败: 输出包含多个QA对' WHEN output IS NULL OR q = 0 OR a <= q THEN '解析失败: 结构不符'
-    WHEN at = '' OR contains(at, '...') THEN '解析失败: 答案为空或未完成' ELSE at END AS answer FROM x),
+    WHEN ans = '' OR contains(ans, '...') THEN '解析失败: 答案为空或未完成' ELSE ans END AS answer FROM x),
 v AS (SELECT *, CASE WHEN coalesce(question, '') = '' THEN coalesce(nullif(answer, ''), '解析失败: 未找到问题') WHEN contains(answer, '解析失败:') THEN answer WHEN NOT contains(question, '？') THEN '问题缺少问号'
   WHEN length(question) NOT BETWEEN 5 AND 400 THEN '问题长度异常(' || length(question) || ')' WHEN length(answer) NOT BETWEEN 4 AND 2000 THEN '答案长度异常(' || length(answer) || ')' END AS fail_reason FROM p)""" % (
     fixtures.OUTPUTS_SQL, _strip("substr(output, q + 3, a - q - 3)"), _strip("substr(output, a + 3)"))
