@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,38 +83,53 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["src", "block", "n_src", "hashes"])
 
 
-def repeated(own: np.ndarray, doc: int, matches: list[dict], least: int, spare: float | None) -> tuple[list[tuple[int, int]], int]:
+def repeated(own: np.ndarray, doc: int, matches: list[tuple], least: int, spare: float | None) -> tuple[list[tuple[int, int]], int]:
     """Runs [a, b) of words that occur earlier, and how many words of an earlier text they were seen in at most.
 
-    matches: src, diag (own word - earlier word), block, n_src, hashes. A run may overlap the earlier one in the same text.
+    matches: (src, diag = own word - earlier word, block, n_src, hashes). A run may overlap the earlier one in the same text.
     """
     own = own.astype(np.uint32)
-    seen: dict[tuple[int, int], np.ndarray] = {}
+    by: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
     size: dict[int, int] = {}
-    for m in matches:
-        part = np.frombuffer(m["hashes"], np.uint32)
-        a = m["block"] * BLOCK + m["diag"]
+    for src, diag, block, n_src, hashes in matches:
+        part = np.frombuffer(hashes, np.uint32)
+        a = block * BLOCK + diag
         lo, hi = max(a, 0), min(a + len(part), len(own))
-        size[m["src"]] = m["n_src"]
+        size[src] = n_src
         if lo < hi:
-            eq = seen.setdefault((m["src"], m["diag"]), np.zeros(len(own), bool))
-            eq[lo:hi] = own[lo:hi] == part[lo - a : hi - a]
-    whole: set[int] = set()
+            by.setdefault((src, diag), []).append((lo, own[lo:hi] == part[lo - a : hi - a]))
     if spare is not None:
-        by: dict[int, np.ndarray] = {}
-        for (src, _), eq in seen.items():
-            by[src] = by[src] | eq if src in by else eq
-        whole = {s for s, eq in by.items() if s != doc and eq.sum() >= spare * max(len(own), size[s])}
-        if whole:
+        alike: dict[int, np.ndarray] = {}
+        for (src, _), parts in by.items():
+            if src != doc:
+                seen = alike.setdefault(src, np.zeros(len(own), bool))
+                for lo, eq in parts:
+                    seen[lo : lo + len(eq)] |= eq
+        if any(seen.sum() >= spare * max(len(own), size[s]) for s, seen in alike.items()):
             return [], 1
-    gone = np.zeros(len(own), bool)
-    for eq in seen.values():
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], eq.view(np.int8), [0]])))
-        for a, b in zip(edge[::2], edge[1::2]):
-            if b - a >= least:
-                gone[a:b] = True
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
-    return list(zip(edge[::2].tolist(), edge[1::2].tolist())), 0
+    runs = []
+    for parts in by.values():
+        parts.sort(key=lambda p: p[0])
+        i = 0
+        while i < len(parts):  # blocks that follow on each other are one stretch
+            j, hi = i + 1, parts[i][0] + len(parts[i][1])
+            while j < len(parts) and parts[j][0] == hi:
+                hi += len(parts[j][1])
+                j += 1
+            eq = parts[i][1] if j == i + 1 else np.concatenate([p[1] for p in parts[i:j]])
+            other = np.flatnonzero(~eq)
+            ends = np.concatenate([other, [len(eq)]])
+            starts = np.concatenate([[0], other + 1])
+            for k in np.flatnonzero(ends - starts >= least):
+                runs.append((parts[i][0] + int(starts[k]), parts[i][0] + int(ends[k])))
+            i = j
+    merged: list[list[int]] = []
+    for a, b in sorted(runs):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    return [(a, b) for a, b in merged], 0
 
 
 def cut(raw: bytes, start: np.ndarray, end: np.ndarray, runs: list[tuple[int, int]]) -> bytes:
@@ -137,35 +153,43 @@ def cut(raw: bytes, start: np.ndarray, end: np.ndarray, runs: list[tuple[int, in
     return b"".join(out)
 
 
-CLEAN = "doc_id long, text string, n_words long, n_runs long, n_deleted long, is_copy boolean"
+CLEAN = "doc_id long, text string, n_runs long, n_deleted long, is_copy boolean"
 
 
 def _delete(batches: Iterator[pa.RecordBatch], least: int, spare: float | None) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in CLEAN.split(", ")]
     for batch in batches:
+        met = pc.fill_null(pc.greater(pc.list_value_length(batch.column(2)), 0), False)
+        rest = batch.filter(pc.invert(met))  # texts without matches pass as they are
+        none = pa.array(np.zeros(rest.num_rows, np.int64))
+        yield pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), none, none, pa.array(np.zeros(rest.num_rows, bool))], names=names)
+        batch = batch.filter(met)
         found = batch.column(2)
+        bounds = found.offsets.to_numpy()
+        src, diag, block, n_src = (found.values.field(c).to_numpy() for c in ("src", "diag", "block", "n_src"))
+        hashes = found.values.field("hashes")
+        where, held = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset :], hashes.buffers()[2]
+        view = memoryview(held) if held is not None else memoryview(b"")
+        ids = batch.column(0).to_pylist()
         for i, j, raw, offs in text_chunks(batch.column(1)):
             row, start, end, h = words(raw, offs)
             at = np.searchsorted(row, np.arange(j - i + 1))
             texts, nums = [], []
             for r in range(i, j):
                 a, b = at[r - i], at[r - i + 1]
-                was = batch.column(1)[r].is_valid
                 own = raw[offs[r - i] : offs[r - i + 1]].tobytes()
-                matches = found[r].as_py()
-                runs, copy = repeated(h[a:b], batch.column(0)[r].as_py(), matches, least, spare) if matches else ([], 0)
+                matches = [(int(src[m]), int(diag[m]), int(block[m]), int(n_src[m]), view[where[m] : where[m + 1]]) for m in range(bounds[r], bounds[r + 1])]
+                runs, copy = repeated(h[a:b], ids[r], matches, least, spare)
                 if runs:
                     own = cut(own, start[a:b] - offs[r - i], end[a:b] - offs[r - i], runs)
-                texts.append(own.decode("utf-8") if was else None)
-                nums.append((b - a, len(runs), sum(y - x for x, y in runs), bool(copy)))
+                texts.append(own.decode("utf-8"))
+                nums.append((len(runs), sum(y - x for x, y in runs), bool(copy)))
             n = list(zip(*nums))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array(texts, pa.string()), *(pa.array([int(v) for v in c], pa.int64()) for c in n[:3]), pa.array(n[3], pa.bool_())],
-                names=["doc_id", "text", "n_words", "n_runs", "n_deleted", "is_copy"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(texts, pa.string()), pa.array(n[0], pa.int64()), pa.array(n[1], pa.int64()), pa.array(n[2], pa.bool_())], names=names)
 
 
 def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, window: int = WINDOW, spare: float | None = None) -> DataFrame:
-    """One row per input row: doc_id, text without later repeated runs, n_words (before), n_runs, n_deleted, is_copy.
+    """One row per input row: doc_id, text without later repeated runs, n_runs, n_deleted, is_copy.
 
     Words are compared with A-Z lowered. Order is by doc_id, then place; rows that share a doc_id are taken to be equal
     and are edited alike, so a repeated row is not a repeat of itself. With `spare`, a text of which that share of the

@@ -79,7 +79,7 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without their later repeated runs; the text as its length and MD5."""
     out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", "n_words", "n_runs", "n_deleted", F.length("text").cast("long").alias("n_chars_left"), F.md5("text").alias("text_md5"))
+    return out.select("doc_id", "n_runs", "n_deleted", F.length("text").cast("long").alias("n_chars_left"), F.md5("text").alias("text_md5"))
 
 
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
