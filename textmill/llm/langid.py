@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import BLANK, LOWER, arrow_map, mix64, text_chunks, words
+from ._common import BLANK, LOWER, arrow_map, batch_rows, mix64, text_chunks, words
 
 SAMPLE, PER_DOC, SPAN = 150, 240, 24
 BITS = 15
@@ -236,6 +236,7 @@ def predict_language(docs: DataFrame, model: tuple | None = None) -> DataFrame:
     learn from. Only doc_id and text are read for a prediction, and lang for training; null doc_ids are not held out
     and not learned from; repeated rows get the same answer; an empty table gives no rows.
     """
+    batch_rows(docs.sparkSession, 10_000)  # forward-backward takes texts in step
     langs, w, t = model or train(docs)
     rows = docs.select(F.col("doc_id").cast("long"), F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
     if not langs:

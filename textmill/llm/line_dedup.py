@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_map, gram_hashes, text_chunks, words, written
+from ._common import arrow_map, batch_rows, gram_hashes, text_chunks, words, written
 
 LINE, WINDOW, MIN_WORDS = 10, 31, 40
 BLOCK = 128
@@ -197,6 +197,7 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     removal to decide. Null texts stay null; null doc_ids and texts without matches pass unchanged; other columns are
     not read; an empty table gives no rows.
     """
+    batch_rows(docs.sparkSession, 1000)  # a row holds a text and the blocks it is compared with
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     prints = arrow_map(rows.where("doc_id is not null"), lambda b: _prints(b, line, window), PRINTS)
     prints = written(prints, "prints")
