@@ -24,11 +24,10 @@ CHUNK_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every machine sees: spark.checkpoint.dir; set to a local one only where it is unset (tests)."""
+    """The folder every machine sees: spark.checkpoint.dir; a local one only where it is unset (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         at = "file:///tmp/textmill-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", at)
     return at
 
 
