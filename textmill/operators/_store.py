@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df in the folder all machines share (spark.checkpoint.dir, set only where it is unset) and read it back:
+    """Write df in the folder all machines share (spark.checkpoint.dir; a local one only where it is unset) and read it back:
     lineage ends and a lost executor costs nothing."""
     spark = df.sparkSession
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         at = "file:///tmp/textmill-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", at)
     path = f"{at}/textmill/{uuid.uuid4().hex}-{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
