@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
 _P, _Q = U64(0x9E3779B97F4A7C15), U64(0xD1342543DE82EF95)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 256 << 10
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -112,51 +112,57 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-_powers = np.ones(1, U64)
+TILE = 1 << 18
+_tables: dict[int, np.ndarray] = {}
 
 
-def _pow(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        _powers = np.cumprod(np.concatenate([np.ones(1, U64), np.full(max(n, 256), _P, U64)]), dtype=U64)
-    return _powers
+def _pow(base: int, n: int) -> np.ndarray:
+    """base to the powers 0 to n - 1 and beyond, modulo 2**64."""
+    if len(_tables.get(base, ())) < n:
+        steps = np.full(max(n, TILE), base, U64)
+        steps[0] = 1
+        _tables[base] = np.cumprod(steps, dtype=U64)
+    return _tables[base]
 
 
 def words(raw: np.ndarray, offs: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, byte start, byte end, 64-bit hash of the A-Z-lowered word) of each word, in order."""
-    n = len(raw)
-    if not n:
-        e = np.zeros(0, np.int64)
-        return e, e, e, np.zeros(0, U64)
+    value = np.where(blank, U64(0), LOWER.astype(U64) + U64(1))
     tok = ~blank[raw]
-    edge = np.zeros(n + 1, bool)
-    edge[offs] = True
-    before = np.empty(n, bool)
-    before[0], before[1:] = True, ~tok[:-1]
-    starts = np.flatnonzero(tok & (before | edge[:n]))
-    after = np.empty(n, bool)
-    after[-1], after[:-1] = True, ~tok[1:]
-    ends = np.flatnonzero(tok & (after | edge[1:])) + 1
-    if not len(starts):
-        e = np.zeros(0, np.int64)
-        return e, e, e, np.zeros(0, U64)
-    lens = ends - starts
-    first = np.cumsum(lens) - lens
-    place = np.arange(int(lens.sum())) - np.repeat(first, lens)
-    v = (LOWER[raw[tok]].astype(U64) + U64(1)) * _pow(int(lens.max()))[place]
-    h = mix64(np.add.reduceat(v, first) + lens.astype(U64) * _Q)
-    return np.searchsorted(offs, starts, "right") - 1, starts, ends, h
+    n = len(raw)
+    first, last = tok.copy(), tok.copy()
+    first[1:] &= ~tok[:-1]
+    last[:-1] &= ~tok[1:]
+    inner = offs[(offs > 0) & (offs < n)]
+    first[inner], last[inner - 1] = tok[inner], tok[inner - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    # A word's polynomial is summed with the powers of its place in the tile, which the inverse power takes out again;
+    # blanks add nothing.
+    h = np.zeros(len(starts), U64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + TILE, "right")))
+        a, b = int(starts[i]), int(ends[j - 1])
+        at = starts[i:j] - a
+        h[i:j] = np.add.reduceat(value[raw[a:b]] * _pow(int(_P), b - a)[: b - a], at) * _pow(pow(int(_P), -1, 1 << 64), b - a)[at]
+        i = j
+    h = mix64(h + (ends - starts).astype(U64) * _Q)
+    return np.repeat(np.arange(len(offs) - 1), np.diff(np.searchsorted(starts, offs))), starts, ends, h
 
 
 def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of k consecutive word hashes."""
-    out = np.zeros(max(0, len(h) - k + 1), U64)
-    q = U64(1)
-    with np.errstate(over="ignore"):
-        for j in range(k):
-            out += h[j : j + len(out)] * q
-            q = q * _Q
-    return mix64(out + U64(k))
+    q = int(_Q)
+    total, n = np.zeros(max(0, len(h) - k + 1), U64), 0
+    part, m = h, 1  # part: sums over m words, for m the powers of two
+    while len(total) and n < k:
+        if k & m:
+            total += part[n : n + len(total)] * U64(pow(q, n, 1 << 64))
+            n += m
+        if n < k:
+            part = part[: len(part) - m] + part[m:] * U64(pow(q, m, 1 << 64))
+            m *= 2
+    return mix64(total + U64(k))
 
 
 def shingle_sets(raw: np.ndarray, offs: np.ndarray, k: int = 5) -> list[np.ndarray]:
