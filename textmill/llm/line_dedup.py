@@ -83,53 +83,62 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["src", "block", "n_src", "hashes"])
 
 
-def repeated(own: np.ndarray, doc: int, matches: list[tuple], least: int, spare: float | None) -> tuple[list[tuple[int, int]], int]:
-    """Runs [a, b) of words that occur earlier, and how many words of an earlier text they were seen in at most.
+def repeated(own: np.ndarray, at: np.ndarray, ids: list, found: tuple, least: int, spare: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the runs of words that occur earlier, and whether each row is a copy that is left whole.
 
-    matches: (src, diag = own word - earlier word, block, n_src, hashes). A run may overlap the earlier one in the same text.
+    own: 32-bit word hashes of the rows' texts, of which row r has those from at[r] to at[r + 1]. found: of each match its
+    row (ascending), src, diag (own word - earlier word), block, n_src, the block's hashes (all in one array) and their
+    ends in it. Blocks that follow on each other are one stretch. A run may overlap the earlier one in the same text.
     """
-    own = own.astype(np.uint32)
-    by: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
-    size: dict[int, int] = {}
-    for src, diag, block, n_src, hashes in matches:
-        part = np.frombuffer(hashes, np.uint32)
-        a = block * BLOCK + diag
-        lo, hi = max(a, 0), min(a + len(part), len(own))
-        size[src] = n_src
-        if lo < hi:
-            by.setdefault((src, diag), []).append((lo, own[lo:hi] == part[lo - a : hi - a]))
+    row, src, diag, block, n_src, hashes, ends = found
+    copy = np.zeros(len(at) - 1, bool)
+    none = np.zeros(0, np.int64)
+    shift = at[row] + block.astype(np.int64) * BLOCK + diag  # own word that the block's first is held against
+    lo, hi = np.maximum(shift, at[row]), np.minimum(shift + np.diff(ends), at[row + 1])
+    into = ends[:-1] - shift
+    order = np.lexsort((lo, diag, src, row))
+    order = order[(lo < hi)[order]]
+    if not len(order):
+        return none, none, none, copy
+    row, src, diag, n_src, lo, hi, into = (x[order] for x in (row, src, diag, n_src, lo, hi, into))
+    size = hi - lo
+    stop = np.cumsum(size)
+    begin = stop - size
+    place = np.arange(stop[-1]) + np.repeat(lo - begin, size)
+    eq = own[place] == hashes[place + np.repeat(into, size)]
+    pair = np.ones(len(row), bool)
+    pair[1:] = (row[1:] != row[:-1]) | (src[1:] != src[:-1])
     if spare is not None:
-        alike: dict[int, np.ndarray] = {}
-        for (src, _), parts in by.items():
-            if src != doc:
-                seen = alike.setdefault(src, np.zeros(len(own), bool))
-                for lo, eq in parts:
-                    seen[lo : lo + len(eq)] |= eq
-        if any(seen.sum() >= spare * max(len(own), size[s]) for s, seen in alike.items()):
-            return [], 1
-    runs = []
-    for parts in by.values():
-        parts.sort(key=lambda p: p[0])
-        i = 0
-        while i < len(parts):  # blocks that follow on each other are one stretch
-            j, hi = i + 1, parts[i][0] + len(parts[i][1])
-            while j < len(parts) and parts[j][0] == hi:
-                hi += len(parts[j][1])
-                j += 1
-            eq = parts[i][1] if j == i + 1 else np.concatenate([p[1] for p in parts[i:j]])
-            other = np.flatnonzero(~eq)
-            ends = np.concatenate([other, [len(eq)]])
-            starts = np.concatenate([[0], other + 1])
-            for k in np.flatnonzero(ends - starts >= least):
-                runs.append((parts[i][0] + int(starts[k]), parts[i][0] + int(ends[k])))
-            i = j
-    merged: list[list[int]] = []
-    for a, b in sorted(runs):
-        if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], b)
-        else:
-            merged.append([a, b])
-    return [(a, b) for a, b in merged], 0
+        heads = np.flatnonzero(pair)
+        tails = np.append(heads[1:], len(row)) - 1
+        seen = np.add.reduceat(eq.astype(np.int64), begin[heads])  # at most: two diagonals may meet one word
+        words_ = at[1:] - at[:-1]
+        for k in np.flatnonzero(seen >= spare * np.maximum(words_[row[heads]], n_src[heads])):
+            i, j = heads[k], tails[k]
+            r = row[i]
+            if src[i] != ids[r] and not copy[r]:
+                met = place[begin[i] : stop[j]][eq[begin[i] : stop[j]]]
+                copy[r] = len(np.unique(met)) >= spare * max(words_[r], n_src[i])
+    fresh = pair.copy()
+    fresh[1:] |= (diag[1:] != diag[:-1]) | (lo[1:] != hi[:-1])
+    heads = begin[fresh]
+    first, last = eq.copy(), eq.copy()
+    first[1:] &= ~eq[:-1]
+    last[:-1] &= ~eq[1:]
+    first[heads], last[heads - 1] = eq[heads], eq[heads - 1]
+    a, b = np.flatnonzero(first), np.flatnonzero(last)
+    long = b - a + 1 >= least
+    a, b = place[a[long]], place[b[long]] + 1
+    r = np.searchsorted(at, a, "right") - 1
+    a, b, r = (x[~copy[r]] for x in (a, b, r))
+    if not len(a):
+        return none, none, none, copy
+    order = np.argsort(a, kind="stable")
+    a, b, r = a[order], np.maximum.accumulate(b[order]), r[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] > b[:-1]) | (r[1:] != r[:-1])
+    heads = np.flatnonzero(new)
+    return r[heads], a[heads], b[np.append(heads[1:], len(a)) - 1], copy
 
 
 def cut(raw: bytes, start: np.ndarray, end: np.ndarray, runs: list[tuple[int, int]]) -> bytes:
@@ -168,24 +177,26 @@ def _delete(batches: Iterator[pa.RecordBatch], least: int, spare: float | None)
         bounds = found.offsets.to_numpy()
         src, diag, block, n_src = (found.values.field(c).to_numpy() for c in ("src", "diag", "block", "n_src"))
         hashes = found.values.field("hashes")
-        where, held = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset :], hashes.buffers()[2]
-        view = memoryview(held) if held is not None else memoryview(b"")
+        where, held = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset :].astype(np.int64) // 4, hashes.buffers()[2]
+        held = np.frombuffer(held if held is not None else b"", np.uint32)
         ids = batch.column(0).to_pylist()
         for i, j, raw, offs in text_chunks(batch.column(1)):
             row, start, end, h = words(raw, offs)
             at = np.searchsorted(row, np.arange(j - i + 1))
-            texts, nums = [], []
-            for r in range(i, j):
-                a, b = at[r - i], at[r - i + 1]
-                own = raw[offs[r - i] : offs[r - i + 1]].tobytes()
-                matches = [(int(src[m]), int(diag[m]), int(block[m]), int(n_src[m]), view[where[m] : where[m + 1]]) for m in range(bounds[r], bounds[r + 1])]
-                runs, copy = repeated(h[a:b], ids[r], matches, least, spare)
-                if runs:
-                    own = cut(own, start[a:b] - offs[r - i], end[a:b] - offs[r - i], runs)
-                texts.append(own.decode("utf-8"))
-                nums.append((len(runs), sum(y - x for x, y in runs), bool(copy)))
-            n = list(zip(*nums))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(texts, pa.string()), pa.array(n[0], pa.int64()), pa.array(n[1], pa.int64()), pa.array(n[2], pa.bool_())], names=names)
+            m = slice(bounds[i], bounds[j])
+            of = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
+            r, a, b, copy = repeated(h.astype(np.uint32), at, ids[i:j], (of, src[m], diag[m], block[m], n_src[m], held, where[bounds[i] : bounds[j] + 1]), least, spare)
+            texts = batch.column(1).slice(i, j - i)
+            n_runs, n_deleted = np.bincount(r, minlength=j - i), np.bincount(r, b - a, j - i).astype(np.int64)
+            if len(r):
+                new = texts.to_pylist()
+                for k in np.flatnonzero(n_runs):
+                    mine = slice(*np.searchsorted(r, [k, k + 1]))
+                    lo, hi = at[k], at[k + 1]
+                    own = cut(raw[offs[k] : offs[k + 1]].tobytes(), start[lo:hi] - offs[k], end[lo:hi] - offs[k], list(zip((a[mine] - lo).tolist(), (b[mine] - lo).tolist())))
+                    new[k] = own.decode("utf-8")
+                texts = pa.array(new, pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), texts, pa.array(n_runs), pa.array(n_deleted), pa.array(copy)], names=names)
 
 
 def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, window: int = WINDOW, spare: float | None = None) -> DataFrame:
