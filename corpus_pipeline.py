@@ -34,14 +34,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later repeated runs; whole copies are left for the next stage."""
-    new = dedup_lines(docs, spare=COPY_SHARE).where("n_runs > 0").dropDuplicates(["doc_id"])
-    new = written(new.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")), "edited")
-    edited = F.col("_id").isNotNull()
-    out = docs.join(new, docs["doc_id"] == new["_id"], "left")
-    out = out.withColumn("text", F.when(edited, F.col("_text")).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(edited, F.length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    new = dedup_lines(docs, spare=COPY_SHARE, carry=True)
+    now = {c: F.col("row").getField(c) for c in docs.columns if c != "text"} | {"text": F.col("text")}
+    if "n_chars" in now:
+        now["n_chars"] = F.when(F.col("n_runs") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(now["n_chars"])
+    return new.select(*(now[c].alias(c) for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,9 +7,11 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.llm import _common as common
 from textmill.llm import decontaminate, embedding_dup, langid, line_dedup, mix, near_dup, pii, queries, secrets, toxicity, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -136,6 +138,60 @@ def test_line_dedup(spark):
     assert copies[1].is_copy and copies[1].text == texts[0]
 
 
+def test_line_dedup_carries_columns(spark):
+    same = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, same + " a b c", "x", 7), (2, "d e f " + same, None, None), (2, "d e f " + same, None, None), (None, same, "y", 9), (4, None, "z", 1), (5, "", "z", 2)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id int, text string, src string, `a.b` int"), carry=True).collect()
+    got = sorted(((r.row["doc_id"], r.text, r.row["src"], r.row["a.b"]) for r in out), key=str)
+    assert got == sorted([rows[0], (2, "d e f ", None, None), (2, "d e f ", None, None), *rows[3:]], key=str)
+
+
+def test_repeated_runs_against_loop():
+    rnd, block, least = np.random.default_rng(3), line_dedup.BLOCK, 5
+    for _ in range(200):
+        texts = [rnd.integers(0, 2, rnd.integers(0, 400)).astype(np.uint32) for _ in range(3)]
+        at = np.cumsum([0, *map(len, texts)])
+        found, want, shares = [], [set() for _ in texts], {}
+        for r, own in enumerate(texts):
+            for src in (10, 11):
+                earlier = np.random.default_rng(src).integers(0, 2, 300).astype(np.uint32)
+                for diag in rnd.choice(np.arange(-200, 200), 2, replace=False):
+                    eq = np.zeros(len(own), bool)
+                    for b in np.flatnonzero(rnd.random(3) < 0.8):
+                        part = earlier[b * block : (b + 1) * block]
+                        found.append((r, src, diag, b, 300, part))
+                        for k, h in enumerate(part):
+                            p = b * block + diag + k
+                            if 0 <= p < len(own) and own[p] == h:
+                                eq[p] = True
+                    shares[r, src] = shares.get((r, src), np.zeros(len(own), bool)) | eq
+                    for p in range(len(own) - least + 1):
+                        if eq[p : p + least].all():
+                            want[r] |= set(range(p, p + least))
+        if not found:
+            continue
+        cols = list(zip(*found))
+        ends = np.cumsum([0, *(len(p) for p in cols[5])])
+        args = (*(np.array(c, np.int64) for c in cols[:5]), np.concatenate(cols[5]), ends)
+        row, a, b, copy = line_dedup.repeated(np.concatenate(texts), at, [1, 2, 3], args, least, None)
+        got = [set() for _ in texts]
+        for r, x, y in zip(row, a - at[row], b - at[row]):
+            got[r] |= set(range(x, y))
+        assert got == want and not copy.any()
+        copy = line_dedup.repeated(np.concatenate(texts), at, [1, 2, 3], args, least, 0.5)[3]
+        assert [any(s.sum() >= 0.5 * max(len(t), 300) for (q, _), s in shares.items() if q == r) for r, t in enumerate(texts)] == copy.tolist()
+
+
+def test_word_hashes_do_not_depend_on_tiles(monkeypatch):
+    raw, offs = common.text_buffers(pa.array(["Aa bé  c", None, "", "c\nBÉ aa" * 40, "aA"]))
+    row, start, end, h = common.words(raw, offs)
+    assert [raw[a:b].tobytes().decode() for a, b in zip(start, end)] == "Aa bé c".split() + ("c\nBÉ aa" * 40).split() + ["aA"]
+    assert h[0] == h[-1] != h[1] and row[0] == 0 and row[-1] == 4 and set(row) == {0, 3, 4}
+    for tile in (1, 7, 50):
+        monkeypatch.setattr(common, "TILE", tile)
+        assert np.array_equal(common.words(raw, offs)[3], h)
+
+
 def test_decontaminate(spark, real, sf):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
     token = re.compile(r"[^\x20\x09-\x0D!-/:-@\[-`{-~]+")

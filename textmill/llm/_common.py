@@ -58,10 +58,11 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(out)
 
 
-def batch_rows(spark: SparkSession, rows: int) -> None:
-    """Rows in an Arrow batch from now on, in this session: operators whose rows are large, or that gain from many at
-    once, state theirs when they are called."""
+def batch_rows(spark: SparkSession, rows: int, size: str = "64m") -> None:
+    """Rows and size of an Arrow batch from now on, in this session: operators whose rows are large, or that gain from
+    many at once, state theirs when they are called."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def arrow_map(df: DataFrame, f: Callable, schema) -> DataFrame:
