@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BLANK_OR_PUNCT, arrow_map, gram_hashes, text_buffers, text_chunks, words, written
+from ._common import BLANK_OR_PUNCT, arrow_map, batch_rows, gram_hashes, text_buffers, text_chunks, words, written
 
 SHARD_ITEMS = 20_000
 RETRIEVE, CONTAIN, PART = 0.5, 0.75, 0.5
@@ -174,6 +174,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, retrieve: float = RETRIE
     are not searched for; null texts hold nothing; a repeated item is found once for each of its ids; repeated rows of
     documents are found alike; other columns are not read. Without items or documents the result is empty.
     """
+    batch_rows(docs.sparkSession, 1000)
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").dropDuplicates(["item_id", "text"])
     n_words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D!-/:-@\[-`{-~]+"))
     items = written(items.withColumn("n", n_words).where(F.col("n") >= LEAST_WORDS).withColumn("kind", F.floor(F.log2("n") / 2).cast("int")), "items")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import arrow_map, components, mix64, shingle_sets, text_chunks, written
+from ._common import arrow_map, batch_rows, components, mix64, shingle_sets, text_chunks, written
 
 SKETCH = 64
 NEED = 34  # values a linked pair shares in two sketches of 64: mean 48, standard deviation 3.5, so 4 deviations below
@@ -215,6 +215,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     one shingle. Repeated rows are one document and are all returned; rows that share a doc_id are taken to share the text. A null doc_id keeps
     its row with a null component and kept true. Only doc_id and text are read. An empty table gives no rows.
     """
+    batch_rows(docs.sparkSession, 1000)
     sig = written(signatures(docs, words), "signatures")
     member = sig.groupBy("n_shingles", "set_lo", "set_hi").agg(F.min("doc_id").alias("cls"), F.min_by("sketch", "doc_id").alias("sketch"))
     classes = written(member.where("n_shingles > 0 and cls is not null"), "classes")

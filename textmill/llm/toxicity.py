@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_map, text_chunks, words
+from ._common import arrow_map, batch_rows, text_chunks, words
 
 TRAIN_ROWS = 4000
 WINDOW = 8
@@ -214,6 +214,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame | None = None, lexicon=tup
     Null and empty texts have no hits and get the score of that. A null doc_id is not held out. Only doc_id and text
     are read; repeated rows are scored alike; an empty table gives no rows.
     """
+    batch_rows(docs.sparkSession, 1000)
     if weights is None:
         weights = train(docs, labels, lexicon) if labels is not None else PRIOR.tolist()
     ln = lambda c: F.log1p(F.col(c).cast("double"))
