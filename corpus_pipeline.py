@@ -16,8 +16,8 @@ from textmill.llm.mix import mix
 from textmill.llm.near_dup import near_duplicates
 from textmill.llm.toxicity import score_toxicity
 
-#: Share of the words of the longer text that recurs in one earlier text, from which line dedup leaves a text whole
-#: for near-duplicate removal to decide on.
+#: Jaccard similarity of shingle sets at which near-duplicate removal links two texts; line dedup leaves the later ones
+#: for it to drop.
 COPY_SHARE = 0.75
 
 
@@ -33,7 +33,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later repeated runs; whole copies are left for the next stage."""
+    """Documents without later repeated runs; what the next stage drops is left to it."""
     new = dedup_lines(docs, spare=COPY_SHARE, carry=True)
     now = {c: F.col("row").getField(c) for c in docs.columns if c != "text"} | {"text": F.col("text")}
     if "n_chars" in now:

@@ -138,6 +138,17 @@ def test_line_dedup(spark):
     assert copies[1].is_copy and copies[1].text == texts[0]
 
 
+def test_line_dedup_spares_only_what_near_dedup_drops(spark):
+    new = lambda k, n: [f"{k}{i}" for i in range(n)]
+    first = new("a", 1000)
+    part = first[:800] + new("b", 200)  # 80 % of the words, Jaccard 0.66
+    near = first[:990] + new("c", 10)
+    texts = [" ".join(w) for w in (first, part, near)]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs(spark, texts), spare=0.75).collect()}
+    assert [got[i].is_copy for i in range(3)] == [False, False, True]
+    assert got[1].text.split() == new("b", 200) and got[2].text == texts[2]
+
+
 def test_line_dedup_carries_columns(spark):
     same = " ".join(f"w{i}" for i in range(80))
     rows = [(1, same + " a b c", "x", 7), (2, "d e f " + same, None, None), (2, "d e f " + same, None, None), (None, same, "y", 9), (4, None, "z", 1), (5, "", "z", 2)]

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ._common import arrow_map, batch_rows, gram_hashes, text_chunks, words, written
+from .near_dup import near_duplicates
 
 LINE, WINDOW, MIN_WORDS = 10, 31, 40
 BLOCK = 128
@@ -166,14 +167,14 @@ def cut(raw: bytes, start: np.ndarray, end: np.ndarray, runs: list[tuple[int, in
 CLEAN = "doc_id long, text string, n_runs long, n_deleted long, is_copy boolean"
 
 
-def _delete(batches: Iterator[pa.RecordBatch], least: int, spare: float | None) -> Iterator[pa.RecordBatch]:
+def _delete(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in CLEAN.split(", ")]
     for batch in batches:
-        more = batch.schema.names[3:]  # carried columns
+        more = batch.schema.names[4:]  # carried columns
         met = pc.fill_null(pc.greater(pc.list_value_length(batch.column(2)), 0), False)
         rest = batch.filter(pc.invert(met))  # texts without matches pass as they are
         none = pa.array(np.zeros(rest.num_rows, np.int64))
-        yield pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), none, none, pa.array(np.zeros(rest.num_rows, bool)), *rest.columns[3:]], names=names + more)
+        yield pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), none, none, *rest.columns[3:]], names=names + more)
         batch = batch.filter(met)
         found = batch.column(2)
         bounds = found.offsets.to_numpy()
@@ -187,7 +188,7 @@ def _delete(batches: Iterator[pa.RecordBatch], least: int, spare: float | None)
             at = np.searchsorted(row, np.arange(j - i + 1))
             m = slice(bounds[i], bounds[j])
             of = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
-            r, a, b, copy = repeated(h.astype(np.uint32), at, ids[i:j], (of, src[m], diag[m], block[m], n_src[m], held, where[bounds[i] : bounds[j] + 1]), least, spare)
+            r, a, b, _ = repeated(h.astype(np.uint32), at, ids[i:j], (of, src[m], diag[m], block[m], n_src[m], held, where[bounds[i] : bounds[j] + 1]), least, None)
             texts = batch.column(1).slice(i, j - i)
             n_runs, n_deleted = np.bincount(r, minlength=j - i), np.bincount(r, b - a, j - i).astype(np.int64)
             if len(r):
@@ -198,23 +199,27 @@ def _delete(batches: Iterator[pa.RecordBatch], least: int, spare: float | None)
                     own = cut(raw[offs[k] : offs[k + 1]].tobytes(), start[lo:hi] - offs[k], end[lo:hi] - offs[k], list(zip((a[mine] - lo).tolist(), (b[mine] - lo).tolist())))
                     new[k] = own.decode("utf-8")
                 texts = pa.array(new, pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), texts, pa.array(n_runs), pa.array(n_deleted), pa.array(copy), *(c.slice(i, j - i) for c in batch.columns[3:])], names=names + more)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), texts, pa.array(n_runs), pa.array(n_deleted), *(c.slice(i, j - i) for c in batch.columns[3:])], names=names + more)
 
 
 def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, window: int = WINDOW, spare: float | None = None, carry: bool = False) -> DataFrame:
     """One row per input row: doc_id, text without later repeated runs, n_runs, n_deleted, is_copy.
 
     Words are compared with A-Z lowered. Order is by doc_id, then place; rows that share a doc_id are taken to be equal
-    and are edited alike, so a repeated row is not a repeat of itself. With `spare`, a text of which that share of the
-    words (of the longer of the two) recurs in one earlier text is left whole and marked is_copy, for near-duplicate
-    removal to decide. Null texts stay null; null doc_ids and texts without matches pass unchanged; an empty table gives
+    and are edited alike, so a repeated row is not a repeat of itself. With `spare`, a text that near-duplicate removal
+    at that Jaccard similarity of shingle sets links with an earlier one that stays is marked is_copy and left whole for
+    that stage to drop, and no text is cut for what stands in it. Null texts stay null; null doc_ids and texts without matches pass unchanged; an empty table gives
     no rows. Other columns are not read unless `carry` is set: then a struct `row` holds all columns but text as they
     came, whatever their names.
     """
-    batch_rows(docs.sparkSession, 250, "4m")  # a row holds a text and the blocks it is compared with
     rest = [F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")] if carry else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *rest)
+    if spare is not None:
+        copies = written(near_duplicates(rows, percent=round(100 * spare)).where("not kept").select("doc_id", "component_id").distinct(), "copies")
+    batch_rows(docs.sparkSession, 250, "4m")  # a row holds a text and the blocks it is compared with
     prints = arrow_map(rows.select("doc_id", "text").where("doc_id is not null"), lambda b: _prints(b, line, window), PRINTS)
+    if spare is not None:
+        prints = prints.join(copies, "doc_id", "left_anti")
     prints = written(prints, "prints")
     firsts = prints.groupBy("fp").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     firsts = written(firsts.select("fp", F.col("first.doc_id").alias("src"), F.col("first.pos").alias("src_pos")), "firsts")
@@ -227,6 +232,10 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     texts = rows.join(wanted, rows["doc_id"] == wanted["src"]).select("src", "text", "blocks")
     fetched = written(arrow_map(texts, _blocks, BLOCKS).dropDuplicates(["src", "block"]), "blocks")
     full = met.join(fetched, ["src", "block"]).groupBy("doc_id").agg(F.collect_list(F.struct("src", "diag", "block", "n_src", "hashes")).alias("found"))
-    joined = rows.join(full, "doc_id", "left").select("doc_id", "text", "found", *(["row"] if carry else []))
+    if spare is not None:
+        full = full.withColumn("is_copy", F.lit(False)).unionByName(copies.select("doc_id", F.lit(True).alias("is_copy")), allowMissingColumns=True)
+    else:
+        full = full.withColumn("is_copy", F.lit(False))
+    joined = rows.join(full, "doc_id", "left").select("doc_id", "text", "found", F.coalesce("is_copy", F.lit(False)).alias("is_copy"), *(["row"] if carry else []))
     schema = StructType.fromDDL(CLEAN)
-    return arrow_map(joined, lambda b: _delete(b, least, spare), schema.add("row", rows.schema["row"].dataType) if carry else schema)
+    return arrow_map(joined, lambda b: _delete(b, least), schema.add("row", rows.schema["row"].dataType) if carry else schema)
