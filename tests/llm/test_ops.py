@@ -149,6 +149,16 @@ def test_line_dedup_spares_only_what_near_dedup_drops(spark):
     assert got[1].text.split() == new("b", 200) and got[2].text == texts[2]
 
 
+def test_line_dedup_cuts_copies_with_what_they_copy(spark):
+    new = lambda k, n: [f"{k}{i}" for i in range(n)]
+    passage, own = new("p", 150), new("o", 250)
+    texts = [" ".join(w) for w in (passage + new("a", 50), passage + own, passage + own, passage + own[:-4] + new("b", 4))]
+    cut = line_dedup.dedup_lines(docs(spark, texts), spare=0.75)
+    got = {r.doc_id: r.text for r in cut.collect()}
+    assert got[0] == texts[0] and [got[i].split() for i in (1, 2, 3)] == [own] * 3
+    assert sorted(r.doc_id for r in near_dup.near_duplicates(cut).where("kept").collect()) == [0, 1]
+
+
 def test_line_dedup_carries_columns(spark):
     same = " ".join(f"w{i}" for i in range(80))
     rows = [(1, same + " a b c", "x", 7), (2, "d e f " + same, None, None), (2, "d e f " + same, None, None), (None, same, "y", 9), (4, None, "z", 1), (5, "", "z", 2)]

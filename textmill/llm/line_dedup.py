@@ -208,7 +208,8 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     Words are compared with A-Z lowered. Order is by doc_id, then place; rows that share a doc_id are taken to be equal
     and are edited alike, so a repeated row is not a repeat of itself. With `spare`, a text that near-duplicate removal
     at that Jaccard similarity of shingle sets links with an earlier one that stays is marked is_copy and left whole for
-    that stage to drop, and no text is cut for what stands in it. Null texts stay null; null doc_ids and texts without matches pass unchanged; an empty table gives
+    that stage to drop, and no text is cut for what stands in it. Where the one that stays loses runs, its copies are
+    given its text and lose the same, so that they are still linked. Null texts stay null; null doc_ids and texts without matches pass unchanged; an empty table gives
     no rows. Other columns are not read unless `carry` is set: then a struct `row` holds all columns but text as they
     came, whatever their names.
     """
@@ -233,9 +234,16 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     fetched = written(arrow_map(texts, _blocks, BLOCKS).dropDuplicates(["src", "block"]), "blocks")
     full = met.join(fetched, ["src", "block"]).groupBy("doc_id").agg(F.collect_list(F.struct("src", "diag", "block", "n_src", "hashes")).alias("found"))
     if spare is not None:
-        full = full.withColumn("is_copy", F.lit(False)).unionByName(copies.select("doc_id", F.lit(True).alias("is_copy")), allowMissingColumns=True)
+        full = written(full, "found")
+        cut_too = copies.join(full.withColumnRenamed("doc_id", "component_id"), "component_id")
+        led = written(cut_too.select("component_id").distinct(), "led")
+        leads = rows.select(F.col("doc_id").alias("component_id"), F.col("text").alias("instead")).join(led, "component_id").dropDuplicates(["component_id"])
+        whole = copies.join(led, "component_id", "left_anti").select("doc_id", F.lit(True).alias("is_copy"))
+        given = cut_too.join(leads, "component_id").select("doc_id", "found", "instead", F.lit(True).alias("is_copy"))
+        full = full.unionByName(given, allowMissingColumns=True).unionByName(whole, allowMissingColumns=True)
+        text = F.coalesce("instead", "text").alias("text")
     else:
-        full = full.withColumn("is_copy", F.lit(False))
-    joined = rows.join(full, "doc_id", "left").select("doc_id", "text", "found", F.coalesce("is_copy", F.lit(False)).alias("is_copy"), *(["row"] if carry else []))
+        full, text = full.withColumn("is_copy", F.lit(False)), "text"
+    joined = rows.join(full, "doc_id", "left").select("doc_id", text, "found", F.coalesce("is_copy", F.lit(False)).alias("is_copy"), *(["row"] if carry else []))
     schema = StructType.fromDDL(CLEAN)
     return arrow_map(joined, lambda b: _delete(b, least), schema.add("row", rows.schema["row"].dataType) if carry else schema)
