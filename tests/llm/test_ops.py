@@ -138,6 +138,34 @@ def test_line_dedup(spark):
     assert copies[1].is_copy and copies[1].text == texts[0]
 
 
+def left_by_line_dedup(texts, least=line_dedup.MIN_WORDS):
+    """Words that lie in no run of `least` words which occurs earlier."""
+    seen, out = set(), []
+    for t in texts:
+        w = t.split()
+        gone = set()
+        for p in range(len(w) - least + 1):
+            run = tuple(w[p : p + least])
+            if run in seen:
+                gone |= set(range(p, p + least))
+            seen.add(run)
+        out.append([x for p, x in enumerate(w) if p not in gone])
+    return out
+
+
+def test_line_dedup_against_runs(spark):
+    rnd = np.random.default_rng(7)
+    new = lambda n: [f"w{x}" for x in rnd.integers(0, 10**9, n)]
+    passage = new(70)
+    texts = [new(20) + passage[k : k + 12] + new(20) for k in range(0, 60, 6)]  # each fingerprint first occurs in another context
+    texts += [new(30) + passage + new(30), new(10) + passage + new(50), new(9) + passage[:40] + new(9) + passage[31:] + new(3)]
+    parts = [new(n) for n in rnd.integers(5, 90, 12)]
+    texts += [sum((parts[k] for k in rnd.integers(0, 12, 6)), []) for _ in range(40)] + [["a", "b"] * 60]
+    texts = [" ".join(w) for w in texts]
+    got = {r.doc_id: r.text.split() for r in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == left_by_line_dedup(texts)
+
+
 def test_line_dedup_spares_only_what_near_dedup_drops(spark):
     new = lambda k, n: [f"{k}{i}" for i in range(n)]
     first = new("a", 1000)

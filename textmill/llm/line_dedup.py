@@ -1,10 +1,11 @@
 """Line dedup by winnowing.
 
 Texts are reflowed by every site, so a line is here any LINE consecutive words, wherever the line feeds are. Of the
-hashes of all lines of a text the minimum of each window of WINDOW lines is kept as a fingerprint, which guarantees
-that two texts sharing LINE + WINDOW - 1 words share a fingerprint. Each fingerprint is joined to its first position
-(by doc_id, then word); matches are extended both ways, word by word, over blocks of the earlier text fetched once a
-block; and runs of MIN_WORDS or more that occur earlier are deleted.
+hashes of all lines of a text the minimum of each window of WINDOW lines is kept as a fingerprint, so each run of
+MIN_WORDS words holds one, and equal runs the same. Texts with fingerprints that occur more than once are read again, and
+each run of MIN_WORDS words that holds one of those is hashed as a whole and joined to its first position (by doc_id,
+then word), whatever the first position of its fingerprint. All words of later runs are deleted: exactly those that lie
+in MIN_WORDS words which occur earlier.
 """
 
 from __future__ import annotations
@@ -36,58 +37,54 @@ def _slide(x: np.ndarray, w: int, pick) -> np.ndarray:
     return pick(m[: len(x) - w + 1], m[w - n : w - n + len(x) - w + 1]) if w > n else m
 
 
-def winnow(row: np.ndarray, h: np.ndarray, line: int = LINE, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(word index, hash) of the selected lines; a text with fewer lines than a window keeps its minima too."""
+def winnow(row: np.ndarray, h: np.ndarray, line: int, window: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, hash of its lowest line) of each run of `least` words of one text; (word, hash) of these lines."""
     g = gram_hashes(h, line)
-    at = np.flatnonzero(row[: len(g)] == row[len(row) - len(g) :]) if len(g) else np.zeros(0, np.int64)
+    n = max(0, len(h) - least + 1)
+    at = np.flatnonzero(row[:n] == row[len(row) - n :])
     if not len(at):
-        return at, g[at]
-    place = at + window * (row[at] - row[at[0]] + 1) - at[0]
-    x = np.full(place[-1] + window + 1, TOP)
-    x[place] = np.minimum(g[at], TOP - U64(1))
-    low = _slide(x, window, np.minimum)
-    low[low == TOP] = 0
-    high = _slide(np.concatenate([np.zeros(window - 1, U64), low, np.zeros(window - 1, U64)]), window, np.maximum)
-    chosen = high[place] == x[place]
-    return at[chosen], g[at[chosen]]
+        return at, g[:0], at, g[:0]
+    low = _slide(g, window, np.minimum)[at]
+    high = np.zeros(len(g) + window - 1, U64)
+    high[at + window - 1] = low
+    chosen = np.flatnonzero(_slide(high, window, np.maximum) == g)
+    return at, low, chosen, g[chosen]
 
 
-PRINTS = "fp long, doc_id long, pos int"
+PRINTS = "fp long, doc_id long"
 
 
-def _prints(batches: Iterator[pa.RecordBatch], line: int, window: int) -> Iterator[pa.RecordBatch]:
+def _prints(batches: Iterator[pa.RecordBatch], line: int, window: int, least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for i, _, raw, offs in text_chunks(batch.column(1)):
             row, _, _, h = words(raw, offs)
-            at, g = winnow(row, h, line, window)
-            first = np.searchsorted(row, row[at])
-            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(ids[i + row[at]].astype(np.int64)), pa.array((at - first).astype(np.int32))], names=["fp", "doc_id", "pos"])
+            _, _, at, g = winnow(row, h, line, window, least)
+            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(ids[i + row[at]].astype(np.int64))], names=["fp", "doc_id"])
 
 
-BLOCKS = "src long, block int, n_src int, hashes binary"
+RUNS = "run long, doc_id long, pos int, n int"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch], line: int, window: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Hash, place and words of each run that holds one of the fingerprints in column 2; those of other rows may count too."""
     for batch in batches:
-        out: list[list] = [[], [], [], []]
-        ids, wanted = batch.column(0).to_pylist(), batch.column(2)
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        held = batch.column(2)
+        bounds, fps = held.offsets.to_numpy(), held.values.to_numpy().view(U64)
         for i, j, raw, offs in text_chunks(batch.column(1)):
             row, _, _, h = words(raw, offs)
-            at = np.searchsorted(row, np.arange(j - i + 1))
-            for r in range(i, j):
-                own = h[at[r - i] : at[r - i + 1]]
-                for b in wanted[r].as_py():
-                    part = own[b * BLOCK : (b + 1) * BLOCK]
-                    if len(part):
-                        for c, v in zip(out, (ids[r], b, len(own), part.astype(np.uint32).tobytes())):
-                            c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["src", "block", "n_src", "hashes"])
+            at, low, _, _ = winnow(row, h, line, window, least)
+            at = at[np.isin(low, fps[bounds[i] : bounds[j]])]
+            run, n = gram_hashes(h, least)[at], np.full(len(at), least)
+            pos = at - np.searchsorted(row, row[at])
+            yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(ids[i + row[at]].astype(np.int64)), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], names=["run", "doc_id", "pos", "n"])
 
 
 def repeated(own: np.ndarray, at: np.ndarray, ids: list, found: tuple, least: int, spare: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, end) of the runs of words that occur earlier, and whether each row is a copy that is left whole.
 
+    It compares with given blocks of earlier texts word by word; dedup_lines, which joins whole runs, does without it.
     own: 32-bit word hashes of the rows' texts, of which row r has those from at[r] to at[r + 1]. found: of each match its
     row (ascending), src, diag (own word - earlier word), block, n_src, the block's hashes (all in one array) and their
     ends in it. Blocks that follow on each other are one stretch. A run may overlap the earlier one in the same text.
@@ -167,7 +164,7 @@ def cut(raw: bytes, start: np.ndarray, end: np.ndarray, runs: list[tuple[int, in
 CLEAN = "doc_id long, text string, n_runs long, n_deleted long, is_copy boolean"
 
 
-def _delete(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in CLEAN.split(", ")]
     for batch in batches:
         more = batch.schema.names[4:]  # carried columns
@@ -178,17 +175,19 @@ def _delete(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
         batch = batch.filter(met)
         found = batch.column(2)
         bounds = found.offsets.to_numpy()
-        src, diag, block, n_src = (found.values.field(c).to_numpy() for c in ("src", "diag", "block", "n_src"))
-        hashes = found.values.field("hashes")
-        where, held = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset :].astype(np.int64) // 4, hashes.buffers()[2]
-        held = np.frombuffer(held if held is not None else b"", np.uint32)
-        ids = batch.column(0).to_pylist()
+        pos, n = (found.values.field(c).to_numpy().astype(np.int64) for c in ("pos", "n"))
         for i, j, raw, offs in text_chunks(batch.column(1)):
-            row, start, end, h = words(raw, offs)
+            row, start, end, _ = words(raw, offs)
             at = np.searchsorted(row, np.arange(j - i + 1))
             m = slice(bounds[i], bounds[j])
-            of = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
-            r, a, b, _ = repeated(h.astype(np.uint32), at, ids[i:j], (of, src[m], diag[m], block[m], n_src[m], held, where[bounds[i] : bounds[j] + 1]), least, None)
+            from_ = np.repeat(at[:-1], np.diff(bounds[i : j + 1])) + pos[m]
+            depth = np.bincount(from_, minlength=len(row) + 1) - np.bincount(from_ + n[m], minlength=len(row) + 1)
+            gone = np.cumsum(depth)[:-1] > 0
+            first, last = gone.copy(), gone.copy()
+            first[1:] &= ~gone[:-1] | (row[1:] != row[:-1])
+            last[:-1] &= ~gone[1:] | (row[1:] != row[:-1])
+            a, b = np.flatnonzero(first), np.flatnonzero(last) + 1
+            r = row[a]
             texts = batch.column(1).slice(i, j - i)
             n_runs, n_deleted = np.bincount(r, minlength=j - i), np.bincount(r, b - a, j - i).astype(np.int64)
             if len(r):
@@ -217,22 +216,19 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *rest)
     if spare is not None:
         copies = written(near_duplicates(rows, percent=round(100 * spare)).where("not kept").select("doc_id", "component_id").distinct(), "copies")
-    batch_rows(docs.sparkSession, 250, "4m")  # a row holds a text and the blocks it is compared with
-    prints = arrow_map(rows.select("doc_id", "text").where("doc_id is not null"), lambda b: _prints(b, line, window), PRINTS)
+    batch_rows(docs.sparkSession, 250, "4m")  # a row holds a text and the places of its repeated runs
+    window = min(window, least - line + 1)
+    prints = arrow_map(rows.select("doc_id", "text").where("doc_id is not null"), lambda b: _prints(b, line, window, least), PRINTS)
     if spare is not None:
         prints = prints.join(copies, "doc_id", "left_anti")
     prints = written(prints, "prints")
-    firsts = prints.groupBy("fp").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    firsts = written(firsts.select("fp", F.col("first.doc_id").alias("src"), F.col("first.pos").alias("src_pos")), "firsts")
-    met = prints.join(firsts, "fp").where("doc_id != src or pos != src_pos")
-    reach = line + window - 1 + 10
-    blocks = F.sequence(F.floor(F.greatest(F.lit(0), F.col("src_pos") - reach) / BLOCK).cast("int"), F.floor((F.col("src_pos") + line + reach) / BLOCK).cast("int"))
-    met = met.select("doc_id", "src", (F.col("pos") - F.col("src_pos")).alias("diag"), F.explode(blocks).alias("block")).distinct()
-    met = written(met, "met")
-    wanted = met.select("src", "block").distinct().groupBy("src").agg(F.collect_set("block").alias("blocks"))
-    texts = rows.join(wanted, rows["doc_id"] == wanted["src"]).select("src", "text", "blocks")
-    fetched = written(arrow_map(texts, _blocks, BLOCKS).dropDuplicates(["src", "block"]), "blocks")
-    full = met.join(fetched, ["src", "block"]).groupBy("doc_id").agg(F.collect_list(F.struct("src", "diag", "block", "n_src", "hashes")).alias("found"))
+    often = written(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp"), "often")
+    held = prints.join(often, "fp").groupBy("doc_id").agg(F.collect_set("fp").alias("fps"))
+    texts = rows.select("doc_id", "text").join(held, "doc_id")
+    runs = written(arrow_map(texts, lambda b: _runs(b, line, window, least), RUNS), "runs")
+    firsts = runs.groupBy("run").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    later = runs.join(firsts.select("run", "first"), "run").where("doc_id != first.doc_id or pos != first.pos")
+    full = later.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "n")).alias("found"))
     if spare is not None:
         full = written(full, "found")
         cut_too = copies.join(full.withColumnRenamed("doc_id", "component_id"), "component_id")
@@ -246,4 +242,4 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
         full, text = full.withColumn("is_copy", F.lit(False)), "text"
     joined = rows.join(full, "doc_id", "left").select("doc_id", text, "found", F.coalesce("is_copy", F.lit(False)).alias("is_copy"), *(["row"] if carry else []))
     schema = StructType.fromDDL(CLEAN)
-    return arrow_map(joined, lambda b: _delete(b, least), schema.add("row", rows.schema["row"].dataType) if carry else schema)
+    return arrow_map(joined, _delete, schema.add("row", rows.schema["row"].dataType) if carry else schema)
