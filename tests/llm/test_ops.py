@@ -166,6 +166,23 @@ def test_line_dedup_against_runs(spark):
     assert [got[i] for i in range(len(texts))] == left_by_line_dedup(texts)
 
 
+def test_line_dedup_own_lines(spark):
+    rnd = np.random.default_rng(9)
+    pool = [[f"w{x}" for x in rnd.integers(0, 10**9, n)] for n in (1, 2, 3, 9, 10, 11, 39, 40, 41)]
+    texts = [[pool[k] for k in rnd.integers(0, len(pool), 5)] + [[f"own{i}", "of", str(i)]] for i in range(30)]
+    got = {r.doc_id: r.text.split() for r in line_dedup.dedup_lines(docs(spark, ["\n".join(map(" ".join, t)) for t in texts])).collect()}
+    runs = left_by_line_dedup([" ".join(sum(t, [])) for t in texts])
+    seen = set()
+    for i, t in enumerate(texts):
+        left = []
+        for x in t:
+            left += x if len(x) < 3 or tuple(x) not in seen else []
+            seen.add(tuple(x))
+        # a word stays if neither its line nor a run of 40 words deletes it
+        assert [w for w in got[i] if w in set(sum((x for x in t if len(x) >= 3), []))] == [w for w in left if w in set(sum((x for x in t if len(x) >= 3), [])) and w in set(runs[i])]
+        assert set(got[i]) <= set(runs[i]) and f"own{i}" in got[i]
+
+
 def test_line_dedup_spares_only_what_near_dedup_drops(spark):
     new = lambda k, n: [f"{k}{i}" for i in range(n)]
     first = new("a", 1000)

@@ -6,6 +6,9 @@ MIN_WORDS words holds one, and equal runs the same. Texts with fingerprints that
 each run of MIN_WORDS words that holds one of those is hashed as a whole and joined to its first position (by doc_id,
 then word), whatever the first position of its fingerprint. All words of later runs are deleted: exactly those that lie
 in MIN_WORDS words which occur earlier.
+
+A text's own lines, between line feeds, come in addition: one of MIN_LINE words or more that stood as a line earlier is
+deleted, however short of MIN_WORDS it is.
 """
 
 from __future__ import annotations
@@ -19,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ._common import arrow_map, batch_rows, gram_hashes, text_chunks, words, written
+from ._common import _Q, _pow, arrow_map, batch_rows, gram_hashes, mix64, text_chunks, words, written
 from .near_dup import near_duplicates
 
-LINE, WINDOW, MIN_WORDS = 10, 31, 40
+LINE, WINDOW, MIN_WORDS, MIN_LINE = 10, 31, 40, 3
 BLOCK = 128
 U64 = np.uint64
 TOP = U64(0xFFFFFFFFFFFFFFFF)
@@ -51,6 +54,20 @@ def winnow(row: np.ndarray, h: np.ndarray, line: int, window: int, least: int) -
     return at, low, chosen, g[chosen]
 
 
+def own_lines(raw: np.ndarray, row: np.ndarray, start: np.ndarray, h: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, words, hash) of the lines between line feeds that hold MIN_LINE words or more, but fewer than `least`."""
+    if not len(h):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), h
+    feed = np.searchsorted(np.flatnonzero((raw == 10) | (raw == 13)), start)
+    new = np.ones(len(h), bool)
+    new[1:] = (row[1:] != row[:-1]) | (feed[1:] != feed[:-1])
+    at = np.flatnonzero(new)
+    n = np.diff(np.append(at, len(h)))
+    total = np.add.reduceat(h * _pow(int(_Q), int(n.max()))[np.arange(len(h)) - np.repeat(at, n)], at)
+    mine = (n >= MIN_LINE) & (n < least)
+    return at[mine], n[mine], mix64(total + n.astype(U64))[mine]
+
+
 PRINTS = "fp long, doc_id long"
 
 
@@ -58,8 +75,10 @@ def _prints(batches: Iterator[pa.RecordBatch], line: int, window: int, least: in
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for i, _, raw, offs in text_chunks(batch.column(1)):
-            row, _, _, h = words(raw, offs)
+            row, start, _, h = words(raw, offs)
             _, _, at, g = winnow(row, h, line, window, least)
+            own, _, of = own_lines(raw, row, start, h, least)
+            at, g = np.concatenate([at, own]), np.concatenate([g, of])
             yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(ids[i + row[at]].astype(np.int64))], names=["fp", "doc_id"])
 
 
@@ -67,16 +86,21 @@ RUNS = "run long, doc_id long, pos int, n int"
 
 
 def _runs(batches: Iterator[pa.RecordBatch], line: int, window: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Hash, place and words of each run that holds one of the fingerprints in column 2; those of other rows may count too."""
+    """Hash, place and words of each run that holds one of the fingerprints in column 2, and of each own line that is one;
+    those of other rows may count too."""
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         held = batch.column(2)
         bounds, fps = held.offsets.to_numpy(), held.values.to_numpy().view(U64)
         for i, j, raw, offs in text_chunks(batch.column(1)):
-            row, _, _, h = words(raw, offs)
+            row, start, _, h = words(raw, offs)
+            known = np.unique(fps[bounds[i] : bounds[j]])
             at, low, _, _ = winnow(row, h, line, window, least)
-            at = at[np.isin(low, fps[bounds[i] : bounds[j]])]
-            run, n = gram_hashes(h, least)[at], np.full(len(at), least)
+            at = at[np.isin(low, known)]
+            own, size, of = own_lines(raw, row, start, h, least)
+            met = np.isin(of, known)
+            run, n = np.concatenate([gram_hashes(h, least)[at], of[met]]), np.concatenate([np.full(len(at), least), size[met]])
+            at = np.concatenate([at, own[met]])
             pos = at - np.searchsorted(row, row[at])
             yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(ids[i + row[at]].astype(np.int64)), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], names=["run", "doc_id", "pos", "n"])
 
