@@ -1,11 +1,12 @@
 """Line dedup by winnowing.
 
 Texts are reflowed by every site, so a line is here any LINE consecutive words, wherever the line feeds are. Of the
-hashes of all lines of a text the minimum of each window of WINDOW lines is kept as a fingerprint, so each run of
-MIN_WORDS words holds one, and equal runs the same. Texts with fingerprints that occur more than once are read again, and
-each run of MIN_WORDS words that holds one of those is hashed as a whole and joined to its first position (by doc_id,
-then word), whatever the first position of its fingerprint. All words of later runs are deleted: exactly those that lie
-in MIN_WORDS words which occur earlier.
+hashes of all lines of a text the minimum of each window of WINDOW lines is the fingerprint of the MIN_WORDS words from
+the window's start, so equal runs have equal fingerprints. Runs that follow on each other and share a fingerprint are a
+stretch, which is joined by the hash of all its words to its first position (by doc_id, then word). Where a fingerprint
+has unequal stretches, the first of each is read again and its runs of MIN_WORDS words are hashed one by one and joined
+to their first positions; later stretches need not be, as all their runs are in the first. All words of later stretches
+and runs are deleted: exactly those that lie in MIN_WORDS words which occur earlier.
 
 A text's own lines, between line feeds, come in addition: one of MIN_LINE words or more that stood as a line earlier is
 deleted, however short of MIN_WORDS it is.
@@ -40,18 +41,34 @@ def _slide(x: np.ndarray, w: int, pick) -> np.ndarray:
     return pick(m[: len(x) - w + 1], m[w - n : w - n + len(x) - w + 1]) if w > n else m
 
 
-def winnow(row: np.ndarray, h: np.ndarray, line: int, window: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, hash of its lowest line) of each run of `least` words of one text; (word, hash) of these lines."""
+def spans(h: np.ndarray, a: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Hash of the n words from each a on, the same as gram_hashes of n words."""
+    q = int(_Q)
+    total = np.concatenate([np.zeros(1, U64), np.cumsum(h * _pow(q, len(h))[: len(h)], dtype=U64)])
+    return mix64((total[a + n] - total[a]) * _pow(pow(q, -1, 1 << 64), len(h))[a] + n.astype(U64))
+
+
+def winnow(row: np.ndarray, h: np.ndarray, line: int, window: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, words, fingerprint) of each stretch: runs of `least` words of one text that follow on each other and
+    share their lowest line. A stretch in which that line may occur twice could repeat itself: its first run is given as
+    a stretch of its own too, which makes the fingerprint one of unequal stretches."""
     g = gram_hashes(h, line)
     n = max(0, len(h) - least + 1)
     at = np.flatnonzero(row[:n] == row[len(row) - n :])
     if not len(at):
-        return at, g[:0], at, g[:0]
+        return at, at, g[:0]
     low = _slide(g, window, np.minimum)[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1)
+    heads = np.flatnonzero(new)
     high = np.zeros(len(g) + window - 1, U64)
     high[at + window - 1] = low
-    chosen = np.flatnonzero(_slide(high, window, np.maximum) == g)
-    return at, low, chosen, g[chosen]
+    lowest = np.flatnonzero(_slide(high, window, np.maximum) == g)
+    lowest = lowest[np.argsort(g[lowest], kind="stable")]
+    close = (g[lowest[1:]] == g[lowest[:-1]]) & (lowest[1:] - lowest[:-1] <= window)
+    at, n, low = at[heads], np.diff(np.append(heads, len(at))) + least - 1, low[heads]
+    twice = np.isin(low, g[lowest[1:]][close]) & (n > least)
+    return np.concatenate([at, at[twice]]), np.concatenate([n, np.full(twice.sum(), least)]), np.concatenate([low, low[twice]])
 
 
 def own_lines(raw: np.ndarray, row: np.ndarray, start: np.ndarray, h: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,12 +80,11 @@ def own_lines(raw: np.ndarray, row: np.ndarray, start: np.ndarray, h: np.ndarray
     new[1:] = (row[1:] != row[:-1]) | (feed[1:] != feed[:-1])
     at = np.flatnonzero(new)
     n = np.diff(np.append(at, len(h)))
-    total = np.add.reduceat(h * _pow(int(_Q), int(n.max()))[np.arange(len(h)) - np.repeat(at, n)], at)
     mine = (n >= MIN_LINE) & (n < least)
-    return at[mine], n[mine], mix64(total + n.astype(U64))[mine]
+    return at[mine], n[mine], spans(h, at[mine], n[mine])
 
 
-PRINTS = "fp long, doc_id long"
+PRINTS = "stretch long, fp long, doc_id long, pos int, n int"
 
 
 def _prints(batches: Iterator[pa.RecordBatch], line: int, window: int, least: int) -> Iterator[pa.RecordBatch]:
@@ -76,33 +92,32 @@ def _prints(batches: Iterator[pa.RecordBatch], line: int, window: int, least: in
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for i, _, raw, offs in text_chunks(batch.column(1)):
             row, start, _, h = words(raw, offs)
-            _, _, at, g = winnow(row, h, line, window, least)
-            own, _, of = own_lines(raw, row, start, h, least)
-            at, g = np.concatenate([at, own]), np.concatenate([g, of])
-            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(ids[i + row[at]].astype(np.int64))], names=["fp", "doc_id"])
+            at, n, fp = winnow(row, h, line, window, least)
+            own, size, of = own_lines(raw, row, start, h, least)
+            whole = np.concatenate([spans(h, at, n), of])
+            at, n, fp = np.concatenate([at, own]), np.concatenate([n, size]), np.concatenate([fp, of])
+            pos = at - np.searchsorted(row, row[at])
+            yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)), pa.array(fp.view(np.int64)), pa.array(ids[i + row[at]].astype(np.int64)), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], names=["stretch", "fp", "doc_id", "pos", "n"])
 
 
-RUNS = "run long, doc_id long, pos int, n int"
+RUNS = "run long, doc_id long, pos int"
 
 
-def _runs(batches: Iterator[pa.RecordBatch], line: int, window: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Hash, place and words of each run that holds one of the fingerprints in column 2, and of each own line that is one;
-    those of other rows may count too."""
+def _runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Hash and place of each run of `least` words in the stretches of column 2."""
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        held = batch.column(2)
-        bounds, fps = held.offsets.to_numpy(), held.values.to_numpy().view(U64)
+        bounds = batch.column(2).offsets.to_numpy()
+        pos, n = (batch.column(2).values.field(c).to_numpy().astype(np.int64) for c in ("pos", "n"))
         for i, j, raw, offs in text_chunks(batch.column(1)):
-            row, start, _, h = words(raw, offs)
-            known = np.unique(fps[bounds[i] : bounds[j]])
-            at, low, _, _ = winnow(row, h, line, window, least)
-            at = at[np.isin(low, known)]
-            own, size, of = own_lines(raw, row, start, h, least)
-            met = np.isin(of, known)
-            run, n = np.concatenate([gram_hashes(h, least)[at], of[met]]), np.concatenate([np.full(len(at), least), size[met]])
-            at = np.concatenate([at, own[met]])
-            pos = at - np.searchsorted(row, row[at])
-            yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(ids[i + row[at]].astype(np.int64)), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], names=["run", "doc_id", "pos", "n"])
+            row, _, _, h = words(raw, offs)
+            at = np.searchsorted(row, np.arange(j - i + 1))
+            m = slice(bounds[i], bounds[j])
+            many = n[m] - least + 1
+            head = np.repeat(at[:-1], np.diff(bounds[i : j + 1])) + pos[m]
+            place = np.repeat(head - np.cumsum(many) + many, many) + np.arange(many.sum())
+            run, pos_ = gram_hashes(h, least)[place], place - at[row[place]]
+            yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(ids[i + row[place]].astype(np.int64)), pa.array(pos_.astype(np.int32))], names=["run", "doc_id", "pos"])
 
 
 def repeated(own: np.ndarray, at: np.ndarray, ids: list, found: tuple, least: int, spare: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -232,9 +247,9 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     and are edited alike, so a repeated row is not a repeat of itself. With `spare`, a text that near-duplicate removal
     at that Jaccard similarity of shingle sets links with an earlier one that stays is marked is_copy and left whole for
     that stage to drop, and no text is cut for what stands in it. Where the one that stays loses runs, its copies are
-    given its text and lose the same, so that they are still linked. Null texts stay null; null doc_ids and texts without matches pass unchanged; an empty table gives
-    no rows. Other columns are not read unless `carry` is set: then a struct `row` holds all columns but text as they
-    came, whatever their names.
+    given its text and lose the same, so that they are still linked. Null texts stay null; null doc_ids and
+    texts without matches pass unchanged; an empty table gives no rows. Other columns are not read unless `carry` is set:
+    then a struct `row` holds all columns but text as they came, whatever their names.
     """
     rest = [F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")] if carry else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *rest)
@@ -246,15 +261,20 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     if spare is not None:
         prints = prints.join(copies, "doc_id", "left_anti")
     prints = written(prints, "prints")
-    often = written(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp"), "often")
-    held = prints.join(often, "fp").groupBy("doc_id").agg(F.collect_set("fp").alias("fps"))
-    texts = rows.select("doc_id", "text").join(held, "doc_id")
-    runs = written(arrow_map(texts, lambda b: _runs(b, line, window, least), RUNS), "runs")
-    firsts = runs.groupBy("run").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    later = runs.join(firsts.select("run", "first"), "run").where("doc_id != first.doc_id or pos != first.pos")
-    full = later.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "n")).alias("found"))
+    place = F.struct("doc_id", "pos")
+    firsts = prints.groupBy("stretch").agg(F.min(place).alias("first"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.count(F.lit(1)).alias("times"))
+    firsts = written(firsts, "firsts")
+    mixed = firsts.where(F.col("n") >= least).groupBy("fp").agg(F.count(F.lit(1)).alias("stretches")).where("stretches > 1").select("fp")
+    again = firsts.where(F.col("n") >= least).join(mixed, "fp").groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("first.pos", "n")).alias("stretches"))
+    texts = rows.select("doc_id", "text").join(written(again, "again"), "doc_id")
+    runs = written(arrow_map(texts, lambda b: _runs(b, least), RUNS), "runs")
+    known = runs.groupBy("run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").select("run", "first")
+    at_first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))
+    parts = written(runs.join(known, "run").where(~at_first).select("doc_id", "pos", F.lit(least).alias("n")), "later-runs")
+    later = prints.select("stretch", "doc_id", "pos", "n").join(firsts.where("times > 1").select("stretch", "first"), "stretch").where(~at_first).select("doc_id", "pos", "n")
+    full = later.unionByName(parts).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "n")).alias("found"))
+    full = written(full, "found")
     if spare is not None:
-        full = written(full, "found")
         cut_too = copies.join(full.withColumnRenamed("doc_id", "component_id"), "component_id")
         led = written(cut_too.select("component_id").distinct(), "led")
         leads = rows.select(F.col("doc_id").alias("component_id"), F.col("text").alias("instead")).join(led, "component_id").dropDuplicates(["component_id"])
