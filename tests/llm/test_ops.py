@@ -111,6 +111,16 @@ def test_toxicity(spark, real, sf):
     assert [r.predicted for r in out] == [1, 0, 0, 1, 0]
 
 
+def test_toxicity_misspelled_terms(spark):
+    lexicon = tuple(toxicity.LEXICON)
+    for word, term in {"idoit": "idiot", "morron": "moron", "looser": "loser", "idiots": "idiot", "morons": "moron", "bitches": "bitch", "isgusting": "disgusting", "tsupid": "stupid", "you-idiot": "idiot", "scum/trash": "scum"}.items():
+        assert toxicity.match(word, lexicon)[0] == term
+    assert not any(toxicity.match(w, lexicon) for w in "closer crash break shine crown seine regard ordre well-known".split())
+    texts = ["total idoit", "such morons", "tsupid", "fool,you-idiot!now", "well-known crash"]
+    got = {r.doc_id: r.n_plain + r.n_fuzzy for r in toxicity.score_toxicity(docs(spark, texts), weights=toxicity.PRIOR.tolist()).collect()}
+    assert [got[i] for i in range(5)] == [1, 1, 1, 1, 0]
+
+
 def test_near_dup(spark, real):
     base = "a b c d e f g h i j k l m n o p q r s t u v w x y z".split()
     more = [" ".join(base), " ".join(base).upper(), " ".join(base[:-1] + ["q"]), "one two", "One  two", None, ""]

@@ -33,13 +33,21 @@ LEXICON = (
 REPORT = re.compile(r"\b(said|says|called|calls|word|words|term|quote|quoted|wrote|writes|insult|insulted|slur|dit|mot|terme|sagte|wort|begriff|dijo|palabra)\b", re.I)
 YOU = re.compile(r"\b(you|your|you're|youre|u|ur|tu|toi|vous|du|dich|dir|ihr|eres|usted|te)\b|!", re.I)
 LEET = str.maketrans("013457@$!|+", "oieastasiit")
+#: Ordinary words within the allowed distance of a term.
+ORDINARY = frozenset(
+    "idiom idioms boron moran maron mormon baron lose loses lost closer loner loners laser lasers lover lovers lower lowers poser posers user users hoser leser löser "
+    "loyer poser doser oser loger scam scams sum sums scrum scud slum swum cum scup crash brash thrash rash tras trass crown crowns blown flown lown clow clowned "
+    "batch botch butch birch pitch witch ditch hitch itch fitch aitch mitch break breaks wreak creak reak frank shine spine twine wine swing sine seine saine swipe chine swain "
+    "weird regard petard psych psyche cretan dastard garage fateful verein banker tanker hanker wander ranker walker anker winker wankel wrench retch slope galope escalope ordre bordure "
+    "trotter trottet carbón apathetic mirthless toothless wordless workless worthiness discussing disputing digesting disrupting regenerate regenerates regenerated generate degenerative".split()
+)
 #: Prior means: bias, plain hits, misspelled hits, quoted hits, hits at the second person.
 PRIOR = np.array([-3.0, 4.5, 3.5, -0.5, 0.5])
 
 
 def allowed(term: str) -> int:
     """The edit distance at which a term is caught."""
-    return 0 if len(term) <= 5 else 1 if len(term) <= 8 else 2
+    return 0 if len(term) <= 3 else 1 if len(term) <= 8 else 2
 
 
 @lru_cache(4)
@@ -74,12 +82,10 @@ class Automaton:
 
 
 def lookup(word: str, lexicon: tuple[str, ...]) -> tuple[str, int] | None:
-    """(term, edits) of the nearest term within its allowed distance and of the same first letter (ties: the first in
-    code-point order), by walking the automaton and the trie together."""
-    most = 2
-    auto, best = Automaton(word, most), None
-    first = trie(lexicon).get(word[:1])
-    stack = [(first, auto.step(auto.start, word[0]))] if first else []
+    """(term, edits) of the nearest term within its allowed distance (ties: the first in code-point order), by walking the
+    automaton and the trie together. Two letters exchanged and a plural ending are one edit; ordinary words are no term."""
+    auto, best = Automaton(word, 2), None
+    stack = [(trie(lexicon), auto.start)]
     while stack:
         node, state = stack.pop()
         term = node.get("")
@@ -90,17 +96,28 @@ def lookup(word: str, lexicon: tuple[str, ...]) -> tuple[str, int] | None:
                 nxt = auto.step(state, c)
                 if auto.live(nxt):
                     stack.append((below, nxt))
-    return best
+    if best is None or best[1] > 1:
+        near = [word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1)] + [word[: -len(e)] for e in ("s", "es", "en") if word.endswith(e)]
+        near = [t for t in near if allowed(t) and t in lexicon]
+        best = (min(near), 1) if near else best
+    return None if best and best[1] and word in ORDINARY else best
 
 
 EDGE = re.compile(r"^[^0-9A-Za-zÀ-ɏ@$]+|[^0-9A-Za-zÀ-ɏ]+$")
 
 
+PARTS = re.compile(r"[^0-9A-Za-zÀ-ɏ@$!|+*'’]+|!+(?=[a-zÀ-ɏ]{3})")
+
+
 def match(token: str, lexicon: tuple[str, ...]) -> tuple[str, int] | None:
-    """The term a token stands for, as written or with digits and signs read as letters (one edit more)."""
+    """The term a token stands for, as written or with digits and signs read as letters (one edit more);
+    failing that, the nearest term one of its parts between inner signs stands for."""
     low = EDGE.sub("", token).lower()
-    if not 3 <= len(low) <= 24:
+    if len(low) < 3:
         return None
+    if len(low) > 24:
+        parts = [match(x, lexicon) for x in PARTS.split(low) if x != low]
+        return min((x for x in parts if x), key=lambda x: (x[1], x[0]), default=None)
     plain = lookup(low, lexicon)
     if plain and not plain[1]:
         return plain
@@ -109,6 +126,9 @@ def match(token: str, lexicon: tuple[str, ...]) -> tuple[str, int] | None:
         other = lookup(bare, lexicon)
         if other and not other[1]:
             return other[0], 1
+    if plain is None:
+        parts = [lookup(x, lexicon) for x in PARTS.split(low) if len(x) >= 3 and x != low]
+        plain = min((x for x in parts if x), key=lambda x: (x[1], x[0]), default=None)
     return plain
 
 
@@ -122,6 +142,11 @@ def _letters(raw: np.ndarray) -> np.ndarray:
     return t[raw]
 
 
+#: Bytes at which match splits a word: ASCII signs that stand for no letter, and the first byte of dashes and dots.
+SPLITS = np.zeros(256, bool)
+SPLITS[[ord(c) for c in "\"#%&(),-./:;<=>?[\\]^_`{}~!"] + [0xE2]] = True
+
+
 def count_hits(raw: np.ndarray, offs: np.ndarray, lexicon: tuple[str, ...], known: dict) -> np.ndarray:
     """Per text: plain hits, misspelled hits, quoted hits, hits at the second person."""
     out = np.zeros((len(offs) - 1, 4))
@@ -132,11 +157,13 @@ def count_hits(raw: np.ndarray, offs: np.ndarray, lexicon: tuple[str, ...], know
     # a word within d edits of a term lacks at most d of its letters and has at most d others, signs aside
     bits = np.bitwise_or.reduceat(_letters(raw), start)[at]
     length = (end - start)[at]
+    inner = np.bitwise_or.reduceat(SPLITS[raw], start)[at]  # parts of such a word may be terms
     near = np.zeros(len(distinct), bool)
     for term in lexicon:
         mask = np.uint32(sum(1 << (ord(c) - 97) for c in set(term) if "a" <= c <= "z"))
         d = allowed(term)
-        near |= (np.bitwise_count(mask & ~bits) <= d) & (np.bitwise_count(bits & ~mask) <= d + 2) & (length >= len(term) - d) & (length <= len(term) + 12)
+        fits = (np.bitwise_count(bits & ~mask) <= d + 2) & (length <= len(term) + 12)
+        near |= (np.bitwise_count(mask & ~bits) <= d) & (fits | inner) & (length >= len(term) - d)
     hit = np.zeros(len(distinct), bool)
     for i in np.flatnonzero(near):
         key = int(distinct[i])
