@@ -81,10 +81,28 @@ class Automaton:
         return min(state) <= self.most
 
 
+def shorter(word: str, n: int) -> set[str]:
+    """The word with up to n letters taken out."""
+    out = last = {word}
+    for _ in range(n):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        out = out | last
+    return out
+
+
+@lru_cache(4)
+def shortened(lexicon: tuple[str, ...]) -> frozenset[str]:
+    return frozenset(x for term in lexicon for x in shorter(term, allowed(term)))
+
+
 def lookup(word: str, lexicon: tuple[str, ...]) -> tuple[str, int] | None:
     """(term, edits) of the nearest term within its allowed distance (ties: the first in code-point order), by walking the
     automaton and the trie together. Two letters exchanged and a plural ending are one edit; ordinary words are no term."""
-    auto, best = Automaton(word, 2), None
+    most, best = 2 if len(word) > 6 else 1, None  # terms of two edits have 9 letters or more
+    # a word and a term within so many edits are equal with as many letters taken out of each
+    if len(word) > max(map(len, lexicon)) + 2 or (shorter(word, most).isdisjoint(shortened(lexicon)) and word[:-2] not in lexicon):
+        return None
+    auto = Automaton(word, most)
     stack = [(trie(lexicon), auto.start)]
     while stack:
         node, state = stack.pop()
@@ -142,9 +160,11 @@ def _letters(raw: np.ndarray) -> np.ndarray:
     return t[raw]
 
 
-#: Bytes at which match splits a word: ASCII signs that stand for no letter, and the first byte of dashes and dots.
+LETTER = np.zeros(256, bool)
+LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(0xC3, 0xCA)]] = True
+#: ASCII signs at which match splits a word; dashes and the like begin with byte 0xE2.
 SPLITS = np.zeros(256, bool)
-SPLITS[[ord(c) for c in "\"#%&(),-./:;<=>?[\\]^_`{}~!"] + [0xE2]] = True
+SPLITS[[ord(c) for c in "\"#%&(),-./:;<=>?[\\]^_`{}~!"]] = True
 
 
 def count_hits(raw: np.ndarray, offs: np.ndarray, lexicon: tuple[str, ...], known: dict) -> np.ndarray:
@@ -157,12 +177,16 @@ def count_hits(raw: np.ndarray, offs: np.ndarray, lexicon: tuple[str, ...], know
     # a word within d edits of a term lacks at most d of its letters and has at most d others, signs aside
     bits = np.bitwise_or.reduceat(_letters(raw), start)[at]
     length = (end - start)[at]
-    inner = np.bitwise_or.reduceat(SPLITS[raw], start)[at]  # parts of such a word may be terms
+    letter = np.append(LETTER[raw], np.zeros(3, bool))
+    split = np.where(raw == 0xE2, letter[3:], SPLITS[raw] & letter[1:-2])
+    split[start] = False
+    inner = np.bitwise_or.reduceat(split, start)[at]  # parts of such a word may be terms
+    size = np.add.reduceat(letter[:-3].astype(np.int64), start)[at]
     near = np.zeros(len(distinct), bool)
     for term in lexicon:
         mask = np.uint32(sum(1 << (ord(c) - 97) for c in set(term) if "a" <= c <= "z"))
         d = allowed(term)
-        fits = (np.bitwise_count(bits & ~mask) <= d + 2) & (length <= len(term) + 12)
+        fits = (np.bitwise_count(bits & ~mask) <= d + 2) & (length <= len(term) + 12) & (size <= len(term.encode()) + 4)
         near |= (np.bitwise_count(mask & ~bits) <= d) & (fits | inner) & (length >= len(term) - d)
     hit = np.zeros(len(distinct), bool)
     for i in np.flatnonzero(near):
