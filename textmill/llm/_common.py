@@ -24,9 +24,12 @@ CHUNK_BYTES = 256 << 10
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every machine sees: spark.checkpoint.dir; a local one only where it is unset (tests)."""
+    """The folder every machine sees: spark.checkpoint.dir. Where it is unset, a local master may use its own folder;
+    on a cluster each machine would write to its own disk, so that is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         at = "file:///tmp/textmill-checkpoints"
     return at
 
@@ -39,7 +42,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/textmill/{uuid.uuid4().hex}-{name}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more. Call it only when all that was derived from them is written
+    or collected."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:
@@ -58,16 +72,19 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(out)
 
 
-def batch_rows(spark: SparkSession, rows: int, size: str = "64m") -> None:
-    """Rows and size of an Arrow batch from now on, in this session: operators whose rows are large, or that gain from
-    many at once, state theirs when they are called."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most `rows` rows and about `size` bytes (a larger row is a piece of its own), so that
+    what an operator holds at once does not hang on the session's Arrow settings."""
+    for batch in batches:
+        many = max(1, min(rows, batch.num_rows * size // max(batch.nbytes, 1)))
+        for i in range(0, batch.num_rows, many):
+            yield batch.slice(i, many)
 
 
-def arrow_map(df: DataFrame, f: Callable, schema) -> DataFrame:
+def arrow_map(df: DataFrame, f: Callable, schema, rows: int = 1000, size: int = 4 << 20) -> DataFrame:
+    """mapInArrow of f over pieces of the batches."""
     ship(df.sparkSession)
-    return df.mapInArrow(f, schema)
+    return df.mapInArrow(lambda batches: f(sliced(batches, rows, size)), schema)
 
 
 def text_buffers(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ._common import _Q, _pow, arrow_map, batch_rows, gram_hashes, mix64, text_chunks, words, written
+from ._common import _Q, _pow, arrow_map, gram_hashes, mix64, text_chunks, words, written
 from .near_dup import near_duplicates
 
 LINE, WINDOW, MIN_WORDS, MIN_LINE = 10, 31, 40, 3
@@ -255,7 +255,6 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *rest)
     if spare is not None:
         copies = written(near_duplicates(rows, percent=round(100 * spare)).where("not kept").select("doc_id", "component_id").distinct(), "copies")
-    batch_rows(docs.sparkSession, 250, "4m")  # a row holds a text and the places of its repeated runs
     window = min(window, least - line + 1)
     prints = arrow_map(rows.select("doc_id", "text").where("doc_id is not null"), lambda b: _prints(b, line, window, least), PRINTS)
     if spare is not None:

@@ -1,26 +1,31 @@
 """Toxicity by fuzzy lexicon hits in context.
 
-Each distinct word of a batch becomes a Levenshtein automaton that is intersected with a trie of the lexicon, so
-misspelled and disguised terms are caught at the edit distance the term's length allows. A window of words around each
-hit tells quotation (quote marks around it, a verb of reporting) from abuse (second person, exclamation). A logistic
-score over the counts is fitted on labelled documents, at most TRAIN_ROWS of them (those with the smallest hash), and
-falls back to its prior where no labels are given.
+The lexicon is learned: of labelled documents, those terms and stems that stand much more often in toxic than in clean
+ones, with their log-odds; a short list of stated terms is added. Each distinct word of a batch that can match becomes a
+Levenshtein automaton that is intersected with a trie of the lexicon, so misspelled and disguised terms are caught at the
+edit distance the term's length allows. A window of words around each hit tells quotation (quote marks around it, a verb
+of reporting) from abuse (second person, exclamation). A logistic score over evidence and counts is fitted on the
+labelled documents. Learning takes at most TOXIC_ROWS toxic and CLEAN_ROWS clean documents (those of the smallest hash).
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_map, batch_rows, text_chunks, words
+from ._common import _pow, arrow_map, discard, mix64, shingle_sets, text_chunks, words, written
 
-TRAIN_ROWS = 4000
+U64 = np.uint64
+TOXIC_ROWS, CLEAN_ROWS = 4000, 8000
 WINDOW = 8
 
 # fixed values: terms of abuse
@@ -41,17 +46,12 @@ ORDINARY = frozenset(
     "weird regard petard psych psyche cretan dastard garage fateful verein banker tanker hanker wander ranker walker anker winker wankel wrench retch slope galope escalope ordre bordure "
     "trotter trottet carbón apathetic mirthless toothless wordless workless worthiness discussing disputing digesting disrupting regenerate regenerates regenerated generate degenerative".split()
 )
-#: Prior means: bias, plain hits, misspelled hits, quoted hits, hits at the second person.
-PRIOR = np.array([-3.0, 4.5, 3.5, -0.5, 0.5])
-
-
 def allowed(term: str) -> int:
     """The edit distance at which a term is caught."""
     return 0 if len(term) <= 3 else 1 if len(term) <= 8 else 2
 
 
-@lru_cache(4)
-def trie(lexicon: tuple[str, ...]) -> dict:
+def trie(lexicon: Iterable[str]) -> dict:
     root: dict = {}
     for term in lexicon:
         node = root
@@ -81,119 +81,233 @@ class Automaton:
         return min(state) <= self.most
 
 
-def shorter(word: str, n: int) -> set[str]:
-    """The word with up to n letters taken out."""
-    out = last = {word}
-    for _ in range(n):
-        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
-        out = out | last
-    return out
+LEET_CODES = {ord(a): ord(b) for a, b in zip("013457@$!|+", "oieastasiit")}
+SMALL = 0x250  # code points whose case and kind are tabled
+IS_LETTER = np.array([chr(i).isalpha() for i in range(SMALL)])
+AS_LETTER = np.array([LEET_CODES.get(i, i if IS_LETTER[i] else 0) for i in range(SMALL)], np.uint32)
+#: Lengths of the prefixes that may be learned as stems.
+STEM = range(4, 11)
+
+
+class Codes:
+    """Hashes of stretches of one array of code points, from prefix sums of a polynomial."""
+
+    def __init__(self, codes: np.ndarray):
+        n = len(codes) + 1
+        self.total = np.concatenate([np.zeros(1, U64), np.cumsum(mix64(codes.astype(U64) + U64(1)) * _pow(BASE, n)[: n - 1], dtype=U64)])
+        self.inverse = _pow(pow(BASE, -1, 1 << 64), n)
+
+    def hash(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of the code points from each a up to each b."""
+        return (self.total[b] - self.total[a]) * self.inverse[a]
+
+
+BASE = 0x9E3779B97F4A7C15
+
+
+def laid_out(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code points of all strings, where each starts, where each ends)."""
+    ends = np.cumsum(np.array([len(x) for x in strings], np.int64))
+    return np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32), np.concatenate([[0], ends[:-1]]).astype(np.int64), ends
+
+
+def less_one(c: Codes, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which stretch, hash) of each stretch from a to b without one of its code points."""
+    n = b - a
+    which = np.repeat(np.arange(len(a)), n)
+    ends = np.cumsum(n)
+    k = np.arange(ends[-1] if len(n) else 0) + np.repeat(a - (ends - n), n)
+    return which, (c.total[k] - c.total[a[which]]) * c.inverse[a[which]] + (c.total[b[which]] - c.total[k + 1]) * c.inverse[a[which] + 1]
+
 
+def less_two(c: Codes, a: np.ndarray, n: int) -> np.ndarray:
+    """Hashes, a row for each stretch of n code points from a, without two of them."""
+    i, j = np.triu_indices(n, 1)
+    a = a[:, None]
+    return (c.total[a + i] - c.total[a]) * c.inverse[a] + (c.total[a + j] - c.total[a + i + 1]) * c.inverse[a + 1] + (c.total[a + n] - c.total[a + j + 1]) * c.inverse[a + 2]
 
-@lru_cache(4)
-def shortened(lexicon: tuple[str, ...]) -> frozenset[str]:
-    return frozenset(x for term in lexicon for x in shorter(term, allowed(term)))
-
-
-def lookup(word: str, lexicon: tuple[str, ...]) -> tuple[str, int] | None:
-    """(term, edits) of the nearest term within its allowed distance (ties: the first in code-point order), by walking the
-    automaton and the trie together. Two letters exchanged and a plural ending are one edit; ordinary words are no term."""
-    most, best = 2 if len(word) > 6 else 1, None  # terms of two edits have 9 letters or more
-    # a word and a term within so many edits are equal with as many letters taken out of each
-    if len(word) > max(map(len, lexicon)) + 2 or (shorter(word, most).isdisjoint(shortened(lexicon)) and word[:-2] not in lexicon):
-        return None
-    auto = Automaton(word, most)
-    stack = [(trie(lexicon), auto.start)]
-    while stack:
-        node, state = stack.pop()
-        term = node.get("")
-        if term and state[-1] <= allowed(term) and (best is None or (state[-1], term) < (best[1], best[0])):
-            best = (term, state[-1])
-        for c, below in node.items():
-            if c:
-                nxt = auto.step(state, c)
-                if auto.live(nxt):
-                    stack.append((below, nxt))
-    if best is None or best[1] > 1:
-        near = [word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1)] + [word[: -len(e)] for e in ("s", "es", "en") if word.endswith(e)]
-        near = [t for t in near if allowed(t) and t in lexicon]
-        best = (min(near), 1) if near else best
-    return None if best and best[1] and word in ORDINARY else best
-
-
-EDGE = re.compile(r"^[^0-9A-Za-zÀ-ɏ@$]+|[^0-9A-Za-zÀ-ɏ]+$")
-
-
-PARTS = re.compile(r"[^0-9A-Za-zÀ-ɏ@$!|+*'’]+|!+(?=[a-zÀ-ɏ]{3})")
-
-
-def match(token: str, lexicon: tuple[str, ...]) -> tuple[str, int] | None:
-    """The term a token stands for, as written or with digits and signs read as letters (one edit more);
-    failing that, the nearest term one of its parts between inner signs stands for."""
-    low = EDGE.sub("", token).lower()
-    if len(low) < 3:
-        return None
-    if len(low) > 24:
-        parts = [match(x, lexicon) for x in PARTS.split(low) if x != low]
-        return min((x for x in parts if x), key=lambda x: (x[1], x[0]), default=None)
-    plain = lookup(low, lexicon)
-    if plain and not plain[1]:
-        return plain
-    bare = re.sub(r"[^0-9a-zÀ-ɏ@$!|+]", "", low).translate(LEET)
-    if bare != low and bare:
-        other = lookup(bare, lexicon)
-        if other and not other[1]:
-            return other[0], 1
-    if plain is None:
-        parts = [lookup(x, lexicon) for x in PARTS.split(low) if len(x) >= 3 and x != low]
-        plain = min((x for x in parts if x), key=lambda x: (x[1], x[0]), default=None)
-    return plain
-
-
-def _letters(raw: np.ndarray) -> np.ndarray:
-    """Bit of the letter of each byte, digits and signs read as letters."""
-    t = np.zeros(256, np.uint32)
-    for c in range(26):
-        t[[65 + c, 97 + c]] = 1 << c
-    for a, b in zip("013457@$!|+", "oieastasiit"):
-        t[ord(a)] = 1 << (ord(b) - 97)
-    return t[raw]
-
-
-LETTER = np.zeros(256, bool)
-LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(0xC3, 0xCA)]] = True
-#: ASCII signs at which match splits a word; dashes and the like begin with byte 0xE2.
-SPLITS = np.zeros(256, bool)
-SPLITS[[ord(c) for c in "\"#%&(),-./:;<=>?[\\]^_`{}~!"]] = True
-
-
-def count_hits(raw: np.ndarray, offs: np.ndarray, lexicon: tuple[str, ...], known: dict) -> np.ndarray:
-    """Per text: plain hits, misspelled hits, quoted hits, hits at the second person."""
-    out = np.zeros((len(offs) - 1, 4))
+
+class Found:
+    """Membership of 64-bit hashes in a fixed set: a table of bits first, the sorted set for what passes."""
+
+    def __init__(self, *hashes: np.ndarray):
+        self.sorted = np.unique(np.concatenate([np.zeros(0, U64), *(h.ravel() for h in hashes)]))
+        self.shift = U64(64 - max(16, int(len(self.sorted) * 32).bit_length()))
+        self.bits = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.bits[(self.sorted >> self.shift).astype(np.int64)] = True
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        out = self.bits[(h >> self.shift).astype(np.int64)]
+        if len(self.sorted) and out.any():
+            place = np.minimum(np.searchsorted(self.sorted, h[out]), len(self.sorted) - 1)
+            out[out] = self.sorted[place] == h[out]
+        return out
+
+
+class Lexicon:
+    """Terms and stems with their evidence, terms that are matched exactly only, and ordinary words that stand for none.
+
+    `near` tells in bulk which letter strings can match at all: those that equal a term, begin with a stem, or share with
+    a term what is left when as many letters as it allows edits are taken out of each (terms of more than PAIRS letters:
+    hold one third of it at its place). Only these are walked through the trie, one by one.
+    """
+
+    PAIRS = 16
+
+    def __init__(self, terms: dict[str, float], stems: dict[str, float] | None = None, ordinary: Iterable[str] = (), exact_only: Iterable[str] = ()):
+        self.terms, self.stems, self.ordinary, self.exact_only = dict(terms), dict(stems or {}), frozenset(ordinary) - set(terms), frozenset(exact_only)
+        self._build()
+
+    def __getstate__(self):
+        return self.terms, self.stems, self.ordinary, self.exact_only
+
+    def __setstate__(self, state):
+        self.terms, self.stems, self.ordinary, self.exact_only = state
+        self._build()
+
+    def _build(self) -> None:
+        def whole(strings):
+            codes, a, b = laid_out(strings)
+            return Codes(codes).hash(a, b)
+
+        self.fuzzy = sorted(t for t in self.terms if allowed(t) and t not in self.exact_only)
+        self.trie = trie(self.fuzzy)
+        self.exact = Found(whole(list(self.terms)))
+        self.by_length = {n: Found(whole([s for s in self.stems if len(s) == n])) for n in sorted({len(s) for s in self.stems}, reverse=True)}
+        codes, a, b = laid_out(self.fuzzy)
+        c, n = Codes(codes), b - a
+        self.one = Found(c.hash(a, b), less_one(c, a, b)[1])
+        self.shortest, self.longest = int(min(n, default=0)), int(max(n, default=0))
+        pairs = np.flatnonzero((np.array([allowed(t) for t in self.fuzzy], np.int64) > 1) & (n <= self.PAIRS))
+        self.lengths = {x for m in set(n[pairs].tolist()) for x in range(m - 2, m + 3)}
+        self.two = Found(c.hash(a[pairs], b[pairs]), less_one(c, a[pairs], b[pairs])[1], *(less_two(c, a[pairs][n[pairs] == m], m) for m in set(n[pairs].tolist())))
+        thirds = [(len(t) // 3, t) for t in self.fuzzy if len(t) > self.PAIRS]
+        self.heads = {k: Found(whole([t[:k] for m, t in thirds if m == k])) for k in {m for m, _ in thirds}}
+        self.tails = {k: Found(whole([t[-k:] for m, t in thirds if m == k])) for k in {m for m, _ in thirds}}
+        spots = {(k + d, len(t) - 2 * k) for k, t in thirds for d in (-1, 0, 1)}
+        self.middles = {(at, m): Found(whole([t[k:-k] for k, t in thirds if abs(k - at) <= 1 and len(t) - 2 * k == m])) for at, m in spots}
+
+    def near(self, codes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the letters from each a up to each b can stand for a term."""
+        c, n = Codes(codes), b - a
+        h = c.hash(a, b)
+        out = self.exact.has(h) | self.one.has(h) | self.two.has(h)
+        for k, found in self.by_length.items():
+            at = np.flatnonzero(n > k)
+            out[at] |= found.has(c.hash(a[at], a[at] + k))
+        for k in (1, 2):  # endings
+            at = np.flatnonzero(n > k + 3)
+            out[at] |= self.exact.has(c.hash(a[at], b[at] - k))
+        at = np.flatnonzero((n >= self.shortest - 1) & (n <= self.longest + 1) & ~out)
+        which, h = less_one(c, a[at], b[at])
+        out[at[which[self.one.has(h) | (self.two.has(h) if self.lengths else False)]]] = True
+        for m in self.lengths & set(n.tolist()):
+            at = np.flatnonzero((n == m) & ~out)
+            out[at] = self.two.has(less_two(c, a[at], m)).any(1)
+        at = np.flatnonzero((n >= self.PAIRS - 1) & (n <= self.longest + 2) & ~out) if self.heads else n[:0]
+        for k, found in self.heads.items():
+            out[at] |= found.has(c.hash(a[at], a[at] + k))
+        for k, found in self.tails.items():
+            out[at] |= found.has(c.hash(b[at] - k, b[at]))
+        for (k, m), found in self.middles.items():
+            sure = at[n[at] >= k + m]
+            out[sure] |= found.has(c.hash(a[sure] + k, a[sure] + k + m))
+        return out
+
+    def lookup(self, word: str) -> tuple[str, int] | None:
+        """(term, edits) of the nearest term within its allowed distance (ties: the first in code-point order), by walking
+        the automaton and the trie together. Two letters exchanged and a plural ending are one edit; a word that begins
+        with a stem is that stem, `stem-` with no edit; ordinary words are no term."""
+        if word in self.terms:
+            return word, 0
+        if word in self.ordinary:
+            return None
+        for n in self.by_length:
+            if len(word) > n and word[:n] in self.stems:
+                return word[:n] + "-", 0
+        best = None
+        if self.shortest - 1 <= len(word) <= self.longest + 2:
+            auto = Automaton(word, 2 if len(word) > 6 else 1)  # terms of two edits have 9 letters or more
+            stack = [(self.trie, auto.start)]
+            while stack:
+                node, state = stack.pop()
+                term = node.get("")
+                if term and state[-1] <= allowed(term) and (best is None or (state[-1], term) < (best[1], best[0])):
+                    best = (term, state[-1])
+                for c, below in node.items():
+                    if c:
+                        nxt = auto.step(state, c)
+                        if auto.live(nxt):
+                            stack.append((below, nxt))
+        if best is None or best[1] > 1:
+            near = [word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1)] if len(word) <= self.longest else []
+            near += [word[: -len(e)] for e in ("s", "es", "en") if word.endswith(e)]
+            near = [t for t in near if t in self.terms and t not in self.exact_only and allowed(t)]
+            best = (min(near), 1) if near else best
+        return best
+
+    def match(self, token: str) -> tuple[str, int] | None:
+        """The term a lower-case token stands for, the nearest of: its runs of letters, and all of it with digits and
+        signs read as letters and the rest left out (at least one edit)."""
+        parts = LETTERS.findall(token)
+        found = [self.lookup(x) for x in parts]
+        bare = "".join(c for c in token.translate(LEET) if c.isalpha())
+        if bare and parts != [token]:
+            other = self.lookup(bare)
+            found.append(other and (other[0], other[1] + 1))
+        return min((x for x in found if x and x[1] <= 2), key=lambda x: (x[1], x[0]), default=None)
+
+    def weight(self, term: str) -> float:
+        return self.stems[term[:-1]] if term.endswith("-") else self.terms[term]
+
+
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def candidates(tokens: list[bytes], lexicon: Lexicon) -> tuple[list[str], np.ndarray]:
+    """The tokens in lower case, and which of them can match."""
+    low = b"\n".join(tokens).decode("utf-8", "replace").lower()
+    codes = np.frombuffer(low.encode("utf-32-le"), np.uint32)
+    tabled = codes < SMALL
+    small = np.where(tabled, codes, 0)
+    letter = IS_LETTER[small]
+    for i in np.flatnonzero(~tabled).tolist():
+        letter[i] = chr(codes[i]).isalpha()
+    token = np.cumsum(codes == 10)
+    token[codes == 10] -= 1
+    edge = np.diff(np.concatenate([[0], letter.view(np.int8), [0]]))
+    a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    out = np.zeros(len(tokens), bool)
+    out[token[a[lexicon.near(codes, a, b)]]] = True
+    mixed = np.zeros(len(tokens), bool)  # tokens with other than letters are read as letters throughout
+    mixed[token[~letter & (codes != 10)]] = True
+    mixed &= ~out
+    keep = mixed[token] & (codes != 10)
+    read = np.where(tabled, AS_LETTER[small], np.where(letter, codes, 0))
+    keep &= read > 0
+    if keep.any():
+        of, read = token[keep], read[keep]
+        a = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        b = np.append(a[1:], len(of))
+        out[of[a[lexicon.near(read, a, b)]]] = True
+    return low.split("\n"), out
+
+
+def find_hits(raw: np.ndarray, offs: np.ndarray, lexicon: Lexicon, known: dict) -> Iterator[tuple[int, str, str, int, bool, bool]]:
+    """(row, token, term, edits, quoted, direct) of each word that stands for a term."""
     row, start, end, h = words(raw, offs)
     if not len(h):
-        return out
+        return
     distinct, at, back = np.unique(h, return_index=True, return_inverse=True)
-    # a word within d edits of a term lacks at most d of its letters and has at most d others, signs aside
-    bits = np.bitwise_or.reduceat(_letters(raw), start)[at]
-    length = (end - start)[at]
-    letter = np.append(LETTER[raw], np.zeros(3, bool))
-    split = np.where(raw == 0xE2, letter[3:], SPLITS[raw] & letter[1:-2])
-    split[start] = False
-    inner = np.bitwise_or.reduceat(split, start)[at]  # parts of such a word may be terms
-    size = np.add.reduceat(letter[:-3].astype(np.int64), start)[at]
-    near = np.zeros(len(distinct), bool)
-    for term in lexicon:
-        mask = np.uint32(sum(1 << (ord(c) - 97) for c in set(term) if "a" <= c <= "z"))
-        d = allowed(term)
-        fits = (np.bitwise_count(bits & ~mask) <= d + 2) & (length <= len(term) + 12) & (size <= len(term.encode()) + 4)
-        near |= (np.bitwise_count(mask & ~bits) <= d) & (fits | inner) & (length >= len(term) - d)
-    hit = np.zeros(len(distinct), bool)
-    for i in np.flatnonzero(near):
-        key = int(distinct[i])
-        if key not in known:
-            known[key] = match(raw[start[at[i]] : end[at[i]]].tobytes().decode("utf-8", "replace"), lexicon)
-        hit[i] = known[key] is not None
+    keys = distinct.tolist()
+    new = [i for i, k in enumerate(keys) if k not in known]
+    if new:
+        body = raw.tobytes()
+        low, can = candidates([body[start[i] : end[i]] for i in at[new].tolist()], lexicon)
+        for i, k in enumerate(new):
+            got = lexicon.match(low[i]) if can[i] else None
+            known[keys[k]] = got and (low[i], *got)
+    hit = np.fromiter((known[k] is not None for k in keys), bool, len(keys))
     for t in np.flatnonzero(hit[back]):
         r = row[t]
         a, b = max(t - WINDOW, int(np.searchsorted(row, r))), min(t + WINDOW + 1, int(np.searchsorted(row, r, "right")))
@@ -202,74 +316,200 @@ def count_hits(raw: np.ndarray, offs: np.ndarray, lexicon: tuple[str, ...], know
         right = raw[end[t] : end[b - 1]].tobytes().decode("utf-8", "replace")
         opened = re.search(r"[\"“«„'‘][^\"“”«»„]*$", " " + left) or re.match(r"[\"“«„'‘]", own)
         closed = re.match(r"[^\"“”«»„]*[\"”»“'’]", right) or re.search(r"[\"”»“'’][.,;:!?]*$", own)
-        quoted = bool(opened and closed) or bool(REPORT.search(left[-40:]) and (opened or closed))
-        edits = known[int(h[t])][1]
+        quoted = bool(opened and closed) or bool(REPORT.search(left) and (opened or closed))
+        token, term, edits = known[int(h[t])]
+        yield int(r), token, term, edits, quoted, bool(not quoted and YOU.search(left + " " + right))
+
+
+COUNTS = ("n_plain", "n_fuzzy", "n_quoted", "n_direct")
+
+
+def measure(raw: np.ndarray, offs: np.ndarray, lexicon: Lexicon, known: dict) -> np.ndarray:
+    """Per text: plain, misspelled, quoted hits, hits at the second person; evidence of its distinct terms: sum, largest."""
+    out, seen = np.zeros((len(offs) - 1, 6)), set()
+    for r, _, term, edits, quoted, direct in find_hits(raw, offs, lexicon, known):
         out[r, 2 if quoted else int(edits > 0)] += 1
-        out[r, 3] += bool(not quoted and YOU.search(left[-40:] + " " + right[:40]))
+        out[r, 3] += direct
+        if not quoted and not edits and (r, term) not in seen:
+            seen.add((r, term))
+            out[r, 4] += lexicon.weight(term)
+            out[r, 5] = max(out[r, 5], lexicon.weight(term))
     return out
 
 
-def design(hits: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.ones(len(hits)), np.minimum(hits[:, 0], 1) + np.log1p(hits[:, 0]), np.minimum(hits[:, 1], 1) + np.log1p(hits[:, 1]), np.log1p(hits[:, 2]), np.log1p(hits[:, 3])])
+#: Prior weights: bias, evidence (sum, largest, number of plain hits), misspelled, quoted hits, hits at the second person.
+PRIOR = np.array([-4.0, 0.6, 0.8, 0.5, 3.0, -0.3, 0.4])
+MOST = 12.0  # beyond this sum evidence does not add up
+
+
+def design(m: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(m)), np.minimum(m[:, 4], MOST), m[:, 5], np.log1p(m[:, 0]), np.minimum(m[:, 1], 1) + np.log1p(m[:, 1]), np.log1p(m[:, 2]), np.log1p(m[:, 3])])
+
+
+def fit(m: np.ndarray, y: np.ndarray, strength: float = 0.5) -> np.ndarray:
+    """Logistic weights by Newton steps, halved until the penalised loss falls, drawn towards the prior."""
+    x, w = design(m), PRIOR.copy()
 
+    def loss(w):
+        z = x @ w
+        return np.logaddexp(0, z).sum() - y @ z + strength / 2 * ((w - PRIOR) ** 2).sum()
 
-def fit(hits: np.ndarray, y: np.ndarray, strength: float = 0.5) -> np.ndarray:
-    """Logistic weights by Newton steps, drawn towards the prior."""
-    x, w = design(hits), PRIOR.copy()
-    for _ in range(30):
+    for _ in range(50):
         p = 1 / (1 + np.exp(-x @ w))
-        g = x.T @ (p - y) + strength * (w - PRIOR)
-        hess = (x * (p * (1 - p))[:, None]).T @ x + strength * np.eye(len(w))
-        step = np.linalg.solve(hess, g)
-        w = w - np.clip(step, -2, 2)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + strength * np.eye(len(w)), x.T @ (p - y) + strength * (w - PRIOR))
+        k = 1.0
+        while k > 1e-6 and loss(w - k * step) > loss(w):
+            k /= 2
+        w = w - k * step
     return w
 
 
-HITS = "doc_id long, n_plain long, n_fuzzy long, n_quoted long, n_direct long"
+HITS = "doc_id long, n_plain long, n_fuzzy long, n_quoted long, n_direct long, evidence double, strongest double"
 
 
-def _hits(batches: Iterator[pa.RecordBatch], lexicon: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
-    known: dict = {}
+def _measured(batches: Iterator[pa.RecordBatch], lexicons: list[Lexicon], split: bool) -> Iterator[pa.RecordBatch]:
+    """With split, column 2 is a text's half, and it is measured by the lexicon of the other half."""
+    known: list[dict] = [{} for _ in lexicons]
+    names = ["doc_id", *COUNTS, "evidence", "strongest"]
     for batch in batches:
-        got = [count_hits(raw, offs, lexicon, known) for _, _, raw, offs in text_chunks(batch.column(1))]
-        n = np.concatenate(got).astype(np.int64) if got else np.zeros((0, 4), np.int64)
-        if len(known) > 500_000:
-            known.clear()
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(n[:, i]) for i in range(4))], names=["doc_id", "n_plain", "n_fuzzy", "n_quoted", "n_direct"])
+        for half, lexicon in enumerate(lexicons):
+            part = batch.filter(pc.equal(batch.column(2), 1 - half)) if split else batch
+            got = [measure(raw, offs, lexicon, known[half]) for _, _, raw, offs in text_chunks(part.column(1))]
+            m = np.concatenate(got) if got else np.zeros((0, 6))
+            if len(known[half]) > 500_000:
+                known[half].clear()
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(m[:, i].astype(np.int64)) for i in range(4)), pa.array(m[:, 4]), pa.array(m[:, 5])], names=names)
 
 
-def hits(docs: DataFrame, lexicon=tuple(LEXICON)) -> DataFrame:
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), lambda b: _hits(b, lexicon), HITS)
+def measured(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), lambda b: _measured(b, [lexicon], False), HITS)
 
 
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, lexicon=tuple(LEXICON), rows: int = TRAIN_ROWS) -> list[float]:
-    """Weights from at most `rows` labelled documents that are not held out; a doc_id labelled twice counts once (the
-    larger label)."""
-    known = labels.where("toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("y")).where(~held_out() & F.col("doc_id").isNotNull())
-    known = known.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    picked = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(known), "doc_id")  # at most `rows` pairs of numbers
-    got = hits(picked, lexicon).dropDuplicates(["doc_id"]).join(known, "doc_id").collect()
+def sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """(doc_id, text, half, y) of labelled documents that are not held out: those of the smallest hashes, at most `toxic`
+    and `clean` of each label; a doc_id labelled twice counts once (the larger label), one of two texts with the first."""
+    known = labels.where("toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where(~held_out() & F.col("doc_id").isNotNull())
+    known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
+    most = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, toxic), (0, clean))]
+    picked = F.broadcast(most[0].unionByName(most[1]))  # at most toxic + clean pairs of numbers
+    rows = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null").join(picked, "doc_id")
+    return rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", (F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2))).cast("int").alias("half"), "y")
+
+
+def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, j, raw, offs in text_chunks(batch.column(1)):
+            sets = [s[:size].view(np.int64) for s in shingle_sets(raw, offs)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([s.tolist() for s in sets], pa.list_(pa.int64()))], names=["doc_id", "grams"])
+
+
+def without_copies(rows: DataFrame, size: int = 8) -> DataFrame:
+    """Rows whose smallest shingle hashes are in no row of a smaller doc_id: copies say nothing new about a word."""
+    sk = arrow_map(rows.select("doc_id", "text"), lambda b: _sketch(b, size), "doc_id long, grams array<long>").select("doc_id", F.explode("grams").alias("gram"))
+    first = sk.groupBy("gram").agg(F.min("doc_id").alias("first"))
+    later = sk.join(first, "gram").where("first < doc_id").select("doc_id").distinct()
+    return rows.join(later, "doc_id", "left_anti")
+
+
+def _odds(halves: tuple[int, ...], n: dict) -> tuple:
+    """Log-odds of a term between toxic and clean documents of the halves, and that less two standard errors."""
+    a, b = (sum((F.col(f"{c}{h}") for h in halves), F.lit(0.5)) for c in "ab")
+    size = [sum(n.get((y, h), 0) for h in halves) + 1.0 for y in (1, 0)]
+    odds = F.log(a / size[0]) - F.log(b / size[1])
+    return odds, odds - 2 * F.sqrt(1 / a + 1 / b)
+
+
+MODELS = ((0,), (1,), (0, 1))
+LEAST, SURE, FORMS, USUAL = 3, 1.0, 4, 5
+SEED_WEIGHT = 3.5
+
+
+def learn(rows: DataFrame) -> list[Lexicon]:
+    """Lexicons from half 0, half 1 and both of labelled rows.
+
+    A term is a run of letters in at least LEAST toxic documents whose log-odds, less two standard errors, are above SURE.
+    So is a stem, a prefix of FORMS words that each lean towards toxic documents. Words of USUAL documents that begin with
+    a stem but are no terms are ordinary. Counts are aggregated in Spark; only what passes these bounds is collected.
+    The list of stated terms is added.
+    """
+    n = {(r.y, r.half): r["count"] for r in rows.groupBy("y", "half").count().collect()}
+    sides = [F.sum(((F.col("y") == y) & (F.col("half") == h)).cast("double")).alias(f"{c}{h}") for y, c in ((1, "a"), (0, "b")) for h in (0, 1)]
+    odds = [_odds(m, n) for m in MODELS]
+    toxic = [sum((F.col(f"a{h}") for h in m), F.lit(0.0)) for m in MODELS]
+    named = [F.when((a >= LEAST) & (sure > SURE), lean).alias(f"w{i}") for i, (a, (lean, sure)) in enumerate(zip(toxic, odds))]
+    some = F.coalesce(*[F.col(f"w{i}") for i in range(3)]).isNotNull()
+    runs = F.split(F.lower("text"), r"[^\p{L}]+")
+    prefixes = lambda w: F.array(*[F.when(F.length(w) > k, F.substring(w, 1, k)) for k in STEM])
+    counts = written(rows.select("y", "half", F.explode(F.array_distinct(runs)).alias("term")).where("term <> ''").groupBy("term").agg(*sides), "toxicity-words")
+    found = counts.select("term", *named).where(some).collect()
+    terms = [{r.term: r[f"w{i}"] for r in found if r[f"w{i}"] is not None} for i in range(3)]
+    lean = counts.where((toxic[2] >= 2) & (odds[2][0] > SURE)).select(F.explode(prefixes(F.col("term"))).alias("stem")).where("stem is not null")
+    lean = lean.groupBy("stem").agg(F.count(F.lit(1)).alias("forms")).where(F.col("forms") >= FORMS).select("stem")
+    every = rows.select("y", "half", F.explode(F.array_distinct(F.flatten(F.transform(runs, prefixes)))).alias("stem")).where("stem is not null")
+    got = every.groupBy("stem").agg(*sides).join(lean, "stem").select("stem", *named).where(some).collect()
+    stems = [{r.stem: r[f"w{i}"] for r in got if r[f"w{i}"] is not None} for i in range(3)]
+    begins = [F.substring("term", 1, k).isin(short) for k in STEM if (short := [s for s in set().union(*stems) if len(s) == k])]
+    usual = counts.where(sum((F.col(c) for c in ("a0", "a1", "b0", "b1")), F.lit(0.0)) >= USUAL).where(reduce(or_, begins)) if begins else counts.limit(0)
+    ordinary = {r.term for r in usual.select("term").collect()}
+    discard(counts)
+    return [Lexicon({**dict.fromkeys(LEXICON, SEED_WEIGHT), **t}, s, ORDINARY | ordinary) for t, s in zip(terms, stems)]
+
+
+def _misspelled(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[pa.RecordBatch]:
+    """(term, half, y) of each misspelled term of each text."""
+    known: dict = {}
+    for batch in batches:
+        half, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+        for i, _, raw, offs in text_chunks(batch.column(1)):
+            found = sorted({(i + r, term) for r, _, term, edits, _, _ in find_hits(raw, offs, lexicon, known) if edits})
+            row = np.array([r for r, _ in found], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([t for _, t in found], pa.string()), pa.array(half[row]), pa.array(y[row])], names=["term", "half", "y"])
+
+
+def train(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC_ROWS, clean: int = CLEAN_ROWS) -> tuple[Lexicon, list[float]]:
+    """(lexicon, weights) from at most `toxic` and `clean` labelled documents that are not held out.
+
+    Weights are fitted on each half of the sample as measured by the lexicon of the other half, so that a term counts as
+    it does in texts it was not learned from. A term whose near misses stand in more clean than toxic documents (by two or
+    more) is matched exactly only.
+    """
+    rows = written(sample(docs, labels, toxic, clean), "toxicity-sample")
+    fresh = written(without_copies(rows), "toxicity-fresh")
+    lexicons = learn(fresh)
+    near = arrow_map(fresh, lambda b: _misspelled(b, lexicons[2]), "term string, half int, y int").groupBy("term", "half", "y").count().collect()
+    loose = []
+    for halves in MODELS:
+        clean = Counter()
+        for r in near:
+            clean[r.term] += r["count"] * (r.half in halves) * (1 - 2 * r.y)
+        loose.append({t for t, k in clean.items() if k > 1})
+    lexicons = [Lexicon(x.terms, x.stems, x.ordinary, e) for x, e in zip(lexicons, loose)]
+    halves = arrow_map(fresh.select("doc_id", "text", "half"), lambda b: _measured(b, lexicons[:2], True), HITS)
+    got = halves.join(fresh.select("doc_id", "y"), "doc_id").collect()  # six numbers for each row of the bounded sample
+    discard(rows, fresh)
     if not got:
-        return PRIOR.tolist()
-    x = np.array([[r.n_plain, r.n_fuzzy, r.n_quoted, r.n_direct] for r in got], float)
-    return fit(x, np.array([r.y for r in got], float)).tolist()
+        return lexicons[2], PRIOR.tolist()
+    got.sort(key=lambda r: r.doc_id)
+    m = np.array([[r.n_plain, r.n_fuzzy, r.n_quoted, r.n_direct, r.evidence, r.strongest] for r in got], float)
+    return lexicons[2], fit(m, np.array([r.y for r in got], float)).tolist()
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame | None = None, lexicon=tuple(LEXICON), weights: list[float] | None = None, least: float = 0.7) -> DataFrame:
-    """One row per input row: doc_id, held_out, score, predicted, n_plain, n_fuzzy, n_quoted, n_direct.
+def score_toxicity(docs: DataFrame, labels: DataFrame | None = None, lexicon: Lexicon | None = None, weights: list[float] | None = None, least: float = 0.7) -> DataFrame:
+    """One row per input row: doc_id, held_out, score, predicted, n_plain, n_fuzzy, n_quoted, n_direct, evidence, strongest.
 
-    Null and empty texts have no hits and get the score of that. A null doc_id is not held out. Only doc_id and text
-    are read; repeated rows are scored alike; an empty table gives no rows.
+    With labels the lexicon and the weights are learned from them; without, the stated terms and the prior stand. Null
+    and empty texts have no hits and get the score of that. A null doc_id is not held out. Only doc_id and text are
+    read; repeated rows are scored alike; texts are read whole, however long; an empty table gives no rows.
     """
-    batch_rows(docs.sparkSession, 1000)
-    if weights is None:
-        weights = train(docs, labels, lexicon) if labels is not None else PRIOR.tolist()
+    if weights is None and labels is not None:
+        lexicon, weights = train(docs, labels)
+    lexicon, weights = lexicon or Lexicon(dict.fromkeys(LEXICON, SEED_WEIGHT), ordinary=ORDINARY), weights or PRIOR.tolist()
     ln = lambda c: F.log1p(F.col(c).cast("double"))
-    one = lambda c: F.least(F.col(c), F.lit(1)) + ln(c)
-    z = F.lit(weights[0]) + one("n_plain") * weights[1] + one("n_fuzzy") * weights[2] + ln("n_quoted") * weights[3] + ln("n_direct") * weights[4]
-    out = hits(docs, lexicon).withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
-    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"), "n_plain", "n_fuzzy", "n_quoted", "n_direct")
+    x = [F.lit(1.0), F.least(F.col("evidence"), F.lit(MOST)), F.col("strongest"), ln("n_plain"), F.least(F.col("n_fuzzy"), F.lit(1)) + ln("n_fuzzy"), ln("n_quoted"), ln("n_direct")]
+    z = sum((c * F.lit(float(w)) for c, w in zip(x[1:], weights[1:])), F.lit(float(weights[0])))
+    out = measured(docs, lexicon).withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"), *COUNTS, "evidence", "strongest")
