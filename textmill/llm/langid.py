@@ -3,9 +3,9 @@
 Features of a word are hashed byte n-grams (of 2, 3 and 4 bytes, with word-edge marks, so affixes are among them) and
 the word itself (a learned lexicon); transitions between the labels of neighbouring words are learned with them by
 gradient steps on the log-likelihood (forward-backward). A document's language is the label with the largest share of
-the expected words, each weighted by its letters. Training takes at most SAMPLE documents of each language (smallest
-hash), and of them at most PER_DOC words from a hashed place, cut into sequences, half of which are spliced
-from two languages so that switches are seen. Prediction reads whole texts.
+the expected words, each weighted by its letters. Training cuts the whole texts of at most SAMPLE documents of each
+language (smallest hash) into sequences of SPAN words and takes at most SEQUENCES of each language (smallest hash);
+half of them are spliced with another so that switches are seen. Prediction reads whole texts, however long.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ._common import BLANK, LOWER, arrow_map, mix64, text_chunks, words
 
-SAMPLE, PER_DOC, SPAN = 150, 240, 24
+SAMPLE, SEQUENCES, SPAN = 600, 800, 24
 BITS = 15
 STEP_BYTES = 12 << 20  # of text go through forward-backward together
 U64 = np.uint64
@@ -78,13 +78,14 @@ def emissions(raw: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray
     return out
 
 
-def marginals(e: np.ndarray, trans: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Posterior label probabilities of every word by forward-backward, all sequences in step.
+def marginals(e: np.ndarray, trans: np.ndarray, bounds: np.ndarray, pairs: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """Posterior label probabilities of every word by forward-backward, all sequences in step; with pairs, also the
+    expected number of times each label follows each.
 
     e: word scores, words of a sequence together; bounds: first word of each sequence and the end.
     """
     n, L = e.shape
-    out = np.zeros((n, L), e.dtype)
+    out, expected = np.zeros((n, L), e.dtype), np.zeros((L, L))
     length = np.diff(bounds)
     order = np.argsort(-length, kind="stable")
     length, first = length[order], bounds[:-1][order]
@@ -104,9 +105,29 @@ def marginals(e: np.ndarray, trans: np.ndarray, bounds: np.ndarray) -> np.ndarra
         i = first[:m] + t
         p = fwd[i] * b[:m]
         out[i] = p / p.sum(1, keepdims=True)
-        b[:m] = (x[i] * b[:m]) @ T.T
+        b[:m] = x[i] * b[:m]  # what this word and all later ones say, by this word's label
+        if pairs and t:
+            before = fwd[i - 1]
+            expected += T * ((before / ((before @ T) * b[:m]).sum(1, keepdims=True)).T @ b[:m])
+        b[:m] = b[:m] @ T.T
         b[:m] /= b[:m].sum(1, keepdims=True)
-    return out
+    return (out, expected) if pairs else out
+
+
+def gradient(w: np.ndarray, t: np.ndarray, owner: np.ndarray, f: np.ndarray, gold: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the log-likelihood of the gold labels by the feature weights and the transitions: found less expected counts.
+
+    owner, f: which feature is on which word."""
+    L = len(t)
+    e = np.stack([np.bincount(owner, w[f, k], minlength=len(gold)) for k in range(L)], 1)
+    post, expected = marginals(e, t, bounds, pairs=True)
+    diff = np.eye(L)[gold] - post
+    same = np.ones(max(len(gold) - 1, 0), bool)
+    inner = bounds[1:-1]
+    same[inner[(inner > 0) & (inner < len(gold))] - 1] = False
+    found = np.zeros((L, L))
+    np.add.at(found, (gold[:-1][same], gold[1:][same]), 1)
+    return np.stack([np.bincount(f, diff[owner, k], minlength=len(w)) for k in range(L)], 1), found - expected
 
 
 def fit(seqs: list[tuple[bytes, list[int]]], n_labels: int, rounds: int = 40, rate: float = 0.3, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
@@ -120,21 +141,9 @@ def fit(seqs: list[tuple[bytes, list[int]]], n_labels: int, rounds: int = 40, ra
     owner, f = byte_features(raw, start, end, h)
     w, t = np.zeros((1 << BITS, n_labels)), np.zeros((n_labels, n_labels))
     gw, gt = np.full_like(w, 1e-3), np.full_like(t, 1e-3)
-    same = row[1:] == row[:-1]
-    hot = np.eye(n_labels)[gold]
-    want = np.zeros_like(t)
-    np.add.at(want, (gold[:-1][same], gold[1:][same]), 1)
     for _ in range(rounds):
-        e = np.stack([np.bincount(owner, w[f, k], minlength=len(start)) for k in range(n_labels)], 1)
-        post = marginals(e, t, bounds)
-        diff = hot - post
-        grad = np.stack([np.bincount(f, diff[owner, k], minlength=len(w)) for k in range(n_labels)], 1) - decay * len(start) * w
-        # expected transitions: pair posteriors from neighbours' marginals through the transition matrix
-        x = np.exp(e - e.max(1, keepdims=True))
-        left, right = post[:-1][same], x[1:][same]
-        pair = left[:, :, None] * np.exp(t)[None] * right[:, None, :]
-        pair /= pair.sum((1, 2), keepdims=True)
-        gtr = want - pair.sum(0) - 0.01 * t
+        grad, gtr = gradient(w, t, owner, f, gold, bounds)
+        grad, gtr = grad - decay * len(start) * w, gtr - 0.01 * t
         gw += grad**2
         gt += gtr**2
         w += rate * grad / np.sqrt(gw)
@@ -146,21 +155,15 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def sequences(rows: list[tuple[int, str, str]], langs: list[str], per_doc: int = PER_DOC, span: int = SPAN) -> list[tuple[bytes, list[int]]]:
-    """Training sequences of about 2 * span words, by hash of the doc_id half of them spliced from two documents."""
-    cut = []
-    for doc_id, text, lang in rows:
-        w = [x for x in text.split() if any(c.isalpha() for c in x)]
-        at = (doc_id * 2654435761 % 2**32) % max(1, len(w) - per_doc)
-        w = w[at : at + per_doc]
-        cut += [(langs.index(lang), w[i : i + span]) for i in range(0, len(w), span)]
-    cut = [c for c in cut if c[1]]
+def spliced(cut: list[tuple[str, int]]) -> list[tuple[bytes, list[int]]]:
+    """Training sequences of (words, label): every other one is followed by one from elsewhere, so that switches are seen."""
     step = max(1, int(len(cut) * 0.382))
     out = []
-    for i, (k, w) in enumerate(cut):
-        k2, w2 = cut[(i + step) % len(cut)] if i % 2 else (k, [])
+    for i, (text, k) in enumerate(cut):
+        w = text.split(" ")
+        text2, k2 = cut[(i + step) % len(cut)] if i % 2 else ("", k)
+        w2 = text2.split(" ") if text2 else []
         out.append((" ".join(w + w2).encode(), [k] * len(w) + [k2] * len(w2)))
-    # words here are runs without ASCII blanks; texts may hold other blanks, which str.split also cut at
     return out
 
 
@@ -205,8 +208,9 @@ def _shares(texts: pa.Array, weights: np.ndarray, trans: np.ndarray) -> tuple[np
     return share, switched
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages, weights, transitions) from documents with a lang that are not held out."""
+def train(docs: DataFrame, sample: int = SAMPLE, sequences: int = SEQUENCES) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(languages, weights, transitions) from documents with a lang that are not held out: at most `sample` of each
+    language, and at most `sequences` of the sequences their whole texts are cut into."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     known = docs.select(F.col("doc_id").cast("long"), "lang", "text").where(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     # the smallest hashes of each language first within each slice of the hash, then over the slices: no language in one task
@@ -214,21 +218,20 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray,
     ids = known.select("doc_id", "lang").withColumn("s", F.pmod(F.xxhash64("doc_id"), F.lit(256)))
     ids = ids.withColumn("r", F.row_number().over(slice_)).where(F.col("r") <= sample).withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample)
     chosen = F.broadcast(ids.select("doc_id"))  # at most `sample` ids a language
-    rows = [(r.doc_id, r.text, r.lang) for r in known.join(chosen, "doc_id", "left_semi").withColumn("text", F.expr(_place())).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()]
-    langs = sorted({r[2] for r in rows})
+    # whole texts, cut into sequences of words that hold a letter; of these the smallest hashes
+    words_ = F.filter(F.split(F.min("text"), r"[\x20\x09-\x0D]+"), lambda x: x.rlike(r"\p{L}"))
+    cut = known.join(chosen, "doc_id", "left_semi").groupBy("doc_id", "lang").agg(words_.alias("w")).where(F.size("w") > 0)
+    cut = cut.select("doc_id", "lang", F.explode(F.transform(F.sequence(F.lit(1), F.size("w"), F.lit(SPAN)), lambda i: F.struct(i.alias("i"), F.array_join(F.slice("w", i, SPAN), " ").alias("words")))).alias("s"))
+    cut = cut.select("lang", "s.words", F.xxhash64("doc_id", "s.i").alias("h"), "doc_id", "s.i")
+    rank = Window.partitionBy("lang").orderBy("h", "doc_id", "i")
+    rows = cut.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= sequences).orderBy("h", "doc_id", "i").collect()
+    langs = sorted({r.lang for r in rows})
     if not langs:
         return [], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0))
-    seqs = sequences(rows, langs)
-    w, t = fit(seqs, len(langs)) if seqs else (np.zeros((1 << BITS, len(langs)), np.float32), np.zeros((len(langs), len(langs))))
+    w, t = fit(spliced([(r.words, langs.index(r.lang)) for r in rows]), len(langs))
     return langs, w, t
 
 
-def _place() -> str:
-    """A stretch of at most 8 * PER_DOC code points for training, from a hashed place of the text."""
-    n = 8 * PER_DOC
-    return f"substring(text, 1 + int(pmod(xxhash64(doc_id, 5), greatest(1, length(text) - {n}))), {n})"
-
-
 def predict_language(docs: DataFrame, model: tuple | None = None) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score, n_switched (label changes between words).
 
@@ -240,5 +243,5 @@ def predict_language(docs: DataFrame, model: tuple | None = None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
     if not langs:
         return rows.select("doc_id", held_out().alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("n_switched"))
-    out = arrow_map(rows, lambda b: _predict(b, w, t, langs), PREDICTED)
+    out = arrow_map(rows, lambda b: _predict(b, w, t, langs), PREDICTED, 10_000, 16 << 20)  # forward-backward takes texts in step
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_switched")
