@@ -1,5 +1,9 @@
 """Goldens of the rules on inline texts, greedy near-dedup against a sequential loop, JSONL accounting, streaming."""
 
+import hashlib
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,7 +50,8 @@ def test_question_types(spark):
 
 def test_greedy_near_dedup_is_sequential_greedy(spark, sf):
     docs = filters.clean(spark.read.parquet(f"{sf}/documents.parquet"))
-    inc = dedup.buckets(dedup.signatures(docs)).toPandas()
+    buckets = dedup.buckets(dedup.signatures(docs))
+    inc = buckets.toPandas()
     kept, taken = set(), set()
     for k, g in sorted(inc.groupby("doc_id")):
         own = set(zip(g.band, g.bucket))
@@ -56,6 +61,50 @@ def test_greedy_near_dedup_is_sequential_greedy(spark, sf):
     got = {r.doc_id for r in dedup.near_dedup(docs).select("doc_id").collect()}
     bare = {r.doc_id for r in docs.where("length(cleaned_text) = 0").select("doc_id").collect()}
     assert got == kept | bare
+    assert {r.doc_id for r in dedup.greedy_near_dedup(buckets, last=0).collect()} == kept
+
+
+def test_signatures_are_minima_of_hashed_grams(spark):
+    texts = ["光合作用", "aab", "a", "", None, "ab" * 3000, "\U0001f600é"]
+    for n in (1, 2, 5):
+        cfg = dedup.MinHashConfig(num_perm=8, shingle=n)
+        a, b = (x.tolist() for x in dedup.coefficients(8))
+        got = {r.doc_id: r.signature for r in dedup.signatures(frame(spark, texts, "cleaned_text"), cfg).collect()}
+        for i, t in enumerate(texts):
+            grams = {t[j : j + n] for j in range(len(t) - n + 1)} or {t} if t else set()
+            h = [int(hashlib.md5(g.encode()).hexdigest()[:7], 16) for g in grams]
+            assert got[i] == ([min((x * p + q) % dedup.PRIME for x in h) for p, q in zip(a, b)] if h else None)
+
+
+def test_exact_duplicates(spark):
+    rows = [(1, "a"), (2, "a"), (2, "b"), (1, "b"), (3, "c"), (3, "c"), (None, "d"), (4, "d"), (5, None), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id int, md5 string")
+    assert sorted(map(tuple, dedup.exact_dedup(df).collect()), key=str) == sorted([(1, "a"), (1, "b"), (3, "c"), (3, "c"), (None, "d"), (5, None)], key=str)
+    marked = df.withColumn("drop_reason", F.when(F.expr("doc_id = 1 and md5 = 'a'"), "length"))
+    got = {(r.doc_id, r.md5): r.drop_reason for r in dedup.mark_duplicates(marked).collect()}
+    assert (got[1, "a"], got[2, "a"], got[2, "b"], got[1, "b"], got[3, "c"], got[4, "d"]) == ("length", None, "md5_duplicate", None, None, "md5_duplicate")
+
+
+def test_quantiles(spark):
+    rnd = np.random.default_rng(2)
+    rows = [("a", float(v)) for v in rnd.integers(0, 40, 501)] + [("b", float(v)) for v in rnd.random(100)] + [("c", 1.5), ("d", None)]
+    df = spark.createDataFrame(rows, "kind string, v double")
+    points = (0.0, 0.1, 0.33, 0.5, 0.9, 1.0)
+    got = {r.kind: r.p for r in scoring.quantiles(df, "v", points, "kind").collect()}
+    for kind in "abc":
+        assert got[kind] == pytest.approx(np.quantile([v for k, v in rows if k == kind], points).tolist())
+    assert set(got) == set("abc")
+
+
+def test_perplexity_by_table_and_by_join(spark, monkeypatch):
+    df = frame(spark, ["abab", "a", None, "", "ba" * 400, "光合作用光合"], "cleaned_text")
+    by_table = {r.doc_id: r.perplexity for r in scoring.bigram_perplexity(df).collect()}
+    monkeypatch.setattr(scoring, "TABLE_ROWS", 0)
+    by_join = {r.doc_id: r.perplexity for r in scoring.bigram_perplexity(df).collect()}
+    assert by_table == pytest.approx(by_join) and [by_table[i] for i in (1, 2, 3)] == [float("inf")] * 3
+    pairs = [t[i : i + 2] for t in ("abab", "ba" * 400, "光合作用光合") for i in range(len(t) - 1)]
+    p = lambda c: (pairs.count(c) + 0.5) / (sum(x[0] == c[0] for x in pairs) + 0.5 * len({x[1] for x in pairs}))
+    assert by_table[0] == pytest.approx(math.exp(-sum(math.log(p(c)) for c in ("ab", "ba", "ab")) / 3))
 
 
 def test_thresholds(spark):

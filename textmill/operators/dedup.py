@@ -7,11 +7,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from ._store import stored
+from textmill.functions import grams
+
+from ._store import discard, ship, stored
 
 PRIME = 2**31 - 1
 
@@ -36,19 +39,29 @@ class MinHashConfig:
         return best[1:]
 
 
+def _firsts(df: DataFrame, order: str, md5: str, counts: Column) -> DataFrame:
+    """(order, digest, _first) of the first counted record of each digest. It is a min by digest with map-side combine,
+    and is joined back by order key and digest together, so a digest that a third of the corpus shares is no hot task."""
+    first = df.groupBy(md5).agg(F.min(F.when(counts, F.struct(order))).alias("_o")).where("_o is not null")
+    return stored(first.select(F.col("_o")[order].alias(order), md5, F.lit(True).alias("_first")), "first-by-digest")
+
+
 def exact_dedup(df: DataFrame, order: str = "doc_id", md5: str = "md5") -> DataFrame:
-    """The first record of each digest by `order`: a min by digest with map-side combine, so a digest that a third of
-    the corpus shares is no hot task. Records with the same digest and order key all stay (they are the same record)."""
-    first = df.groupBy(md5).agg(F.min(order).alias("_first"))
-    first = stored(first, "first-by-digest")
-    return df.join(first, md5).where(F.col(order).eqNullSafe(F.col("_first"))).drop("_first")
+    """The first record of each digest by `order` (a null one comes first). Records with the same digest and order key
+    all stay: they are the same record. df is written once, so that what digests are made of is computed once."""
+    df = stored(df, "digests")
+    first = _firsts(df, order, md5, F.lit(True)).withColumnsRenamed({order: "_k", md5: "_d"})
+    return df.join(first, F.col(order).eqNullSafe(F.col("_k")) & F.col(md5).eqNullSafe(F.col("_d")), "left_semi")
 
 
 def mark_duplicates(df: DataFrame, order: str = "doc_id") -> DataFrame:
-    """Sets drop_reason of later records with the digest of an earlier kept one."""
-    first = stored(df.where("drop_reason is null").groupBy("md5").agg(F.min(order).alias("_first")), "first-by-digest")
-    out = df.join(first, "md5", "left")
-    return out.withColumn("drop_reason", F.when(F.col("drop_reason").isNull() & (F.col(order) > F.col("_first")), "md5_duplicate").otherwise(F.col("drop_reason"))).drop("_first")
+    """Sets drop_reason of later records with the digest of an earlier kept one.
+
+    df is written once and not filtered: a filter on drop_reason would be pushed below the rules and run them anew."""
+    df = stored(df, "reasons")
+    first = _firsts(df, order, "md5", F.col("drop_reason").isNull()).withColumnsRenamed({order: "_k", "md5": "_d"})
+    out = df.join(first, F.col(order).eqNullSafe(F.col("_k")) & F.col("md5").eqNullSafe(F.col("_d")), "left").drop("_k", "_d")
+    return out.withColumn("drop_reason", F.when(F.col("drop_reason").isNull() & F.col("_first").isNull(), "md5_duplicate").otherwise(F.col("drop_reason"))).drop("_first")
 
 
 def coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,35 +70,42 @@ def coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array([value("a", k) + 1 for k in range(n)], np.uint64), np.array([value("b", k) for k in range(n)], np.uint64)
 
 
-def grams(text: str, n: int) -> set[str]:
-    """Distinct substrings of n characters; a shorter text is its own."""
-    return {text[i : i + n] for i in range(len(text) - n + 1)} if len(text) >= n else {text} if text else set()
+def _sign(batches: Iterator[pa.RecordBatch], cfg: MinHashConfig) -> Iterator[pa.RecordBatch]:
+    a, b = (x.astype(np.uint64) for x in coefficients(cfg.num_perm))
+    known: dict[str, int] = {}
+    for batch in batches:
+        for i, j, codes, bounds in grams.pieces(batch.column(1)):
+            row, gram, _, example = grams.counted(codes, bounds, cfg.shingle)
+            said = [codes[x : x + cfg.shingle].tobytes().decode("utf-32-le") for x in example.tolist()]
+            for r in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(bounds) < cfg.shingle)):  # a shorter text is its own gram
+                row, gram = np.append(row, r), np.append(gram, len(said))
+                said.append(codes[bounds[r] : bounds[r + 1]].tobytes().decode("utf-32-le"))
+            for g in said:
+                if g not in known:
+                    known[g] = int(hashlib.md5(g.encode()).hexdigest()[:7], 16)
+            h = np.array([known[g] for g in said], np.uint64)
+            every = ((h[:, None] * a + b) % np.uint64(PRIME)).astype(np.int64)
+            by_row = np.argsort(row, kind="stable")
+            row, gram = row[by_row], gram[by_row]
+            have, first = np.unique(row, return_index=True)
+            low = np.zeros((len(have), cfg.num_perm), np.int64)
+            cuts = np.append(first, len(row))
+            for s in range(0, len(have), 64):
+                part = cuts[s : s + 65]
+                low[s : s + 64] = np.minimum.reduceat(every[gram[part[0] : part[-1]]], part[:-1] - part[0])
+            size = np.zeros(j - i, np.int64)
+            size[have] = cfg.num_perm
+            offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), mask=np.append(size == 0, False))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(offsets, pa.array(low.ravel()))], names=[batch.schema.names[0], "signature"])
+        if len(known) > 1_000_000:
+            known.clear()
 
 
 def signatures(df: DataFrame, cfg: MinHashConfig = MinHashConfig(), text: str = "cleaned_text", key: str = "doc_id") -> DataFrame:
     """(key, signature): the minima of (a * h + b) mod (2^31 - 1) over the hashed grams; null for a text without any."""
-    a, b = coefficients(cfg.num_perm)
-
-    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, int] = {}
-        for texts in batches:
-            out = []
-            for t in texts:
-                own = grams(t or "", cfg.shingle)
-                for g in own:
-                    if g not in known:
-                        known[g] = int(hashlib.md5(g.encode()).hexdigest()[:7], 16)
-                h = np.fromiter((known[g] for g in own), np.uint64, len(own))
-                best = None
-                for s in range(0, len(h), 4096):
-                    low = ((h[s : s + 4096, None] * a + b) % np.uint64(PRIME)).min(0)
-                    best = low if best is None else np.minimum(best, low)
-                out.append(None if best is None else best.astype(np.int64).tolist())
-            if len(known) > 1_000_000:
-                known.clear()
-            yield pd.Series(out)
-
-    return df.select(F.col(key), F.pandas_udf(sign, "array<bigint>")(F.col(text)).alias("signature"))
+    ship(df.sparkSession)
+    schema = StructType([df.schema[key], StructField("signature", ArrayType(LongType()))])
+    return df.select(key, text).mapInArrow(lambda b: _sign(b, cfg), schema)
 
 
 def buckets(signed: DataFrame, cfg: MinHashConfig = MinHashConfig(), key: str = "doc_id") -> DataFrame:
@@ -95,24 +115,56 @@ def buckets(signed: DataFrame, cfg: MinHashConfig = MinHashConfig(), key: str =
     return signed.where("signature is not null").select(key, F.explode(band).alias("x")).select(key, "x.band", "x.bucket")
 
 
-def greedy_near_dedup(incidence: DataFrame, key: str = "doc_id") -> DataFrame:
+#: Incidences that one task goes through in order; more are first thinned out by rounds.
+LAST_ROWS = 1_000_000
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The kept keys of incidences sorted by key, one after the other."""
+    taken: set = set()
+    key, own, kept = None, set(), []
+
+    def decide() -> None:
+        if own and not own & taken:
+            taken.update(own)
+            kept.append(key)
+
+    for batch in batches:
+        for k, band, bucket in zip(*(c.to_pylist() for c in batch.columns)):
+            if k != key:
+                decide()
+                key, own = k, set()
+            own.add((band, bucket))
+        yield pa.RecordBatch.from_arrays([pa.array(kept, batch.schema.types[0])], names=["k"])
+        kept = []
+        schema = batch.schema
+    decide()
+    if kept:
+        yield pa.RecordBatch.from_arrays([pa.array(kept, schema.types[0])], names=["k"])
+
+
+def greedy_near_dedup(incidence: DataFrame, key: str = "doc_id", last: int = LAST_ROWS) -> DataFrame:
     """The keys that going through them in order keeps, where a key is dropped if it shares a bucket with a kept one.
 
     Rounds over the bucket incidence, no pairs: a key that is the smallest undecided one in all its buckets is kept, and
     every undecided key that shares a bucket with a kept one is dropped. Buckets are only aggregated to minima
-    (map-side), so one that holds a third of all keys is harmless. Each round writes what is still undecided.
+    (map-side), so one that holds a third of all keys is harmless. Each round writes what is still undecided; when that
+    is `last` rows or fewer, one task goes through the rest in order.
     """
-    open_ = stored(incidence.select(F.col(key).alias("k"), F.struct("band", "bucket").alias("b")).distinct(), "incidence")
+    open_ = stored(incidence.select(F.col(key).alias("k"), "band", "bucket").distinct(), "incidence")
     kept = None
-    while not open_.isEmpty():
-        lead = stored(open_.groupBy("b").agg(F.min("k").alias("lead")), "leads")
-        firsts = open_.join(lead, "b").groupBy("k").agg(F.min(F.col("k") == F.col("lead")).alias("first")).where("first").select("k")
-        firsts = stored(firsts, "kept")
+    while open_.count() > last:
+        lead = open_.groupBy("band", "bucket").agg(F.min("k").alias("lead"))
+        led = stored(open_.join(lead, ["band", "bucket"]), "led")
+        firsts = stored(led.groupBy("k").agg(F.min("lead").alias("lead")).where("k = lead").select("k"), "kept")
         kept = firsts if kept is None else kept.unionByName(firsts)
-        taken = stored(open_.join(firsts, "k", "left_semi").select("b").distinct(), "taken")
-        decided = stored(open_.join(taken, "b", "left_semi").select("k").distinct(), "decided")
-        open_ = stored(open_.join(decided, "k", "left_anti"), "open")
-    return (kept if kept is not None else incidence.select(F.col(key).alias("k")).limit(0)).withColumnRenamed("k", key)
+        gone = led.join(firsts.withColumnRenamed("k", "lead"), "lead", "left_semi").select("k").distinct()
+        left = stored(led.join(gone, "k", "left_anti").drop("lead"), "open")
+        discard(open_, led)
+        open_ = left
+    ship(open_.sparkSession)
+    rest = open_.coalesce(1).sortWithinPartitions("k").mapInArrow(_in_order, StructType([open_.schema["k"]]))
+    return (rest if kept is None else kept.unionByName(rest)).withColumnRenamed("k", key)
 
 
 def near_dedup(df: DataFrame, cfg: MinHashConfig = MinHashConfig(), text: str = "cleaned_text", key: str = "doc_id") -> DataFrame:

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import prompts, vocab
 from textmill.functions import text as T
 
-from ._store import numbered
+from ._store import numbered, stored
 
 
 @dataclass(frozen=True)
@@ -90,12 +92,17 @@ def batches(df: DataFrame, cfg: QaConfig = QaConfig()) -> DataFrame:
 
 
 def deduped(df: DataFrame, cfg: QaConfig = QaConfig()) -> DataFrame:
-    """Marks later equal pairs among the accepted ones: within a batch (needs batch_id), or anywhere."""
+    """Marks later equal pairs among the accepted ones: within a batch (needs batch_id), or anywhere.
+
+    The first of each pair is a minimum with map-side combine, joined back by its own place, so a pair that very many
+    texts yield is no hot task. df is written once."""
     group = ["question", "answer"] + (["batch_id"] if cfg.dedup == "batch" else [])
     order = ["seq"] if "seq" in df.columns else ["id", "attempt"]
+    df = stored(df, "pairs")
     good = F.col("fail_reason").isNull()
-    rank = F.row_number().over(Window.partitionBy(good.alias("g"), *[F.when(good, F.col(c)).otherwise(F.col("id").cast("string")) if c != "batch_id" else F.col(c) for c in group]).orderBy(*order))
-    return df.withColumn("_n", rank).withColumn("fail_reason", F.when(good & (F.col("_n") > 1), "批次内重复").otherwise(F.col("fail_reason"))).drop("_n")
+    first = df.where(good).groupBy(*group).agg(F.min(F.struct(*order)).alias("o")).select(*[F.col("o")[c].alias(f"_{c}") for c in order], F.lit(True).alias("_first"))
+    out = df.join(first, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order]), "left")
+    return out.withColumn("fail_reason", F.when(good & F.col("_first").isNull(), "批次内重复").otherwise(F.col("fail_reason"))).drop("_first", *[f"_{c}" for c in order])
 
 
 RECORD = ("id", "question", "answer", "status", "fail_reason", "question_type", "prompt_key")

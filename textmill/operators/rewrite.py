@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from textmill.functions import prompts, vocab
 from textmill.functions import text as T
 
+from .scoring import quantiles
+
 
 @dataclass(frozen=True)
 class RewriteConfig:
@@ -27,8 +29,9 @@ class RewriteConfig:
 
 def threshold(df: DataFrame, cfg: RewriteConfig = RewriteConfig()) -> DataFrame:
     """One row (rewrite_threshold): percentile of the positive perplexities of modern texts."""
-    p = F.when((F.col("text_type") == "modern_chinese") & (F.col("perplexity") > 0), F.col("perplexity"))
-    return df.agg(F.coalesce(F.percentile(p, F.lit(cfg.perplexity_pct)), F.lit(cfg.perplexity_default)).alias("rewrite_threshold"))
+    modern = df.where((F.col("text_type") == "modern_chinese") & (F.col("perplexity") > 0)).select("text_type", "perplexity")
+    p = quantiles(modern, "perplexity", (cfg.perplexity_pct,), "text_type")
+    return p.agg(F.coalesce(F.max(F.col("p")[0]), F.lit(cfg.perplexity_default)).alias("rewrite_threshold"))
 
 
 def route(df: DataFrame, limit: DataFrame, cfg: RewriteConfig = RewriteConfig(), key: str = "doc_id", text: str = "text") -> DataFrame:

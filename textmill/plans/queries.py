@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from textmill.functions import prompts, vocab
 from textmill.functions import text as T
 from textmill.operators import dedup, filters, generators, qa, rewrite, scoring
-from textmill.operators._store import stored
+from textmill.operators._store import shared_dir, spread, stored
 from textmill.plans import fixtures, pipeline
 from textmill.sources import jsonl
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet")
+    return spread(spark.read.parquet(f"{d}/documents.parquet"))
 
 
 def _clean(spark: SparkSession, d: str, inline: bool = True) -> DataFrame:
@@ -216,8 +216,7 @@ def embedding_cosine(spark, d):
 
 
 def jsonl_round_trip(spark, d):
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:///tmp/textmill-checkpoints"
-    path = f"{at}/textmill/{uuid.uuid4().hex}-jsonl"
+    path = f"{shared_dir(spark)}/textmill/{uuid.uuid4().hex}-jsonl"
     lines = _docs(spark, d).select(F.to_json(F.struct("doc_id", "text", "lang"), {"ignoreNullFields": "false"}).alias("value"))
     lines.select("value").write.text(path)
     folder = spark.read.text(path)
