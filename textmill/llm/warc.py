@@ -4,8 +4,9 @@ A revisit record carries headers and validators but no payload. It is resolved t
 the same canonical URL, if the validators agree: the revisit's ETag (weak comparison) where both have one, else its
 Last-Modified, else its payload digest. The permitted headers of the revisit replace those of the response.
 
-The history of one URL can be a third of all records, so it is cut into runs of `run` records: the last response of
-each run is carried to the following runs on a table of runs, and only the rest is done inside a run.
+The history of one URL can be a third of all records, so records are dealt by ranges of (URL, time) whatever URL they
+are of: the last response of each range is carried to the following ones on a table of ranges, and only the rest is done
+inside a range.
 """
 
 from __future__ import annotations
@@ -40,42 +41,42 @@ def _weak(etag: Column) -> Column:
 
 def merged_headers(old: Column, new: Column) -> Column:
     """Headers of the stored response with the permitted ones of the revisit in their place; names in lower case."""
-    low = lambda m: F.transform_keys(F.coalesce(m, F.create_map().cast("map<string,string>")), lambda k, _: F.lower(k))
+    # names that differ only in case are one field: the value of the last name in code-point order
+    entries = lambda m: F.array_sort(F.transform(F.map_entries(F.coalesce(m, F.create_map().cast("map<string,string>"))), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["key"].alias("as_sent"), e["value"].alias("v"))))
+    one = lambda es: F.filter(es, lambda e, i: ~F.coalesce(F.get(es, i + 1)["k"] == e["k"], F.lit(False)))
+    low = lambda m: F.map_from_entries(F.transform(one(entries(m)), lambda e: F.struct(e["k"], e["v"])))
     fresh = F.map_filter(low(new), lambda k, v: k.isin(*MERGED) & v.isNotNull())
     kept = F.map_filter(low(old), lambda k, _: ~F.array_contains(F.map_keys(fresh), k))
     return F.map_concat(kept, fresh)
 
 
-def resolve_revisits(records: DataFrame, run: int = 1024) -> DataFrame:
+def resolve_revisits(records: DataFrame, ranges: int | None = None) -> DataFrame:
     """One row per revisit: record_id, canon, ts, response_id, resolved, reason, headers.
 
-    records: record_id, ts (both orderable), url, kind ('response' or 'revisit'), etag, last_modified, digest, headers
-    (map of strings; names that differ only in case must not repeat). Records of a URL are ordered by ts, then responses
-    before revisits, then record_id; null ts comes first. reason: null if resolved, else 'no url' (null or blank url),
-    'no earlier response', 'validators differ' or 'no validator'; response_id is the candidate in the last two cases
-    and headers are then the revisit's own. Other columns are not read; repeated rows give repeated results; an empty
-    table gives none.
+    records: record_id, ts (both orderable), url, kind ('response' or 'revisit'; others are left out), etag,
+    last_modified, digest, headers (map of strings). Records of a URL are ordered by ts (null first), then responses
+    before revisits, then record_id (null first); rows equal in all of these are in no order. reason: null if resolved,
+    else 'no url' (null or blank url), 'no earlier response', 'validators differ' or 'no validator'; response_id is the
+    candidate in the last two cases and headers are then the permitted ones of the revisit. Header names are given in
+    lower case; of names that differ only in case the last in code-point order stands. Other columns are not read;
+    repeated rows give repeated results; an empty table gives none. ranges: into how many the records are dealt; by
+    default as many as the session's shuffles have partitions.
     """
     ok = F.col("canon").isNotNull() & (F.col("canon") != "")
-    recs = records.select("record_id", "ts", "kind", "etag", "last_modified", "digest", canonical_url(F.col("url")).alias("canon"))
-    recs = written(recs.where(F.col("kind").isin("response", "revisit")), "records")
+    recs = records.select("record_id", "ts", "kind", "etag", "last_modified", "digest", "headers", canonical_url(F.col("url")).alias("canon")).where(F.col("kind").isin("response", "revisit"))
+    recs = recs.withColumn("again", F.col("kind") == "revisit")
+    order = ["ts", "again", "record_id"]
     named = recs.where(ok)
-    # cut the history of long URLs by quantiles of ts: runs are intervals, so equal ts share a run
-    long_ = named.groupBy("canon").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(F.col("ts").cast("double"), F.array(*[F.lit(i / 64) for i in range(1, 64)]), F.lit(1000)).alias("cuts"))
-    long_ = written(long_.where(F.col("n") > run).select(F.col("canon").alias("c2"), F.array_distinct("cuts").alias("cuts")), "long")
-    named = named.join(long_, named["canon"] == long_["c2"], "left").withColumn(
-        "run", F.when(F.col("cuts").isNull() | F.col("ts").isNull(), F.lit(0)).otherwise(F.size(F.filter("cuts", lambda c: c < F.col("ts").cast("double"))))
-    ).drop("c2", "cuts")
+    named = named.repartitionByRange(*([ranges] if ranges else []), "canon", *order).withColumn("run", F.spark_partition_id())
     named = written(named, "runs")
-    order = [F.col("ts").asc_nulls_first(), F.when(F.col("kind") == "response", 0).otherwise(1), F.col("record_id")]
-    full = F.when(F.col("kind") == "response", F.struct("record_id", "etag", "last_modified", "digest"))
-    last = F.struct(F.col("ts").isNotNull().alias("has"), "ts", "record_id")
-    ends = named.where("kind = 'response'").groupBy("canon", "run").agg(F.max_by(F.struct("record_id", "etag", "last_modified", "digest"), last).alias("end"))
+    full = F.struct("record_id", "etag", "last_modified", "digest", "headers")
+    # null orders below all other values in a structure too
+    ends = named.where(~F.col("again")).groupBy("canon", "run").agg(F.max_by(full, F.struct("ts", "record_id")).alias("end"))
     spans = named.select("canon", "run").distinct().join(ends, ["canon", "run"], "left")
     before = F.last("end", ignorenulls=True).over(Window.partitionBy("canon").orderBy("run").rowsBetween(Window.unboundedPreceding, -1))
-    carried = written(spans.select("canon", "run", before.alias("carried")), "carried")
-    inside = F.last(full, ignorenulls=True).over(Window.partitionBy("canon", "run").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    asof = named.withColumn("inside", inside).where("kind = 'revisit'").join(carried, ["canon", "run"]).withColumn("r", F.coalesce("inside", "carried"))
+    carried = spans.select("canon", "run", before.alias("carried"))
+    inside = F.last(F.when(~F.col("again"), full), ignorenulls=True).over(Window.partitionBy("canon", "run").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1))
+    asof = named.withColumn("inside", inside).where("again").join(carried, ["canon", "run"]).withColumn("r", F.coalesce("inside", "carried"))
     r = F.col("r")
     verdict = (
         F.when(r.isNull(), "no earlier response")
@@ -84,16 +85,13 @@ def resolve_revisits(records: DataFrame, run: int = 1024) -> DataFrame:
         .when(F.col("digest").isNotNull() & r["digest"].isNotNull(), F.when(F.col("digest") != r["digest"], "validators differ"))
         .otherwise("no validator")
     )
-    found = asof.select("record_id", "canon", "ts", r["record_id"].alias("response_id"), verdict.alias("reason"))
-    lost = recs.where(~F.coalesce(ok, F.lit(False)) & (F.col("kind") == "revisit")).select("record_id", "canon", "ts", F.lit(None).cast(recs.schema["record_id"].dataType).alias("response_id"), F.lit("no url").alias("reason"))
-    found = written(found.unionByName(lost), "resolved")
-    heads = records.select(F.col("record_id").alias("h_id"), "headers", F.col("kind").alias("h_kind")).where("h_id is not null").dropDuplicates(["h_id", "h_kind"])
-    mine, theirs = heads.where("h_kind = 'revisit'"), heads.where("h_kind = 'response'")
-    out = found.join(mine.select("h_id", F.col("headers").alias("own")), found["record_id"] == F.col("h_id"), "left").drop("h_id")
-    out = out.join(theirs.select("h_id", F.col("headers").alias("stored")), out["response_id"] == F.col("h_id"), "left")
+    found = asof.select("record_id", "canon", "ts", r["record_id"].alias("response_id"), verdict.alias("reason"), F.col("headers").alias("own"), r["headers"].alias("stored"))
+    lost = recs.where(~F.coalesce(ok, F.lit(False)) & F.col("again"))
+    none = lambda c: F.lit(None).cast(recs.schema[c].dataType)
+    lost = lost.select("record_id", "canon", "ts", none("record_id").alias("response_id"), F.lit("no url").alias("reason"), F.col("headers").alias("own"), none("headers").alias("stored"))
     resolved = F.col("reason").isNull()
-    return out.select(
-        "record_id", "canon", "ts", "response_id", resolved.alias("resolved"), "reason", F.when(resolved, merged_headers(F.col("stored"), F.col("own"))).otherwise(merged_headers(F.lit(None), F.col("own"))).alias("headers")
+    return found.unionByName(lost).select(
+        "record_id", "canon", "ts", "response_id", resolved.alias("resolved"), "reason", merged_headers(F.when(resolved, F.col("stored")), F.col("own")).alias("headers")
     )
 
 
