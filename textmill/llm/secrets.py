@@ -1,8 +1,9 @@
 """Secret scans: two character Markov models, random strings against ordinary identifiers, by log-likelihood ratio.
 
 Both models are order-1 chains with additive smoothing, trained here from labelled samples that a seeded rule writes
-(SAMPLES strings of each label); no corpus row takes part in the fit. The threshold is the smallest ratio a character
-at which at most one in a thousand held-out ordinary strings passes.
+(SAMPLES strings of each label); no corpus row takes part in the fit. A run of SHORTEST characters or more is a secret
+if its log-likelihood ratio, a transition counted once, is EVIDENCE or more (random is a hundred thousand times likelier) and its ratio a character is
+above the one that one in a thousand held-out ordinary strings passes. A UUID names a thing and is no secret.
 """
 
 from __future__ import annotations
@@ -24,9 +25,11 @@ ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 HEX_LONG = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+UUID = re.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 KINDS = ("assign", "access", "hex", "random")
 SAMPLES = 3000
+SHORTEST, EVIDENCE = 16, 11.5  # CANDIDATE states the first too
 
 # fixed values: common parts of identifiers and words
 PARTS = (
@@ -46,6 +49,8 @@ ALPHABETS = (
     "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
     "0123456789abcdef",
     "0123456789ABCDEF",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "abcdefghijklmnopqrstuvwxyz",
 )
 STATES = "^ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CODE = np.zeros(256, np.int64)
@@ -87,8 +92,8 @@ def model() -> tuple[np.ndarray, float]:
     secret, plain = samples(1)
     ratio = fit(secret) - fit(plain)
     _, held = samples(2, 2 * SAMPLES)
-    scores = sorted(score(x, ratio) for x in held if len(x) >= 20)
-    return ratio, max(0.1, scores[int(len(scores) * 0.999)])
+    scores = sorted(score(x, ratio) for x in held if len(x) >= SHORTEST)
+    return ratio, max(0.3, scores[int(len(scores) * 0.999)])
 
 
 def score(text: str, ratio: np.ndarray) -> float:
@@ -108,9 +113,19 @@ def base_spans(text: str, low: str | None = None) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def evidence(text: str, ratio: np.ndarray) -> float:
+    """The ratio summed over distinct transitions: padding and repeated patterns say nothing new."""
+    c = CODE[np.frombuffer(("^" + text).encode("ascii"), np.uint8)]
+    return float(ratio.ravel()[np.unique(c[:-1] * len(STATES) + c[1:])].sum())
+
+
+def is_secret(text: str, ratio: np.ndarray, least: float) -> bool:
+    return score(text, ratio) > least and evidence(text, ratio) >= EVIDENCE and not UUID.fullmatch(text)
+
+
 def added_spans(text: str, ratio: np.ndarray, least: float) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of random-looking runs of 20 or more that the models call secret."""
-    return [(m.start(), 3, m.end()) for m in CANDIDATE.finditer(text) if score(m[0], ratio) > least and any(c.isdigit() for c in m[0])]
+    """(start, kind, end) of the runs that the models call secret."""
+    return [(m.start(), 3, m.end()) for m in CANDIDATE.finditer(text) if is_secret(m[0], ratio, least)]
 
 
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, n_random long, spans string"
@@ -138,6 +153,6 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     Spans are kind:start:end in code points, by start, then kind. Null text counts as empty; null and repeated doc_ids
     pass through; other columns are not read. Overlapping spans of different base kinds all stay; an added span
-    (kind random) overlaps none of the base ones.
+    (kind random) overlaps none of the base ones. Texts are read whole, however long; an empty table gives no rows.
     """
     return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), _scan, SCHEMA)
