@@ -426,14 +426,15 @@ def _odds(halves: tuple[int, ...], n: dict) -> tuple:
 MODELS = ((0,), (1,), (0, 1))
 LEAST, SURE, FORMS, USUAL = 3, 1.0, 4, 5
 SEED_WEIGHT = 3.5
+QUOTED = r"[\"“«„][^\"“”«»„]{1,80}[\"”»“]"
 
 
 def learn(rows: DataFrame) -> list[Lexicon]:
     """Lexicons from half 0, half 1 and both of labelled rows.
 
-    A term is a run of letters in at least LEAST toxic documents whose log-odds, less two standard errors, are above SURE.
+    Quoted stretches are left out. A term is a run of letters in at least LEAST toxic documents whose log-odds, less two standard errors, are above SURE.
     So is a stem, a prefix of FORMS words that each lean towards toxic documents. Words of USUAL documents that begin with
-    a stem but are no terms are ordinary. Counts are aggregated in Spark; only what passes these bounds is collected.
+    a stem but do not lean towards toxic documents are ordinary. Counts are aggregated in Spark; only what passes these bounds is collected.
     The list of stated terms is added.
     """
     n = {(r.y, r.half): r["count"] for r in rows.groupBy("y", "half").count().collect()}
@@ -442,7 +443,7 @@ def learn(rows: DataFrame) -> list[Lexicon]:
     toxic = [sum((F.col(f"a{h}") for h in m), F.lit(0.0)) for m in MODELS]
     named = [F.when((a >= LEAST) & (sure > SURE), lean).alias(f"w{i}") for i, (a, (lean, sure)) in enumerate(zip(toxic, odds))]
     some = F.coalesce(*[F.col(f"w{i}") for i in range(3)]).isNotNull()
-    runs = F.split(F.lower("text"), r"[^\p{L}]+")
+    runs = F.split(F.lower(F.regexp_replace("text", QUOTED, " ")), r"[^\p{L}]+")
     prefixes = lambda w: F.array(*[F.when(F.length(w) > k, F.substring(w, 1, k)) for k in STEM])
     counts = written(rows.select("y", "half", F.explode(F.array_distinct(runs)).alias("term")).where("term <> ''").groupBy("term").agg(*sides), "toxicity-words")
     found = counts.select("term", *named).where(some).collect()
@@ -453,7 +454,8 @@ def learn(rows: DataFrame) -> list[Lexicon]:
     got = every.groupBy("stem").agg(*sides).join(lean, "stem").select("stem", *named).where(some).collect()
     stems = [{r.stem: r[f"w{i}"] for r in got if r[f"w{i}"] is not None} for i in range(3)]
     begins = [F.substring("term", 1, k).isin(short) for k in STEM if (short := [s for s in set().union(*stems) if len(s) == k])]
-    usual = counts.where(sum((F.col(c) for c in ("a0", "a1", "b0", "b1")), F.lit(0.0)) >= USUAL).where(reduce(or_, begins)) if begins else counts.limit(0)
+    often = sum((F.col(c) for c in ("a0", "a1", "b0", "b1")), F.lit(0.0)) >= USUAL
+    usual = counts.where(often & (odds[2][0] <= SURE)).where(reduce(or_, begins)) if begins else counts.limit(0)
     ordinary = {r.term for r in usual.select("term").collect()}
     discard(counts)
     return [Lexicon({**dict.fromkeys(LEXICON, SEED_WEIGHT), **t}, s, ORDINARY | ordinary) for t, s in zip(terms, stems)]
