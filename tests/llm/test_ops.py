@@ -105,20 +105,98 @@ def test_secrets(spark):
     assert r.base_sha256 == hashlib.sha256(b"assign:2:27,access:29:49,hex:50:82").hexdigest()
 
 
-def test_toxicity(spark, real, sf):
-    assert toxicity.match("st*pid", tuple(toxicity.LEXICON)) == ("stupid", 1) and toxicity.match("loses", tuple(toxicity.LEXICON)) is None
-    out = toxicity.score_toxicity(docs(spark, ["you are an idiot", "nice words", 'he said "idiot" once', "an 1d1ot you are", None]), weights=toxicity.PRIOR.tolist()).orderBy("doc_id").collect()
-    assert [r.predicted for r in out] == [1, 0, 0, 1, 0]
-
-
-def test_toxicity_misspelled_terms(spark):
-    lexicon = tuple(toxicity.LEXICON)
-    for word, term in {"idoit": "idiot", "morron": "moron", "looser": "loser", "idiots": "idiot", "morons": "moron", "bitches": "bitch", "isgusting": "disgusting", "tsupid": "stupid", "you-idiot": "idiot", "scum/trash": "scum"}.items():
-        assert toxicity.match(word, lexicon)[0] == term
-    assert not any(toxicity.match(w, lexicon) for w in "closer crash break shine crown seine regard ordre well-known".split())
-    texts = ["total idoit", "such morons", "tsupid", "fool,you-idiot!now", "well-known crash"]
-    got = {r.doc_id: r.n_plain + r.n_fuzzy for r in toxicity.score_toxicity(docs(spark, texts), weights=toxicity.PRIOR.tolist()).collect()}
-    assert [got[i] for i in range(5)] == [1, 1, 1, 1, 0]
+def test_secrets_recall_and_precision(spark, real):
+    import random
+
+    rnd, ratio, least = random.Random(11), *secrets.model()
+    for alphabet in secrets.ALPHABETS:
+        for n in (16, 20, 32, 64):
+            found = [secrets.is_secret("".join(rnd.choices(alphabet, k=n)), ratio, least) for _ in range(200)]
+            assert np.mean(found) >= 0.95, (alphabet, n)
+    _, plain = secrets.samples(99)
+    assert np.mean([secrets.is_secret(x, ratio, least) for x in plain if len(x) >= secrets.SHORTEST]) <= 0.005
+    assert not secrets.is_secret("3f2504e0-4f89-41d3-9a0c-0305e82c3301", ratio, least)
+    text = "see " + "k" * 100_000 + " and 6Fq9ZxT1vB7mW3hKpL0d here " + "word " * 100_000
+    r = secrets.find_secrets(docs(spark, [text])).first()
+    assert r.spans == "random:100009:100029"
+    # invented words of the tables are ordinary
+    assert secrets.find_secrets(real).where("n_random > 0").join(real, "doc_id").where(~F.col("text").rlike("[A-Za-z0-9+/_=-]*[0-9][A-Za-z0-9+/_=-]*")).count() == 0
+
+
+def test_toxicity_without_labels(spark):
+    texts = ["you are an idiot", "nice words", 'he said "idiot" once', "an 1d1ot you are", None, "st*pid i-d-i-o-t you"]
+    out = toxicity.score_toxicity(docs(spark, texts)).orderBy("doc_id").collect()
+    assert [r.predicted for r in out] == [1, 0, 0, 1, 0, 1]
+
+
+def test_toxicity_misspelled_terms():
+    lexicon = toxicity.Lexicon(dict.fromkeys(toxicity.LEXICON, 3.0), ordinary=toxicity.ORDINARY)
+    tokens = {"idoit": "idiot", "morron": "moron", "looser": "loser", "idiots": "idiot", "morons": "moron", "bitches": "bitch", "isgusting": "disgusting", "tsupid": "stupid", "you-idiot": "idiot", "scum/trash": "scum",
+              "trahs": "trash", "xdiot": "idiot", "st*pid": "stupid", "1d1ot": "idiot", "diskusing": "disgusting", "w0rthl3ss": "worthless", "“cr\u00e9tin”": "crétin", "IDIOT!!": "idiot", "clownes": "clown"}
+    for word, term in tokens.items():
+        low, can = toxicity.candidates([b"x", word.encode()], lexicon)
+        assert not can[0] and can[1] and lexicon.match(low[1])[0] == term, word
+    assert not any(lexicon.match(w) for w in "closer crash break shine crown seine regard ordre well-known".split())
+
+
+def test_toxicity_filter_loses_no_near_term():
+    """What the bulk filter passes is a superset of what the automata accept."""
+    rnd = np.random.default_rng(8)
+    terms = ["".join(rnd.choice(list("abcé"), n)) for n in (3, 4, 5, 8, 9, 12, 16, 17, 20) for _ in range(3)]
+    lexicon = toxicity.Lexicon(dict.fromkeys(terms, 2.0), {"abca": 2.0})
+
+    def changed(w: str) -> str:
+        for _ in range(rnd.integers(0, 3)):
+            i = int(rnd.integers(0, len(w) + 1))
+            w = (w[:i] + "c" + w[i:], w[:i] + w[i + 1 :], w[:i] + "b" + w[i + 1 :])[rnd.integers(0, 3)]
+        return w
+
+    tokens = list(dict.fromkeys(x for t in terms for _ in range(60) if (x := changed(t))))
+    low, can = toxicity.candidates([t.encode() for t in tokens], lexicon)
+
+    def distance(a: str, b: str) -> int:
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    for t, c in zip(tokens, can):
+        near = [x for x in terms if distance(t, x) <= toxicity.allowed(x)]
+        assert c or not (near or t.startswith("abca") and len(t) > 4), t
+        if near and not t.startswith("abca"):
+            got = lexicon.match(t)
+            assert got and got[1] <= min(distance(t, x) for x in near)
+
+
+def test_toxicity_learns_terms_and_stems(spark):
+    """Terms of an invented language, each toxic text with forms of its own; half of the labels are held out."""
+    rnd = np.random.default_rng(6)
+    syllables = "ba ko ri tu mel san dor vi pe lu".split()
+    word = lambda: "".join(rnd.choice(syllables, rnd.integers(2, 5)))
+    rows, labels = [], []
+    for i in range(900):
+        w, bad = [word() for _ in range(40)], i % 5 == 0
+        if bad:
+            for _ in range(3):
+                w[rnd.integers(0, 40)] = "zgrum" + rnd.choice(syllables) + rnd.choice(syllables) if i % 2 else "fnord"
+        elif i % 7 == 0:
+            w[5:8] = ["so", '"fnord"', "steht"]
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(bad)))
+    docs_ = spark.createDataFrame(rows, "doc_id int, text string")
+    out = toxicity.score_toxicity(docs_, spark.createDataFrame(labels, "doc_id int, toxic int")).collect()
+    held = [(r.predicted, labels[r.doc_id][1]) for r in out if r.held_out]
+    assert len(held) > 200 and np.mean([p for p, y in held if y]) >= 0.9 and np.mean([p for p, y in held if not y]) <= 0.02
+
+
+def test_toxicity_on_odd_rows(spark):
+    long_ = "wort " * 200_000 + "you idiot"
+    rows = [(1, None, "a", 1), (2, "", "b", 2), (3, long_, "c", 3), (None, "you idiot", "d", 4), (4, "you idiot", "e", 5), (4, "you idiot", "e", 5)]
+    out = toxicity.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string, score string, evidence int")).collect()
+    got = {r.doc_id: r for r in out}
+    assert len(out) == 6 and got[1].score == got[2].score < 0.1 and got[3].score == got[4].score == got[None].score >= 0.7 and not got[None].held_out
 
 
 def test_near_dup(spark, real):
@@ -324,13 +402,16 @@ def test_embeddings(spark):
     assert embedding_dup.link_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+RECORDS = "record_id long, ts long, url string, kind string, etag string, last_modified string, digest string, headers map<string,string>"
+
+
 def test_revisits(spark, sf):
     rows = [(1, 10, "http://WWW.a.org/x/?utm_source=q#f", "response", '"e1"', None, None, {"Etag": '"e1"', "X": "1"}), (2, 20, "https://a.org/x", "revisit", 'W/"e1"', None, None, {"Date": "d2", "X": "2"}),
             (3, 5, "http://a.org/x", "revisit", None, None, None, {}), (4, 30, "http://a.org/x", "response", '"e2"', "m", None, {}), (5, 40, "http://a.org/x", "revisit", '"e1"', None, None, None),
             (6, 50, None, "revisit", None, None, None, None), (7, 60, "a.org/x", "revisit", None, None, "z", None)]
-    recs = spark.createDataFrame(rows, "record_id long, ts long, url string, kind string, etag string, last_modified string, digest string, headers map<string,string>")
-    for run in (1024, 1):
-        got = {r.record_id: r for r in warc.resolve_revisits(recs, run).collect()}
+    recs = spark.createDataFrame(rows, RECORDS)
+    for ranges in (None, 1, 50):
+        got = {r.record_id: r for r in warc.resolve_revisits(recs, ranges).collect()}
         assert (got[2].response_id, got[2].reason, got[2].headers) == (1, None, {"etag": '"e1"', "x": "1", "date": "d2"})
         assert [got[k].reason for k in (3, 5, 6, 7)] == ["no earlier response", "validators differ", "no url", "no validator"]
     assert warc.resolve_revisits(recs.limit(0)).count() == 0
@@ -339,3 +420,31 @@ def test_revisits(spark, sf):
     want = sorted(map(repr, con.execute(queries.OP5_SQL).fetchall()))
     cols = [c[0] for c in con.description]
     assert sorted(repr(tuple(r)) for r in queries.op5_warc_revisits(spark, sf).select(*cols).collect()) == want
+
+
+def test_revisits_odd_records(spark):
+    both = {"ETag": '"a"', "Etag": '"b"', "DATE": "d", "x": None}
+    rows = [(1, None, "a.org", "response", '"v"', None, None, {"X": "1"}), (2, None, "a.org", "revisit", '"v"', None, None, both), (2, None, "a.org", "revisit", '"v"', None, None, both),
+            (None, 3, "a.org", "response", '"n"', None, None, None), (4, 3, "a.org", "revisit", '"n"', None, None, None), (5, 3, "a.org", "response", '"w"', None, None, {}), (6, 3, "a.org", "metadata", None, None, None, None),
+            (7, 4, "a.org", "revisit", '"w"', None, None, {}), (None, 5, " ", "revisit", None, None, None, None)]
+    clash = spark.createDataFrame(rows, RECORDS).withColumns({c: F.lit("own") for c in ("canon", "run", "again", "end", "r")})
+    got = {(r.record_id, r.ts): r for r in warc.resolve_revisits(clash, 4).collect()}
+    assert len(warc.resolve_revisits(clash, 4).collect()) == 5
+    assert (got[2, None].response_id, got[2, None].headers) == (1, {"x": "1", "etag": '"b"', "date": "d"})
+    assert (got[4, 3].response_id, got[4, 3].reason) == (5, "validators differ")  # responses of the same ts come first, the null id before 5
+    assert (got[7, 4].response_id, got[7, 4].resolved, got[None, 5].reason) == (5, True, "no url")
+    dated = spark.createDataFrame(rows, RECORDS).withColumn("ts", F.date_add(F.lit("2024-01-01").cast("date"), F.col("ts").cast("int")))
+    assert {r.record_id for r in warc.resolve_revisits(dated).where("resolved").collect()} == {2, 7}
+
+
+def test_revisits_of_one_url_against_a_loop(spark):
+    rnd = np.random.default_rng(4)
+    rows = [(i, int(rnd.integers(0, 300)), "a.org/x", ("response", "revisit")[i % 2], f'"{rnd.integers(0, 3)}"', None, None, None) for i in range(1200)]
+    got = {r.record_id: (r.response_id, r.resolved) for r in warc.resolve_revisits(spark.createDataFrame(rows, RECORDS), 9).collect()}
+    last, want = None, {}
+    for r in sorted(rows, key=lambda r: (r[1], r[3] == "revisit", r[0])):
+        if r[3] == "response":
+            last = r
+        else:
+            want[r[0]] = (last and last[0], bool(last) and last[4] == r[4])
+    assert got == want

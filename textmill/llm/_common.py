@@ -5,73 +5,23 @@ Tokens are hashed in bulk with NumPy straight from the UTF-8 buffer of an Arrow
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.operators._store import discard, ship, spread  # noqa: F401
+from textmill.operators._store import stored as written
+
 WORD = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
 _P, _Q = U64(0x9E3779B97F4A7C15), U64(0xD1342543DE82EF95)
 CHUNK_BYTES = 256 << 10
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every machine sees: spark.checkpoint.dir. Where it is unset, a local master may use its own folder;
-    on a cluster each machine would write to its own disk, so that is an error."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        at = "file:///tmp/textmill-checkpoints"
-    return at
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends, a lost executor costs nothing.
-
-    The schema is given on reading, so empty results keep their columns.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textmill/{uuid.uuid4().hex}-{name}"
-    df.write.mode("overwrite").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_at = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete written tables that nothing reads any more. Call it only when all that was derived from them is written
-    or collected."""
-    for table in tables:
-        jvm = table.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table.written_at)
-        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once a session: they need not have it installed."""
-    sc = spark.sparkContext
-    if any("textmill-" in str(f) for f in sc.listFiles):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    out = os.path.join(tempfile.mkdtemp(), f"textmill-{uuid.uuid4().hex}.zip")
-    with zipfile.ZipFile(out, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    z.write(path, os.path.join("textmill", os.path.relpath(path, root)))
-    sc.addPyFile(out)
-
-
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most `rows` rows and about `size` bytes (a larger row is a piece of its own), so that
     what an operator holds at once does not hang on the session's Arrow settings."""
@@ -207,6 +157,7 @@ def components(edges: DataFrame) -> DataFrame:
     while not e.isEmpty():
         up = e.select(F.col("b").alias("id"), F.col("a").alias("to")).unionByName(e.select(F.col("a").alias("id"), F.col("b").alias("to")))
         up = written(up.groupBy("id").agg(F.min("to").alias("to")).select("id", F.least("id", "to").alias("to")), "parents")
+        old = [e, up] + ([] if labels is None else [labels])
         labels = up.select("id", F.col("to").alias("component")) if labels is None else (
             labels.join(up.withColumnRenamed("id", "component"), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
         )
@@ -219,6 +170,7 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         e = written(e, "edges")
+        discard(*old)
     if labels is None:
         return edges.select(F.col("a").alias("id"), F.col("a").alias("component")).limit(0)
     return labels
