@@ -402,6 +402,24 @@ def test_embeddings(spark):
     assert embedding_dup.link_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_embedding_audit_counts_links_only():
+    rnd = np.random.default_rng(12)
+    for dim, centres in ((16, 40), (64, 4000)):  # clusters, and vectors without any link
+        v = np.repeat(rnd.normal(size=(centres, dim)), 4000 // centres, axis=0) + 0.05 * rnd.normal(size=(4000, dim))
+        shard = embedding_dup.Shard(np.arange(4000), np.ones(4000, np.int64), v, 0.9)
+        assert shard.recall >= embedding_dup.RECALL
+        near = shard.unit @ shard.unit.T >= 0.9
+        np.fill_diagonal(near, False)
+        a, b = shard.found(shard.v, 0.9)
+        assert len(set(zip(a[a != b], b[a != b]))) >= 0.97 * near.sum()
+
+
+def test_embeddings_odd_rows(spark):
+    rows = [(None, [1.0, 0.0], "x", 1), (None, [1.0, 0.0], "x", 1), (7, [1.0, 0.01], "x", 1), (9, [1.0], "y", 2), (9, [1.0], "y", 2), (3, [], "z", 3), (4, [0.0, -1.0], "w", 4), (5, [float("inf"), 1.0], "w", 4)]
+    got = [tuple(r) for r in embedding_dup.link_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>, cls string, n int")).collect()]
+    assert sorted(got, key=str) == sorted([(None, 2, 7, False), (None, 2, 7, False), (7, 2, 7, True), (9, 1, 9, True), (9, 1, 9, True), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True)], key=str)
+
+
 RECORDS = "record_id long, ts long, url string, kind string, etag string, last_modified string, digest string, headers map<string,string>"
 
 

@@ -2,8 +2,8 @@
 
 Distinct vectors are dealt to shards by hash; each shard's graph is built in the task that holds it, and every distinct
 vector queries every shard. Queries walk the layers in step, as NumPy arrays. A query whose whole beam is links is
-asked again with a beam twice as wide, and a shard's first beam is doubled until an audit of AUDIT queries against
-brute force finds RECALL of the links. What is found is verified by cosine in double precision.
+asked again with a beam twice as wide, and a shard's first beam is doubled until an audit of AUDIT of its own vectors and
+as many planted neighbours against brute force finds RECALL of the links, those of a vector to itself left out. What is found is verified by cosine in double precision.
 """
 
 from __future__ import annotations
@@ -166,18 +166,39 @@ class Shard:
         self.v = self.unit.astype(np.float32)
         self.graph = Graph(self.v, mix64(ids.view(np.uint64)))
         self.label = np.arange(len(ids))
-        self.beam = 0
+        self.beam, self.recall = self.audited()
+
+    def audited(self) -> tuple[int, float]:
+        """(beam, recall): the beam is doubled until AUDIT queries on either side find RECALL of their links.
+
+        The queries are own vectors, dealt by hash, without their links to themselves, and as many moved away from them
+        to a cosine between the threshold and 1, half of them just above it; so links are there to be found even where
+        the shard holds none."""
+        picked = np.argsort(mix64(self.ids.view(np.uint64) ^ np.uint64(0x5EED)))[:AUDIT]
+        rnd = np.random.default_rng(len(self.ids))
+        away = rnd.normal(size=(len(picked), self.v.shape[1]))
+        away -= (away * self.unit[picked]).sum(1, keepdims=True) * self.unit[picked]
+        away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)
+        at = self.least + (1 - self.least) * np.where(np.arange(len(picked)) % 2, rnd.random(len(picked)), 0.02)[:, None]
+        moved = at * self.unit[picked] + np.sqrt(1 - at**2) * away
+        asked = np.concatenate([self.v[picked], moved.astype(np.float32)])
+        owner = np.concatenate([picked, np.full(len(picked), -1)])
+        truth = 0
+        for s in range(0, len(asked), 64):
+            part = asked[s : s + 64] @ self.v.T >= self.least
+            truth += int(part.sum()) - int(part[np.arange(len(part)), owner[s : s + 64]][owner[s : s + 64] >= 0].sum())
+        beam = min(BEAM, len(self.v))
+        while True:
+            self.beam = beam
+            a, b = self.found(asked, self.least)
+            recall = float((b != owner[a]).sum()) / truth if truth else 1.0
+            if recall >= RECALL or beam == len(self.v):
+                return beam, recall
+            beam = min(2 * beam, len(self.v))
 
     def links(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, vector) of what is found at the threshold, in single precision with slack."""
-        v = q.astype(np.float32)
-        if not self.beam:
-            self.beam = min(BEAM, len(self.v))
-            sample = v[:: max(1, len(v) // AUDIT)][:AUDIT]
-            truth = int((sample @ self.v.T >= self.least).sum())
-            while self.beam < len(self.v) and len(self.found(sample, self.least)[0]) < RECALL * truth:
-                self.beam = min(2 * self.beam, len(self.v))
-        return self.found(v, self.least - SLACK)
+        return self.found(q.astype(np.float32), self.least - SLACK)
 
     def found(self, v: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         a, b = [], []
@@ -267,7 +288,8 @@ def link_embeddings(embeddings: DataFrame, least: float = 0.9, shards: int = SHA
     Vectors that are null, empty, zero or hold a null or non-finite component link with nothing; vectors of different
     length are not compared. Equal vectors are one class, whose copies link with each other and share all links. Rows
     with a null vec_id count as vectors but not as names of components; a component of those alone is null and kept.
-    Repeated rows are vectors of their own. Other columns are not read. An empty table gives no rows.
+    Repeated rows are vectors of their own. Other columns are not read; vectors may have any length. An empty table gives
+    no rows.
     """
     e = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"))
     sound = F.coalesce(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
@@ -282,7 +304,7 @@ def link_embeddings(embeddings: DataFrame, least: float = 0.9, shards: int = SHA
         count = max(min(shards, -(-n // 64)), -(-n // shard_rows))
         own = some.select(F.pmod(F.xxhash64(F.lit(3), "cls"), F.lit(count)).alias("shard"), F.lit(0).alias("role"), "cls", "n", "v")
         asks = some.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))).alias("shard"), F.lit(1).alias("role"), "cls", "n", "v")
-        dealt = own.unionByName(asks).repartition(count, "shard").sortWithinPartitions("shard", "role")
+        dealt = own.unionByName(asks).repartitionByRange(count, "shard").sortWithinPartitions("shard", "role")
         found = arrow_map(dealt, lambda b: _serve(b, least), FOUND)
         links = found if links is None else links.unionByName(found)
     if links is None:
