@@ -356,6 +356,18 @@ def test_decontaminate(spark, real, sf):
     assert got and got == want
 
 
+def test_decontaminate_short_and_odd_items(spark):
+    items = [(1, "Paris, France"), (2, "forty-two"), (2, "forty-two"), (3, None), (None, "x"), (4, "...")] + [(10 + i, " ".join(f"q{i}w{j}" for j in range(6 + 5 * i))) for i in range(12)]
+    bench = spark.createDataFrame([(*x, 0) for x in items], "item_id int, text string, doc_id int")
+    long_ = "word " * 150_000 + items[-1][1] + " and PARIS (France)"
+    texts = [(1, long_, 5), (2, "paris and france forty two", 5), (2, "paris and france forty two", 5), (None, items[8][1], 5), (3, None, 5), (4, "", 5), (5, "two forty " + items[8][1][: len(items[8][1]) // 2], 5)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, item_id int")
+    for shard in (20_000, 3):
+        got = sorted((str(r.doc_id), r.item_id) for r in decontaminate.contaminated(rows, bench, shard_items=shard).collect())
+        assert got == sorted([("1", 21), ("1", 1), ("2", 2), ("2", 2), ("None", 12)])
+    assert decontaminate.contaminated(rows, bench.limit(0)).collect() == []
+
+
 def test_wand():
     rnd = np.random.default_rng(2)
     dense = np.where(rnd.random((30, 200)) < 0.2, rnd.random((30, 200)), 0)

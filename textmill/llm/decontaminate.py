@@ -5,7 +5,8 @@ the item's score against itself, so one threshold serves items of any length. Ev
 that overlap by half, each passage is a query, and all items at or above the threshold are retrieved. A retrieved item
 counts if enough of its five-word shingles are in the passage and both its question and its answer overlap.
 
-Test items are indexed in shards of at most SHARD_ITEMS (items of like length together); a shard is what a task holds.
+Test items are indexed in shards of at most SHARD_ITEMS in all (items of like length together), which is what a task
+holds and what one scan of the texts searches for.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BLANK_OR_PUNCT, arrow_map, gram_hashes, text_buffers, text_chunks, words, written
+from ._common import BLANK_OR_PUNCT, arrow_map, discard, gram_hashes, text_buffers, text_chunks, words, written
 
 SHARD_ITEMS = 20_000
 RETRIEVE, CONTAIN, PART = 0.5, 0.75, 0.5
@@ -118,9 +119,10 @@ def passages(n_words: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray,
     return text, k * stride, np.minimum(k * stride + 2 * stride, n_words[text])
 
 
-def search(index: Index, raw: np.ndarray, offs: np.ndarray, retrieve: float = RETRIEVE, contain: float = CONTAIN, part: float = PART) -> list[tuple]:
-    """(text, item, first word, score, containment, question overlap, answer overlap), the best passage of each pair."""
-    row, _, _, h = words(raw, offs, BLANK_OR_PUNCT)
+def search(index: Index, row: np.ndarray, h: np.ndarray, texts: int, retrieve: float = RETRIEVE, contain: float = CONTAIN, part: float = PART) -> list[tuple]:
+    """(text, item, first word, score, containment, question overlap, answer overlap), the best passage of each pair.
+
+    row, h: the text and hash of each word of `texts` texts."""
     if len(h) < 2 or not len(index.terms):
         return []
     g = gram_hashes(h, 2)
@@ -131,8 +133,8 @@ def search(index: Index, raw: np.ndarray, offs: np.ndarray, retrieve: float = RE
     total = np.zeros(len(g) + 2)
     total[may + 1] = index.most[pos]
     total = np.cumsum(total)
-    first = np.searchsorted(row, np.arange(len(offs) - 1))
-    n_words = np.searchsorted(row, np.arange(len(offs) - 1), "right") - first
+    first = np.searchsorted(row, np.arange(texts))
+    n_words = np.searchsorted(row, np.arange(texts), "right") - first
     text, a, b = passages(n_words, max(8, index.longest))
     a, b = a + first[text], b + first[text]
     best: dict[tuple, tuple] = {}
@@ -148,17 +150,52 @@ def search(index: Index, raw: np.ndarray, offs: np.ndarray, retrieve: float = RE
             key = (int(text[t]), item)
             if inside >= contain and q >= part and ans >= part and (inside, score) > best.get(key, (0, (0.0, 0.0)))[1]:
                 best[key] = (int(a[t] - first[text[t]]), (inside, score), q, ans)
-    return [(text, item, at, s[1], s[0], q, ans) for (text, item), (at, s, q, ans) in best.items()]
+    return [(text, index.ids[item], at, s[1], s[0], q, ans) for (text, item), (at, s, q, ans) in best.items()]
+
+
+class Short:
+    """Items of fewer than LEAST_WORDS words, found as their whole sequence of words."""
+
+    def __init__(self, items: list[tuple[int, str]]):
+        raw, offs = text_buffers(_strings([t for _, t in items]))
+        row, _, _, h = words(raw, offs, BLANK_OR_PUNCT)
+        at = np.searchsorted(row, np.arange(len(items) + 1))
+        self.of: dict[int, dict[int, list[int]]] = {}
+        for (i, _), a, b in zip(items, at, at[1:]):
+            if b > a:
+                self.of.setdefault(int(b - a), {}).setdefault(int(gram_hashes(h[a:b], int(b - a))[0]), []).append(i)
+        self.known = {n: np.array(sorted(x), np.uint64) for n, x in self.of.items()}
+
+    def search(self, row: np.ndarray, h: np.ndarray) -> list[tuple]:
+        out: dict[tuple, tuple] = {}
+        for n, known in self.known.items():
+            g = gram_hashes(h, n)
+            for t in np.flatnonzero(np.isin(g, known) & (row[: len(g)] == row[n - 1 :][: len(g)])):
+                for item in self.of[n][int(g[t])]:
+                    out.setdefault((int(row[t]), item), (int(t - np.searchsorted(row, row[t])), 1.0, 1.0, 1.0, 1.0))
+        return [(*k, *v) for k, v in out.items()]
 
 
 FOUND = "doc_id long, item_id long, first_word long, score double, containment double, question_overlap double, answer_overlap double"
+_built: dict[str, tuple] = {}
+
 
+def _indexes(name: str, shards: list[list[tuple[int, str]]], short: list[tuple[int, str]]) -> tuple:
+    """The indexes of one scan, built once in a worker."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = ([Index(x) for x in shards], Short(short))
+    return _built[name]
 
-def _search(batches: Iterator[pa.RecordBatch], index: Index, limits: tuple) -> Iterator[pa.RecordBatch]:
+
+def _search(batches: Iterator[pa.RecordBatch], name: str, items, limits: tuple) -> Iterator[pa.RecordBatch]:
+    indexes, short = _indexes(name, *items.value)
     for batch in batches:
         rows = []
-        for i, _, raw, offs in text_chunks(pc.utf8_lower(batch.column(1))):
-            rows += [(i + r[0], index.ids[r[1]], *r[2:]) for r in search(index, raw, offs, *limits)]
+        for i, j, raw, offs in text_chunks(pc.utf8_lower(batch.column(1))):
+            row, _, _, h = words(raw, offs, BLANK_OR_PUNCT)
+            for found in (short.search(row, h), *(search(index, row, h, j - i, *limits) for index in indexes)):
+                rows += [(i + r[0], *r[1:]) for r in found]
         cols = list(zip(*rows)) if rows else [[]] * 7
         ids = batch.column(0).take(pa.array(cols[0], pa.int64()))
         kinds = [pa.int64(), pa.int64()] + [pa.float64()] * 4
@@ -170,20 +207,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, retrieve: float = RETRIE
     test item found in it, for the passage that holds most of the item.
 
     Words are runs of other than ASCII blanks and punctuation, in lower case. The first half of an item's words is taken
-    as its question, the rest as its answer. Items of fewer than 5 words, null or blank ones and ones without item_id
-    are not searched for; null texts hold nothing; a repeated item is found once for each of its ids; repeated rows of
-    documents are found alike; other columns are not read. Without items or documents the result is empty.
+    as its question, the rest as its answer. An item of fewer than 5 words is found where all its words stand one after
+    the other. Null items, ones without words and ones without item_id are not searched for; null texts hold nothing; texts are
+    searched whole, however long; a repeated item is found once for each of its ids; repeated rows of documents are found
+    alike; other columns are not read. Without items or documents the result is empty.
+
+    The texts of at most shard_items items go to the executors together, which index them; more are further scans.
     """
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").dropDuplicates(["item_id", "text"])
     n_words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D!-/:-@\[-`{-~]+"))
-    items = written(items.withColumn("n", n_words).where(F.col("n") >= LEAST_WORDS).withColumn("kind", F.floor(F.log2("n") / 2).cast("int")), "items")
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    out = None
-    for kind, n in sorted((r["kind"], r["count"]) for r in items.groupBy("kind").count().collect()):
+    kind = F.when(F.col("n") >= LEAST_WORDS, F.floor(F.log2("n") / 2).cast("int")).otherwise(-1)
+    items = written(items.withColumn("n", n_words).where("n > 0").withColumn("kind", kind), "items")
+    scans: list[list[tuple]] = [[]]
+    for k, n in sorted((r["kind"], r["count"]) for r in items.groupBy("kind").count().collect()):
         shards = -(-n // shard_items)
         for shard in range(shards):
-            mine = items.where((F.col("kind") == kind) & (F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard)).orderBy("item_id", "text")
-            index = Index([(r.item_id, r.text) for r in mine.collect()])
-            found = arrow_map(rows, lambda b, index=index: _search(b, index, (retrieve, contain, part)), FOUND)
-            out = found if out is None else out.unionByName(found)
-    return docs.sparkSession.createDataFrame([], FOUND) if out is None else out
+            if scans[-1] and sum(x[2] for x in scans[-1]) + n / shards > shard_items:
+                scans.append([])
+            mine = items.where((F.col("kind") == k) & (F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard)).orderBy("item_id", "text")
+            scans[-1].append((k, [(r.item_id, r.text) for r in mine.collect()], n / shards))
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    out = docs.sparkSession.createDataFrame([], FOUND)
+    for i, scan in enumerate(x for x in scans if x):
+        sent = docs.sparkSession.sparkContext.broadcast(([x for k, x, _ in scan if k >= 0], [y for k, x, _ in scan if k < 0 for y in x]))
+        found = arrow_map(rows, lambda b, name=items.stored_at + str(i), sent=sent: _search(b, name, sent, (retrieve, contain, part)), FOUND)
+        out = found if not i else out.unionByName(found)
+    discard(items)
+    return out
