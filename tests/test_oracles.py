@@ -8,7 +8,7 @@ import pytest
 
 from textmill.plans import queries as rules
 
-FAST = ["clean_length_profile", "exact_dedup", "keyword_flags", "text_type", "redundancy_ratio", "bigram_signature", "char_bigram_perplexity", "rewrite_quality", "question_type", "qa_prompts", "qa_parse_validate", "qa_batch_dedup", "qa_batches", "hash_sample", "jsonl_round_trip"]
+FAST = ["clean_length_profile", "exact_dedup", "keyword_flags", "text_type", "redundancy_ratio", "bigram_signature", "char_bigram_perplexity", "rewrite_quality", "question_type", "qa_prompts", "qa_parse_validate", "qa_batch_dedup", "qa_batches", "hash_sample", "jsonl_round_trip", "jsonl_accounting", "qa_global_dedup", "qa_tallies", "rewrite_tallies", "near_dedup", "stage1_decisions"]
 
 
 def rows(frame):

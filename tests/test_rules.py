@@ -1,6 +1,7 @@
 """Goldens of the rules on inline texts, greedy near-dedup against a sequential loop, JSONL accounting, streaming."""
 
 import hashlib
+import json
 import math
 
 import numpy as np
@@ -8,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from textmill.functions import text as T
-from textmill.operators import dedup, filters, generators, qa, rewrite, scoring
-from textmill.plans import pipeline
+from textmill.operators import _store, dedup, filters, generators, qa, rewrite, scoring
+from textmill.plans import monitor, pipeline
 from textmill.sources import jsonl
 from textmill.streaming import filters as streaming
 
@@ -148,3 +149,112 @@ def test_stage1_counts_add_up(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out = pipeline.decide(docs)
     assert out.count() == docs.count() and out.where("drop_reason is null and perplexity is null").count() == 0
+
+
+def test_sinks(spark, tmp_path):
+    line = '{"text":" 光合作用  产生氧气 ","n":{"a":[1,null]},"md5":"old"}'
+    (tmp_path / "raw.jsonl").write_text(line + "\n\n" + '{"text":"x","text_type":1}' + "\n", encoding="utf-8")
+    (tmp_path / "empty.jsonl").write_text("")
+    (tmp_path / "bad.jsonl").write_bytes(b'{"text":"a\xffb"}\n')
+    good = jsonl.load(spark, str(tmp_path))
+    assert good.count() == 3 and jsonl.load(spark, str(tmp_path), 1.0, 2, seed=3).count() == 2 and jsonl.load(spark, str(tmp_path), 0.0).count() == 0
+    first = [r.line_md5 for r in jsonl.load(spark, str(tmp_path), 1.0, 2, seed=3).collect()]
+    assert first == [r.line_md5 for r in jsonl.load(spark, str(tmp_path), 1.0, 2, seed=3).collect()]
+    kept = filters.filter_records(good.withColumn("doc_id", F.lit(1))).withColumn("perplexity", F.lit(2.5)).withColumn("text_type", T.text_type(F.col("cleaned_text")))
+    out = {json.loads(r.value)["cleaned_text"]: json.loads(r.value) for r in jsonl.overlay(kept).collect()}
+    top = out["光合作用 产生氧气"]
+    assert top["n"] == {"a": [1, None]} and top["md5"] == hashlib.md5("光合作用 产生氧气".encode()).hexdigest() and top["perplexity"] == 2.5 and top["has_academic_features"] is False
+    assert out["x"]["text_type"] == "modern_chinese" and top["text"] == " 光合作用  产生氧气 "
+    path = str(tmp_path / "kept")
+    for _ in range(2):
+        jsonl.write_jsonl(kept.select("text", "cleaned_text", "md5", "perplexity", "source_file", "text_type", "has_academic_features"), path)
+    assert jsonl.read_kept(spark, path).count() == 3
+    assert "光合作用" in "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "kept").glob("part-*"))
+
+
+def test_rewrite_and_qa_files(spark, tmp_path):
+    rows = [("1", "原文", "改写", "success", "合格", None, 2.0), ("2", "原文", None, "skipped", "古文", None, None)]
+    path = str(tmp_path / "rewrites")
+    jsonl.write_jsonl(spark.createDataFrame(rows, "id string, original_text string, rewritten_text string, status string, reason string, orig_perplexity double, rew_perplexity double"), path)
+    (tmp_path / "rewrites" / "part-x.json").write_text("{broken\n")
+    assert sorted(map(tuple, jsonl.read_rewrites(spark, path).collect()), key=str) == sorted(rows, key=str)
+    for gone in (str(tmp_path / "none"), str(tmp_path / "no*ne")):
+        with pytest.raises(jsonl.NoInput):
+            jsonl.read_rewrites(spark, gone)
+    records = spark.createDataFrame([("1", "问？", "success"), ("2", None, "failed"), ("3", None, "failed")], "id string, question string, status string")
+    jsonl.write_qa(records, str(tmp_path / "qa"))
+    assert [spark.read.json(str(tmp_path / "qa" / f"status={s}")).count() for s in ("success", "failed")] == [1, 2]
+
+
+def test_generators(spark):
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(5)], "id int, prompt string")
+    known = spark.createDataFrame([(hashlib.md5(b"p1").hexdigest(), "one"), (hashlib.md5(b"p1").hexdigest(), "one")], "prompt_md5 string, output string")
+    assert [r.output for r in generators.replay(known)(df).orderBy("id").collect()] == ["", "one", "", "", ""]
+
+    def load():
+        def model(prompts):
+            if "p3" in prompts:
+                raise RuntimeError("out of memory")
+            return [p.upper() for p in prompts]
+
+        return model
+
+    assert [r.output for r in generators.engine(load, batch=1)(df).orderBy("id").collect()] == ["P0", "P1", "P2", "", "P4"]
+    assert sum(r.output == "" for r in generators.engine(load, batch=100)(df.coalesce(1)).collect()) == 5
+
+
+def test_model_scorer_halves_batches(spark):
+    def load():
+        def model(texts):
+            if len(texts) > 2 or "bad" in texts:
+                raise MemoryError
+            return [float(len(t)) for t in texts]
+
+        return model
+
+    df = frame(spark, ["a", "bb", "bad", None, "dddd", "eeeee", "f"], "cleaned_text").coalesce(1)
+    got = [r.perplexity for r in scoring.with_model(df, load, batch=7).orderBy("doc_id").collect()]
+    assert got == [1.0, 2.0, float("inf"), 0.0, 4.0, 5.0, 1.0]
+
+
+def test_mean_pooling(spark):
+    def load():
+        return lambda texts: [([[1.0 * len(t), 2.0], [3.0, 4.0], [100.0, 100.0]], [1, 1, 0]) if t else ([[5.0, 5.0]], [0]) for t in texts]
+
+    got = [r.embedding for r in generators.embedder(frame(spark, ["a", "", None, "aaa"]), load, "text").orderBy("doc_id").collect()]
+    assert got == [[2.0, 3.0], [0.0, 0.0], [0.0, 0.0], [3.0, 3.0]]
+
+
+def test_relevance_and_global_dedup(spark):
+    rows = [("a", 0, 0, "光的折射是光线偏折", "光的折射是什么？", "光的折射是光线偏折"), ("b", 0, 0, "光的折射是光线偏折", "今天吃什么呢？", "吃米饭和青菜汤"), ("c", 0, 5, "光的折射是光线偏折", "光的折射是什么？", "光的折射是光线偏折"), ("c", 1, 5, "x", "光的折射是什么？", "光的折射是光线偏折")]
+    df = spark.createDataFrame(rows, "id string, attempt int, batch_id long, source_text string, question string, answer string")
+    why = {(r.id, r.attempt): r.w for r in df.withColumn("w", qa.fail_reason(qa.QaConfig(relevance="cosine"))).collect()}
+    assert why["a", 0] is None and why["b", 0].startswith("与原文相关度低(") and why["c", 1].startswith("与原文相关度低(")
+    good = df.withColumn("fail_reason", F.when(F.col("id") == "b", "x"))
+    marked = lambda mode: sorted((r.id, r.attempt, r.fail_reason) for r in qa.deduped(good, qa.QaConfig(dedup=mode)).collect() if r.fail_reason)
+    assert marked("global") == [("b", 0, "x"), ("c", 0, "批次内重复"), ("c", 1, "批次内重复")]
+    assert marked("batch") == [("b", 0, "x"), ("c", 1, "批次内重复")]
+
+
+def test_monitor(spark, tmp_path):
+    monitor.log_to(str(tmp_path / "log.txt"))
+    stages = monitor.Stages()
+    with monitor.gauges(spark, 0.05) as readings, stages.stage("count"):
+        spark.range(10**7).selectExpr("sum(id % 7)").collect()
+        while not readings:
+            pass
+    assert readings[0]["rss_mb"] > 0 and [r.stage for r in stages.table(spark).collect()] == ["count"]
+    assert "count:" in (tmp_path / "log.txt").read_text()
+
+
+def test_cluster_needs_a_shared_folder(spark):
+    class Bare:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://x:7077"
+            getConf = staticmethod(lambda: {})
+
+    with pytest.raises(ValueError):
+        _store.shared_dir(Bare)

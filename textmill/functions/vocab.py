@@ -43,8 +43,7 @@ CLASSIC = (
     "呜呼 嗟夫 盖闻 窃以为 臣闻 圣王 贤君 忠臣 义士 孝子 烈女"
 ).split()
 MODERN = "手机 互联网 电脑 微信 支付宝 快递 高铁 空调 电视 网络 APP 微博 抖音 快手 直播 电商 网购 外卖 打车 共享单车 5G WiFi".split()
-CLASSIC_STARTS = "昔者 初 当是时 于是 呜呼 嗟夫 盖闻 窃以为 臣闻 圣王 贤君 忠臣 义士".split()
-CLASSIC_PATTERN = r"^([\x{4e00}-\x{9fff}]{1,5}曰|" + "|".join(CLASSIC_STARTS) + ")"
+CLASSIC_PATTERN = r"^([\x{4e00}-\x{9fff}]{1,5}曰|昔者|初|当是时|于是|呜呼|嗟夫|盖闻|窃以为|臣闻|圣王|贤君|忠臣|义士)"
 REDUNDANT_CHARS = "的了在是啊吧呢"
 LOGIC = "因为 所以 因此 由于 导致 原因是 之所以 从而 故 以致于 结果是 关键在于".split()
 QUESTION_TYPES = {
@@ -56,4 +55,3 @@ QUESTION_TYPES = {
 }
 CALCULATE_SIGNS = "= + - → %".split()
 TEMPLATE_OF = {"definition": "definition_q", "reason": "reason_q", "compare": "compare_q", "apply": "apply_q", "calculate": "calculate_q", "fallback": "generic_q"}
-QUESTION_TAGS = "下列 求解 证明 简述 是什么 为什么 正确的是 错误的是 若...则 已知...求 试述 分析 推导 计算 判断".split()

@@ -50,6 +50,11 @@ def drop_counts(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by, F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason")).agg(F.count(F.lit(1)).alias("records"))
 
 
+def tallies(df: DataFrame, *by: str) -> DataFrame:
+    """Records by the given columns (text types, status of rewrites and pairs)."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("records"))
+
+
 def retention(df: DataFrame, low: float = 0.45, high: float = 0.55) -> DataFrame:
     """(total, kept, ratio, advice): the share kept and whether it leaves the target band."""
     out = df.agg(F.count(F.lit(1)).alias("total"), F.count(F.when(F.col("drop_reason").isNull(), 1)).alias("kept"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,3 +48,20 @@ def engine(load: Callable[[], Callable[[list[str]], list[str]]], batch: int = 32
         return df.mapInPandas(generate, schema)
 
     return run
+
+
+def embedder(df: DataFrame, load: Callable[[], Callable[[list[str]], list[tuple]]], text: str, name: str = "embedding", batch: int = 32) -> DataFrame:
+    """Adds the mean-pooled embedding of a text. The model that `load` builds once a worker gives, for each text, the
+    vectors of its tokens (tokens x size) and their mask; the mean is over the masked ones, its divisor 1e-9 at least."""
+
+    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        for s in batches:
+            texts, out = [t or "" for t in s], []
+            for i in range(0, len(texts), batch):
+                for vectors, mask in model(texts[i : i + batch]):
+                    m = np.asarray(mask, float)[:, None]
+                    out.append(((np.asarray(vectors, float) * m).sum(0) / max(m.sum(), 1e-9)).tolist())
+            yield pd.Series(out)
+
+    return df.withColumn(name, F.pandas_udf(embed, "array<double>")(F.col(text)))

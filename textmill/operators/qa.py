@@ -94,15 +94,16 @@ def batches(df: DataFrame, cfg: QaConfig = QaConfig()) -> DataFrame:
 def deduped(df: DataFrame, cfg: QaConfig = QaConfig()) -> DataFrame:
     """Marks later equal pairs among the accepted ones: within a batch (needs batch_id), or anywhere.
 
-    The first of each pair is a minimum with map-side combine, joined back by its own place, so a pair that very many
+    The first of each pair is a minimum with map-side combine, joined back by its place and text, so a pair that very many
     texts yield is no hot task. df is written once."""
     group = ["question", "answer"] + (["batch_id"] if cfg.dedup == "batch" else [])
     order = ["seq"] if "seq" in df.columns else ["id", "attempt"]
     df = stored(df, "pairs")
     good = F.col("fail_reason").isNull()
-    first = df.where(good).groupBy(*group).agg(F.min(F.struct(*order)).alias("o")).select(*[F.col("o")[c].alias(f"_{c}") for c in order], F.lit(True).alias("_first"))
-    out = df.join(first, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order]), "left")
-    return out.withColumn("fail_reason", F.when(good & F.col("_first").isNull(), "批次内重复").otherwise(F.col("fail_reason"))).drop("_first", *[f"_{c}" for c in order])
+    first = df.where(good).groupBy(*group).agg(F.min(F.struct(*order)).alias("o")).select(*[F.col("o")[c].alias(f"_o_{c}") for c in order], *[F.col(c).alias(f"_g_{c}") for c in group], F.lit(True).alias("_first"))
+    same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in order] + [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group]
+    out = df.join(first, reduce(and_, same), "left")
+    return out.withColumn("fail_reason", F.when(good & F.col("_first").isNull(), "批次内重复").otherwise(F.col("fail_reason"))).drop(*first.columns)
 
 
 RECORD = ("id", "question", "answer", "status", "fail_reason", "question_type", "prompt_key")

@@ -36,5 +36,17 @@ def values(rows: list[tuple], columns: str) -> str:
 #: Ids below those of documents.
 TEXT_ROWS = [(-1 - i, t) for i, t in enumerate(TEXTS)]
 TEXTS_SQL = values(TEXT_ROWS, "id, text")
-OUTPUTS_SQL = values([(i // 2, i % 2, o, i // 6) for i, o in enumerate(OUTPUTS)], "id, attempt, output, batch_id")
+OUTPUTS_SQL = values([(-1 - i // 2, i % 2, o, i // 6) for i, o in enumerate(OUTPUTS)], "id, attempt, output, batch_id")
 REWRITES_SQL = values(REWRITES, "id, rewritten_text, original_text, rewrite_reason, similarity, perplexity, rew_ppl")
+
+#: Model outputs and rewrites of the documents, written by rule in SQL that both engines read.
+OUTPUTS_OF_DOCS = (
+    "doc_id AS id", "attempt", "CASE doc_id % 6 WHEN 0 THEN '问题：' || left(text, 40) || '？答案：' || substr(text, 41, 80) WHEN 1 THEN '问题：' || left(text, 40) || '答案：' || left(text, 9)"
+    " WHEN 2 THEN '答案：' || left(text, 20) || '问题：真的？' WHEN 3 THEN '问题：' || left(text, 500) || '？答案：' || left(text, 3) WHEN 4 THEN '问题：甲是什么？答案：' || text ELSE '问题：文中用的是什么语言？答案：语言是' || lang END AS output",
+    "CAST(floor(doc_id / 11) AS BIGINT) AS batch_id",
+)
+REWRITES_OF_DOCS = (
+    "doc_id AS id", "CASE doc_id % 5 WHEN 0 THEN '因为' || left(text, 60) WHEN 1 THEN replace(text, 'e', '的') WHEN 2 THEN '' ELSE text END AS rewritten_text", "text AS original_text",
+    "CASE doc_id % 3 WHEN 0 THEN 'add_logic_chain' WHEN 1 THEN 'high_perplexity' ELSE 'redundant' END AS rewrite_reason", "CAST(doc_id % 10 AS DOUBLE) / 8 AS similarity",
+    "CAST(doc_id % 7 AS DOUBLE) * 16 AS perplexity", "CAST(doc_id % 4 AS DOUBLE) * 12 AS rew_ppl",
+)

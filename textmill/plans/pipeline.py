@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from textmill.functions import text as T
 from textmill.operators import dedup, filters, qa, rewrite, scoring
 from textmill.operators._store import stored
+from textmill.plans import monitor
 
 
 @dataclass(frozen=True)
@@ -44,10 +45,14 @@ def refine(docs: DataFrame, cfg: Config = Config(), scorer: Callable[[DataFrame]
     return kept.withColumn("perplexity", F.bround("perplexity", 2))
 
 
-def run(docs: DataFrame, rewriter: Callable[[DataFrame], DataFrame], questioner: Callable[[DataFrame], DataFrame], cfg: Config = Config(), scorer: Callable[[DataFrame], DataFrame] = scoring.bigram_perplexity, key: str = "doc_id", text: str = "text") -> dict[str, DataFrame]:
-    """All stages: kept, rewritten and qa records. Each is written once and read by the next."""
-    kept = stored(refine(docs, cfg, scorer, key, text), "kept")
-    new = stored(rewrite.rewrite(kept, rewriter, lambda d: scorer_by_id(scorer, d), cfg.rewrite, key, text), "rewritten")
+def run(docs: DataFrame, rewriter: Callable[[DataFrame], DataFrame], questioner: Callable[[DataFrame], DataFrame], cfg: Config = Config(), scorer: Callable[[DataFrame], DataFrame] = scoring.bigram_perplexity, key: str = "doc_id", text: str = "text", timer: monitor.Stages | None = None) -> dict[str, DataFrame]:
+    """All stages: kept, rewritten and qa records. Each is written once and read by the next; the timer is told how long
+    the first two took."""
+    timer = timer or monitor.Stages()
+    with timer.stage("filter"):
+        kept = stored(refine(docs, cfg, scorer, key, text), "kept")
+    with timer.stage("rewrite"):
+        new = stored(rewrite.rewrite(kept, rewriter, lambda d: scorer_by_id(scorer, d), cfg.rewrite, key, text), "rewritten")
     return {"kept": kept, "rewritten": new, "qa": qa.generate_qa(new, questioner, cfg.qa)}
 
 

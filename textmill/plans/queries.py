@@ -116,6 +116,11 @@ def retention(spark, d):
     return filters.retention(dedup.mark_duplicates(df.select("id", "md5", "drop_reason"), "id"))
 
 
+def type_counts(spark, d):
+    df = filters.filter_records(_clean(spark, d).drop("stripped", "cleaned_text")).withColumn("text_type", T.text_type(F.col("cleaned_text")))
+    return filters.tallies(dedup.mark_duplicates(df.select("id", "md5", "drop_reason", "text_type"), "id").where("drop_reason is null"), "text_type")
+
+
 def text_type(spark, d):
     t = F.col("cleaned_text")
     return _clean(spark, d).select("id", T.classic_count(t).cast("long").alias("classic_count"), T.text_type(t).alias("text_type"))
@@ -174,8 +179,17 @@ def rewrite_prompts(spark, d):
     return df.select("id", F.md5(rewrite.prompt()).alias("prompt_md5"))
 
 
+def _rewrites(spark, d):
+    """Stated rewrites and one of every document, written by rule."""
+    return spark.sql(fixtures.REWRITES_SQL).unionByName(_docs(spark, d).selectExpr(*fixtures.REWRITES_OF_DOCS))
+
+
 def rewrite_quality(spark, d):
-    return rewrite.judged(spark.sql(fixtures.REWRITES_SQL)).select(F.col("id").cast("long"), "status", "reason", "orig_perplexity", "rew_perplexity")
+    return rewrite.judged(_rewrites(spark, d)).select(F.col("id").cast("long"), "status", "reason", "orig_perplexity", "rew_perplexity")
+
+
+def rewrite_tallies(spark, d):
+    return filters.tallies(rewrite.judged(_rewrites(spark, d)), "rewrite_reason", "status")
 
 
 def question_type(spark, d):
@@ -187,17 +201,28 @@ def qa_prompts(spark, d):
     return out.select("id", "attempt", "question_type", "prompt_key", "template", F.md5("prompt").alias("prompt_md5"))
 
 
-def _parsed(spark):
-    df = spark.sql(fixtures.OUTPUTS_SQL).withColumn("p", qa.parsed(F.col("output"))).select("id", "attempt", "batch_id", "p.question", "p.answer")
+def _parsed(spark, d):
+    """Stated outputs and two of every document, written by rule."""
+    made = _docs(spark, d).withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(*fixtures.OUTPUTS_OF_DOCS)
+    df = spark.sql(fixtures.OUTPUTS_SQL).unionByName(made).withColumn("p", qa.parsed(F.col("output"))).select("id", "attempt", "batch_id", "p.question", "p.answer")
     return df.withColumn("fail_reason", qa.fail_reason())
 
 
 def qa_parse_validate(spark, d):
-    return _parsed(spark).select(F.col("id").cast("long"), F.col("attempt").cast("long"), "question", "answer", "fail_reason")
+    return _parsed(spark, d).select(F.col("id").cast("long"), F.col("attempt").cast("long"), F.md5("question").alias("question"), F.md5("answer").alias("answer"), F.md5("fail_reason").alias("fail_reason"))
 
 
 def qa_batch_dedup(spark, d):
-    return qa.deduped(_parsed(spark)).select(F.col("id").cast("long"), F.col("attempt").cast("long"), "fail_reason")
+    return qa.deduped(_parsed(spark, d)).select(F.col("id").cast("long"), F.col("attempt").cast("long"), F.md5("fail_reason").alias("fail_reason"))
+
+
+def qa_global_dedup(spark, d):
+    return qa.deduped(_parsed(spark, d), qa.QaConfig(dedup="global")).select(F.col("id").cast("long"), F.col("attempt").cast("long"), F.md5("fail_reason").alias("fail_reason"))
+
+
+def qa_tallies(spark, d):
+    kind = F.when(F.col("fail_reason").isNull(), "success").otherwise(F.regexp_extract("fail_reason", "^[^(:：]*", 0))
+    return filters.tallies(qa.deduped(_parsed(spark, d)).withColumn("status", kind), "status")
 
 
 def qa_batches(spark, d):
@@ -224,10 +249,23 @@ def jsonl_round_trip(spark, d):
     return good.where("not malformed").groupBy(F.md5("text").alias("text_md5")).agg(F.count(F.lit(1)).alias("records"))
 
 
+def jsonl_accounting(spark, d):
+    """Documents as JSON lines, some of them spoilt by rule, counted by whether they are well formed."""
+    whole = F.to_json(F.struct("doc_id", "text"), {"ignoreNullFields": "false"})
+    line = F.expr("CASE pmod(doc_id, 13) WHEN 0 THEN left(w, length(w) - 1) WHEN 1 THEN '[' || w || ']' WHEN 2 THEN '   ' WHEN 3 THEN '{\"doc_id\":1}' WHEN 4 THEN '{\"text\":7}' WHEN 5 THEN '\"text\"' ELSE w END")
+    lines = _docs(spark, d).withColumn("w", whole).select(line.alias("value"), F.concat(F.lit("part-"), F.pmod("doc_id", F.lit(3)), F.lit(".jsonl")).alias("source_file"))
+    return jsonl.accounting(jsonl.parse_lines(lines))
+
+
+def _rounded_scorer(df, key="doc_id"):
+    # rounded, so that a threshold that is a text's own score compares alike in any order of summation
+    return scoring.bigram_perplexity(df, key=key).withColumn("perplexity", F.round("perplexity", 6))
+
+
 def stage1_decisions(spark, d):
     docs = _clean(spark, d).select(F.col("id").alias("doc_id"), "text")
-    out = pipeline.decide(docs)
-    return out.select("doc_id", F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason"), "text_type", F.round("perplexity", 2).alias("perplexity"))
+    out = pipeline.decide(docs, scorer=_rounded_scorer)
+    return out.select("doc_id", F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason"), "text_type", "perplexity")
 
 
 def all_stages(spark, d):
@@ -261,6 +299,20 @@ _JUDGED = f"""CASE WHEN coalesce(rewritten_text, '') = '' OR contains(rewritten_
   WHEN similarity < 0.7 THEN printf('相似度低(%.2f)', similarity)
   WHEN rewrite_reason = 'high_perplexity' AND rew_ppl >= perplexity * 0.9 THEN printf('困惑度未降(%.0f)', rew_ppl)
   WHEN rewrite_reason = 'redundant' AND {_redundancy('rewritten_text')} >= {_redundancy('original_text')} THEN printf('冗余未降(%.2f)', {_redundancy('rewritten_text')}) END"""
+def _greedy(rows: str, order: str) -> str:
+    """CTEs that go through the texts of `rows` (id, t) one after the other: kept holds the ids of those that share no
+    bucket with one kept before. A step carries the buckets taken and the ids kept so far."""
+    return f"""coef AS (SELECT k, ('0x' || substr(md5('a' || k), 1, 7))::BIGINT + 1 AS a, ('0x' || substr(md5('b' || k), 1, 7))::BIGINT AS b FROM (SELECT unnest(range(0, 128)) AS k)),
+gc AS (SELECT id, t, regexp_extract_all(t, '(?s).') AS x FROM {rows}),
+gg AS (SELECT DISTINCT id, x[i] || x[i + 1] AS g FROM (SELECT id, x, unnest(range(1, len(x))) AS i FROM gc) UNION ALL SELECT id, t FROM gc WHERE length(t) = 1),
+gs AS (SELECT id, k, min((a * h + b) % 2147483647) AS v FROM (SELECT id, ('0x' || substr(md5(g), 1, 7))::BIGINT AS h FROM gg), coef GROUP BY id, k),
+gb AS (SELECT id, k // 5 AS band, md5(string_agg(v::VARCHAR, ',' ORDER BY k)) AS bucket FROM gs WHERE k < 125 GROUP BY id, k // 5),
+go AS MATERIALIZED (SELECT id, row_number() OVER (ORDER BY {order}) AS n, list(hash(band, bucket)) AS own FROM gb GROUP BY id),
+walk AS (SELECT 0::BIGINT AS n, []::UBIGINT[] AS taken, NULL::BIGINT AS keeps UNION ALL
+  SELECT w.n + 1, CASE WHEN list_has_any(w.taken, o.own) THEN w.taken ELSE list_concat(w.taken, o.own) END, CASE WHEN list_has_any(w.taken, o.own) THEN NULL ELSE o.id END FROM walk w JOIN go o ON o.n = w.n + 1),
+greedy AS MATERIALIZED (SELECT keeps AS id FROM walk WHERE keeps IS NOT NULL UNION ALL SELECT id FROM {rows} WHERE t = '')"""
+
+
 _PAIR = """WITH o AS (SELECT *, strpos(output, '问题：') AS q, strpos(output, '答案：') AS a FROM (%s)),
 x AS (SELECT *, %s AS qt, %s AS ans FROM o),
 p AS (SELECT id, attempt, batch_id,
@@ -269,9 +321,27 @@ p AS (SELECT id, attempt, batch_id,
     WHEN ans = '' OR contains(ans, '...') THEN '解析失败: 答案为空或未完成' ELSE ans END AS answer FROM x),
 v AS (SELECT *, CASE WHEN coalesce(question, '') = '' THEN coalesce(nullif(answer, ''), '解析失败: 未找到问题') WHEN contains(answer, '解析失败:') THEN answer WHEN NOT contains(question, '？') THEN '问题缺少问号'
   WHEN length(question) NOT BETWEEN 5 AND 400 THEN '问题长度异常(' || length(question) || ')' WHEN length(answer) NOT BETWEEN 4 AND 2000 THEN '答案长度异常(' || length(answer) || ')' END AS fail_reason FROM p)""" % (
-    fixtures.OUTPUTS_SQL, _strip("substr(output, q + 3, a - q - 3)"), _strip("substr(output, a + 3)"))
+    f"{fixtures.OUTPUTS_SQL} UNION ALL SELECT {', '.join(fixtures.OUTPUTS_OF_DOCS)} FROM documents, (SELECT unnest([0, 1]) AS attempt)", _strip("substr(output, q + 3, a - q - 3)"), _strip("substr(output, a + 3)"))
 _MARKED = f"""{_sql_clean()}, r AS (SELECT id, md5(t) AS md5, {_REASON} AS reason FROM c),
-m AS (SELECT id, CASE WHEN reason IS NULL AND row_number() OVER (PARTITION BY md5, reason IS NULL ORDER BY id) > 1 THEN 'md5_duplicate' ELSE reason END AS reason FROM r)"""
+m AS (SELECT id, md5, CASE WHEN reason IS NULL AND row_number() OVER (PARTITION BY md5, reason IS NULL ORDER BY id) > 1 THEN 'md5_duplicate' ELSE reason END AS reason FROM r)"""
+
+def _DEDUPED(group: str) -> str:
+    return f", dd AS (SELECT id, attempt, CASE WHEN fail_reason IS NULL AND row_number() OVER (PARTITION BY fail_reason IS NULL, {group} ORDER BY id, attempt) > 1 THEN '批次内重复' ELSE fail_reason END AS why FROM v)"
+
+
+_REWRITTEN = f"WITH r0 AS (SELECT * FROM ({fixtures.REWRITES_SQL}) UNION ALL SELECT {', '.join(fixtures.REWRITES_OF_DOCS)} FROM documents), r AS (SELECT *, {_JUDGED} AS why FROM r0)"
+_STAGE1 = f"""{_sql_clean().replace('WITH ', 'WITH RECURSIVE ', 1)}, r AS (SELECT id, t, md5(t) AS md5, {_REASON} AS reason FROM c),
+m AS MATERIALIZED (SELECT id, t, CASE WHEN reason IS NULL AND row_number() OVER (PARTITION BY md5, reason IS NULL ORDER BY id) > 1 THEN 'md5_duplicate' ELSE reason END AS reason FROM r),
+passed AS MATERIALIZED (SELECT id, t FROM m WHERE reason IS NULL), {_greedy('passed', 'id')},
+left_ AS MATERIALIZED (SELECT id, t, CASE WHEN {_CLASSIC} THEN 'classic_chinese' ELSE 'modern_chinese' END AS kind FROM passed JOIN greedy USING (id)),
+chars AS (SELECT id, regexp_extract_all(t, '(?s).') AS x FROM left_),
+grams AS (SELECT id, x[i] AS c1, x[i + 1] AS c2, count(*) AS n FROM (SELECT id, x, unnest(range(1, len(x))) AS i FROM chars) GROUP BY ALL),
+pairs AS (SELECT c1, c2, sum(n)::BIGINT AS n12 FROM grams GROUP BY ALL), heads AS (SELECT c1, sum(n12)::BIGINT AS n1 FROM pairs GROUP BY ALL), voc AS (SELECT count(DISTINCT c2) AS v FROM pairs),
+lnp AS (SELECT c1, c2, ln((n12 + 0.5::DOUBLE) / (n1 + 0.5::DOUBLE * v)) AS p FROM pairs JOIN heads USING (c1), voc),
+score AS (SELECT id, exp(-sum(n * p) / sum(n)) AS ppl FROM grams JOIN lnp USING (c1, c2) GROUP BY id),
+scored AS MATERIALIZED (SELECT id, t, kind, round(coalesce(ppl, 'inf'::DOUBLE), 6) AS ppl FROM left_ LEFT JOIN score USING (id)),
+lim AS (SELECT coalesce(quantile_cont(ppl, 0.9) FILTER (kind = 'modern_chinese' AND ppl < 15000 AND length(t) >= 8), 100.0) AS tm,
+  coalesce(quantile_cont(ppl, 0.1) FILTER (kind = 'classic_chinese' AND ppl < 15000 AND length(t) >= 8), 30.0) AS tc FROM scored)"""
 
 SQL = {
     "clean_length_profile": f"{_sql_clean(False)} SELECT lang, CASE WHEN length(s) < 8 OR length(s) > 12000 THEN 'length' WHEN t = '' THEN 'empty' ELSE 'kept' END AS drop_reason, count(*) AS records, min(length(t)) AS shortest, max(length(t)) AS longest, sum(length(t))::BIGINT AS chars FROM c GROUP BY ALL",
@@ -290,11 +360,18 @@ SQL = {
     "perplexity_keep": f"{_SCORES} SELECT id, kind AS text_type, {_KEEP} AS keep FROM scored, lim",
     "rewrite_routing": f"{_ROUTED} SELECT id, coalesce(reason IN ('high_perplexity', 'redundant', 'add_logic_chain'), false) AS needs_rewrite, reason AS rewrite_reason FROM routed",
     "rewrite_prompts": f"{_ROUTED} SELECT id, md5(replace(CASE reason " + " ".join(f"WHEN '{k}' THEN {fixtures.literal(p)}" for k, p in prompts.REWRITE.items()) + " END, '{text}', ot)) AS prompt_md5 FROM routed WHERE reason IN ('high_perplexity', 'redundant', 'add_logic_chain')",
-    "rewrite_quality": f"WITH r AS (SELECT *, {_JUDGED} AS why FROM ({fixtures.REWRITES_SQL})) SELECT id::BIGINT AS id, CASE WHEN why IS NULL THEN 'success' ELSE 'failed' END AS status, coalesce(why, CASE WHEN rewrite_reason = 'add_logic_chain' THEN 'logic_injected' ELSE '合格' END) AS reason, CASE WHEN rewrite_reason = 'high_perplexity' THEN perplexity END AS orig_perplexity, CASE WHEN (rewrite_reason = 'high_perplexity' OR rewrite_reason = 'add_logic_chain' AND why IS NULL) AND coalesce(rewritten_text, '') <> '' AND rew_ppl <> 0 AND coalesce(why, '') NOT LIKE '相似度%' THEN rew_ppl END AS rew_perplexity FROM r",
+    "rewrite_quality": f"{_REWRITTEN} SELECT id::BIGINT AS id, CASE WHEN why IS NULL THEN 'success' ELSE 'failed' END AS status, coalesce(why, CASE WHEN rewrite_reason = 'add_logic_chain' THEN 'logic_injected' ELSE '合格' END) AS reason, CASE WHEN rewrite_reason = 'high_perplexity' THEN perplexity END AS orig_perplexity, CASE WHEN (rewrite_reason = 'high_perplexity' OR rewrite_reason = 'add_logic_chain' AND why IS NULL) AND coalesce(rewritten_text, '') <> '' AND rew_ppl <> 0 AND coalesce(why, '') NOT LIKE '相似度%' THEN rew_ppl END AS rew_perplexity FROM r",
+    "rewrite_tallies": f"{_REWRITTEN} SELECT rewrite_reason, CASE WHEN why IS NULL THEN 'success' ELSE 'failed' END AS status, count(*) AS records FROM r GROUP BY ALL",
+    "type_counts": f"{_MARKED} SELECT CASE WHEN {_CLASSIC} THEN 'classic_chinese' ELSE 'modern_chinese' END AS text_type, count(*) AS records FROM m JOIN c USING (id) WHERE reason IS NULL GROUP BY 1",
+    "near_dedup": f"{_sql_clean().replace('WITH ', 'WITH RECURSIVE ', 1)}, {_greedy('c', 'id')} SELECT id FROM greedy",
+    "jsonl_accounting": "SELECT 'part-' || doc_id % 3 || '.jsonl' AS source_file, doc_id % 13 IN (0, 1, 4, 5) OR doc_id % 13 > 5 AND text IS NULL AS malformed, count(*) AS lines FROM documents WHERE doc_id % 13 <> 2 GROUP BY ALL",
+    "stage1_decisions": f"{_STAGE1} SELECT m.id AS doc_id, CASE WHEN reason IS NOT NULL THEN reason WHEN scored.id IS NULL THEN 'near_duplicate' WHEN NOT ({_KEEP}) THEN 'perplexity' ELSE 'kept' END AS drop_reason, kind AS text_type, ppl AS perplexity FROM m LEFT JOIN scored ON m.id = scored.id, lim",
     "question_type": f"{_sql_clean()} SELECT id, {_qtype('t')} AS question_type FROM c",
     "qa_prompts": f"{_REQUESTS} SELECT id, attempt::INT AS attempt, question_type, prompt_key, template, md5(replace({_FORMS}, '{{text}}', st)) AS prompt_md5 FROM pick",
-    "qa_parse_validate": f"{_PAIR} SELECT id::BIGINT AS id, attempt::BIGINT AS attempt, question, answer, fail_reason FROM v",
-    "qa_batch_dedup": f"{_PAIR} SELECT id::BIGINT AS id, attempt::BIGINT AS attempt, CASE WHEN fail_reason IS NULL AND row_number() OVER (PARTITION BY fail_reason IS NULL, question, answer, batch_id ORDER BY id, attempt) > 1 THEN '批次内重复' ELSE fail_reason END AS fail_reason FROM v",
+    "qa_parse_validate": f"{_PAIR} SELECT id::BIGINT AS id, attempt::BIGINT AS attempt, md5(question) AS question, md5(answer) AS answer, md5(fail_reason) AS fail_reason FROM v",
+    "qa_batch_dedup": f"{_PAIR}{_DEDUPED('question, answer, batch_id')} SELECT id::BIGINT AS id, attempt::BIGINT AS attempt, md5(why) AS fail_reason FROM dd",
+    "qa_global_dedup": f"{_PAIR}{_DEDUPED('question, answer')} SELECT id::BIGINT AS id, attempt::BIGINT AS attempt, md5(why) AS fail_reason FROM dd",
+    "qa_tallies": f"{_PAIR}{_DEDUPED('question, answer, batch_id')} SELECT CASE WHEN why IS NULL THEN 'success' ELSE regexp_extract(why, '^[^(:：]*') END AS status, count(*) AS records FROM dd GROUP BY 1",
     "qa_batches": f"{_REQUESTS} SELECT id, attempt::INT AS attempt, (dense_rank() OVER (ORDER BY id) - 1) // 11 AS batch_id, (dense_rank() OVER (ORDER BY id) - 1) * 3 + attempt AS seq FROM req",
     "hash_sample": f"SELECT doc_id FROM documents WHERE {_sql_unit('doc_id', 7, 'sample')} <= 0.3",
     "embedding_cosine": "SELECT a.vec_id, round(coalesce(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 0), 6) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
@@ -304,8 +381,8 @@ SQL = {
 QUERIES = {
     f.__name__: f
     for f in (
-        clean_length_profile, exact_dedup, keyword_flags, drop_reason_counts, retention, text_type, redundancy_ratio, bigram_signature, lsh_buckets, near_dedup, char_bigram_perplexity, perplexity_thresholds,
-        perplexity_percentiles, perplexity_histogram, perplexity_keep, rewrite_routing, rewrite_prompts, rewrite_quality, question_type, qa_prompts, qa_parse_validate, qa_batch_dedup, qa_batches, hash_sample,
-        embedding_cosine, jsonl_round_trip, stage1_decisions, all_stages,
+        clean_length_profile, exact_dedup, keyword_flags, drop_reason_counts, retention, type_counts, text_type, redundancy_ratio, bigram_signature, lsh_buckets, near_dedup, char_bigram_perplexity, perplexity_thresholds,
+        perplexity_percentiles, perplexity_histogram, perplexity_keep, rewrite_routing, rewrite_prompts, rewrite_quality, rewrite_tallies, question_type, qa_prompts, qa_parse_validate, qa_batch_dedup, qa_global_dedup, qa_tallies, qa_batches, hash_sample,
+        embedding_cosine, jsonl_round_trip, jsonl_accounting, stage1_decisions, all_stages,
     )
 }

@@ -43,6 +43,11 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def accounting(parsed: DataFrame) -> DataFrame:
+    """(source_file, malformed, lines): what each file holds, blank lines left out."""
+    return parsed.groupBy("source_file", "malformed").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def load(spark: SparkSession, folder: str, sample_ratio: float | None = None, max_samples: int | None = None, seed: int = 0) -> DataFrame:
     """Well-formed records, a deterministic sample of them if a ratio is given."""
     good = read_jsonl(spark, folder).where(~F.col("malformed")).drop("malformed")
@@ -64,8 +69,24 @@ def overlay(df: DataFrame, fields: tuple[str, ...] = ("cleaned_text", "md5", "pe
     return df.select(F.to_json(F.map_concat(old, new)).alias("value"))
 
 
+def _gate(spark: SparkSession, path: str) -> None:
+    """A stage whose input is missing or holds no file does not start."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    if not found or not any(x.isFile() or len(x.getPath().getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(x.getPath())) for x in found):
+        raise NoInput(f"nothing at {path}")
+
+
+def read_kept(spark: SparkSession, path: str) -> DataFrame:
+    """Stage 1's records from JSONL, for stage 2; lines that are not of that form are dropped."""
+    _gate(spark, path)
+    schema = "text string, cleaned_text string, md5 string, perplexity double, source_file string, text_type string, has_academic_features boolean"
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+
+
 def read_rewrites(spark: SparkSession, path: str) -> DataFrame:
-    """Rewrite results from JSONL; lines that are not of that form are dropped."""
+    """Rewrite results from JSONL, for stage 3; lines that are not of that form are dropped."""
+    _gate(spark, path)
     schema = "id string, original_text string, rewritten_text string, status string, reason string, orig_perplexity double, rew_perplexity double"
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
