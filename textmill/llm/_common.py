@@ -86,7 +86,7 @@ _tables: dict[int, np.ndarray] = {}
 
 def _pow(base: int, n: int) -> np.ndarray:
     """base to the powers 0 to n - 1 and beyond, modulo 2**64."""
-    if len(_tables.get(base, ())) < n:
+    if base not in _tables or len(_tables[base]) < n:
         steps = np.full(max(n, TILE), base, U64)
         steps[0] = 1
         _tables[base] = np.cumprod(steps, dtype=U64)
