@@ -10,8 +10,8 @@
    one bundle are finished by blocks of members, a matrix product per block pair that yields only the pairs which join
    bundles. No list is capped, and no list's pairs are written out.
 4. Inside each bundle, blocks of members are compared on their full shingle sets, again by matrix products over the
-   shingles that occur twice; similarity of 0.75 or more is a link, and a cell yields a spanning forest of its links.
-   Components of those are the result.
+   shingles that occur twice: first all with the smallest member, then those not linked with it with all. Similarity of
+   0.75 or more is a link, and a cell yields a spanning forest of its links. Components of those are the result.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from ._common import arrow_map, components, mix64, shingle_sets, text_chunks, wr
 SKETCH = 64
 NEED = 34  # values a linked pair shares in two sketches of 64: mean 48, standard deviation 3.5, so 4 deviations below
 REACH = 0.54  # least estimate that goes on to the exact test: as many deviations below 0.75
-BLOCK = 512
+BLOCK, BLOCK_VALUES = 512, 1 << 18
 
 PAIRS = "a long, b long"
 SIGNED = T.StructType([
@@ -197,6 +197,11 @@ def _cells(rows: DataFrame, key: str, member) -> DataFrame:
     return cells.select("l", F.when(F.col("p") == F.col("q"), F.col("l")).otherwise(F.col("r")).alias("r"))
 
 
+def _blocks(size: str) -> Column:
+    """Blocks of at most about BLOCK members and BLOCK_VALUES values."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum(size) / F.lit(BLOCK_VALUES)))
+
+
 SETS = "cls long, set array<long>"
 
 
@@ -249,11 +254,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     if not more.isEmpty():
         bundles = components(reached.unionByName(more))
 
-    sized = written(bundles.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks")), "bundles")
+    weights = bundles.join(classes.select(F.col("cls").alias("id"), "n_shingles"), "id")
+    sized = written(weights.groupBy("component").agg(_blocks("n_shingles").alias("blocks")), "bundles")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(bundles, "id").select("id", "text")
     sets = written(arrow_map(texts, lambda x: _sets(x, words), SETS).dropDuplicates(["cls"]), "full-sets")
     rows = bundles.join(sized, "component").withColumnRenamed("id", "cls").join(sets, "cls")
-    comp = components(arrow_map(_cells(rows, "component", F.struct("cls", "set")), lambda x: _exact(x, percent), PAIRS))
+    member_ = F.struct("cls", "set").alias("m")
+    block = F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block")
+    stars = rows.where("cls <> component").select("component", block, member_).groupBy("component", "block").agg(F.collect_list("m").alias("r"))
+    stars = stars.join(rows.where("cls = component").select("component", F.array(member_).alias("l")), "component").select("l", "r")
+    links = written(arrow_map(stars, lambda x: _exact(x, percent), PAIRS), "star-links")
+    # what is not linked with the smallest member of its bundle is compared with all of them
+    apart = weights.where("id <> component").join(links.select(F.col("b").alias("id")).distinct(), "id", "left_anti")
+    apart = written(apart.select("id", "component", "n_shingles"), "apart")
+    if not apart.isEmpty():
+        left = apart.groupBy("component").agg(_blocks("n_shingles").alias("u_blocks"))
+        open_ = rows.join(written(left, "apart-blocks"), "component").join(apart.select(F.col("id").alias("cls"), F.lit(True).alias("u")), "cls", "left")
+        upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+        mine = open_.where("u").select("component", F.pmod(F.xxhash64("cls"), F.col("u_blocks")).alias("p"), upto(F.col("blocks")).alias("q"), member_).groupBy("component", "p", "q").agg(F.collect_list("m").alias("l"))
+        every = open_.select("component", upto(F.col("u_blocks")).alias("p"), block.alias("q"), member_).groupBy("component", "p", "q").agg(F.collect_list("m").alias("r"))
+        links = links.unionByName(arrow_map(mine.join(every, ["component", "p", "q"]).select("l", "r"), lambda x: _exact(x, percent), PAIRS))
+    comp = components(links)
     of = comp.select(F.col("id").alias("cls"), "component")
     classes_of = written(written(member.select("n_shingles", "set_lo", "set_hi", "cls"), "sets").join(of, "cls", "left"), "classes-of")
     out = sig.drop("sketch").join(classes_of, ["n_shingles", "set_lo", "set_hi"])
