@@ -46,17 +46,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
 
     size: number of words (null or blank text: 0). taken: words the mix takes from the document, repeats counted: whole
     epochs of the source first, then documents in hash-key order up to the exact budget, where the last one is cut.
-    A row of a source without words has target 0 and taken 0. Null doc_id or source are values like any other; equal
-    rows share a key and are ordered by size, so reruns agree. Other columns of the input are not read. An empty
+    A row of a source without words has target 0 and taken 0. Null doc_id or source are values like any other (rows
+    without doc_id are keyed by their text); equal rows share a key and are ordered by size, so reruns agree. Texts are counted
+    whole, however long. Other columns of the input are not read. An empty
     table gives an empty result.
     """
-    sizes = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    # a key by hash of the doc_id, or of the text where there is none
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce("text", F.lit("")))))
+    key = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), name)), 1, 15), 16, 10).cast("long").alias("key")
+    sizes = docs.select("doc_id", key, "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     sizes = written(sizes, "sizes")
     targets = written(source_targets(sizes, weights, share, most), "targets")
     rows = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    rows = rows.withColumn("key", F.xxhash64(F.lit(seed), "doc_id")).withColumn(
-        "slice", (F.shiftrightunsigned("key", 33).cast("double") / F.lit(float(2**31)) * F.ceil(F.col("source_rows") / F.lit(slice_rows))).cast("long")
-    )
+    rows = rows.withColumn("slice", F.floor(F.col("key").cast("double") / F.lit(float(2**60)) * F.ceil(F.col("source_rows") / F.lit(slice_rows))))
     part = Window.partitionBy("source", "slice")
     rows = rows.withColumn("inside", F.sum("size").over(part.orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)))
     sums = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))

@@ -19,7 +19,21 @@ from .warc import page_records, resolve_revisits
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixes all documents to the source targets."""
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumn("target", F.round("target", 6))
+
+
+OP1_SQL = r"""
+WITH s AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+  ('0x' || substr(md5('20|' || coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, '')))), 1, 15))::BIGINT AS key FROM documents),
+w AS (SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w, sum(size)::DOUBLE * 2 AS cap FROM s GROUP BY source),
+l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT source, source_size, least(cap, max(level) OVER () * w) AS target FROM l),
+b AS (SELECT s.*, source_size, target, floor(target)::BIGINT AS budget, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS epochs,
+  coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY key, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, round(target, 6) AS target, (epochs * size + greatest(0, least(size, budget - epochs * source_size - before)))::BIGINT AS taken FROM b
+"""
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +111,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_revisits": OP5_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op5_warc_revisits": OP5_SQL}
