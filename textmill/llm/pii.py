@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLES = 1600
+GROUP, STRIP = 256, 4096  # matches, characters
 
 # Possessive where nothing that follows could match what is given back, and anchored to the start of a run where a
 # later start cannot match: the same leftmost spans, without backtracking or quadratic scans over long runs.
@@ -46,17 +47,42 @@ FEATURES = ("n_chars", "n_digits", "n_marks", "distinct", "luhn", "hint", "again
 SPAN = "array<struct<kind:int,start:int,end:int,hit:string,base_shape:boolean>>"
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once however often body names it, in lambdas too."""
+    return F.transform(F.array(value), body)[0]
+
+
 def found(text: Column, pattern: str, kind: int, base: bool) -> Column:
-    """Leftmost non-overlapping matches with code-point bounds, from the lengths of what lies between them."""
+    """Leftmost non-overlapping matches with code-point bounds, from the lengths of what lies between them.
+
+    Lengths are summed up within GROUP matches, and over groups, so the work is linear in the matches of a text."""
     pieces = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda g, h: F.struct(F.length(g).alias("g"), F.coalesce(F.length(h), F.lit(0)).alias("n"), h.alias("h")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    span = lambda start, end, hit: F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), hit.alias("hit"), F.lit(base).alias("base_shape"))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         a = acc["at"] + x["g"]
-        span = F.struct(F.lit(kind).alias("kind"), a.alias("start"), (a + x["n"]).alias("end"), x["h"].alias("hit"), F.lit(base).alias("base_shape"))
-        return F.struct((a + x["n"]).alias("at"), F.when(x["h"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span))).alias("out"))
+        return F.struct((a + x["n"]).alias("at"), F.when(x["h"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span(a, a + x["n"], x["h"])))).alias("out"))
+
+    def grouped(ps: Column) -> Column:
+        groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(ps) - 1) / GROUP).cast("int")), lambda i: F.aggregate(F.slice(ps, i * GROUP + 1, F.lit(GROUP)), none, step))
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        before = lambda gs: F.aggregate(gs, begin, lambda acc, g: F.struct((acc["at"] + g["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+        return let(groups, lambda gs: F.flatten(F.zip_with(gs, before(gs), lambda g, at: F.transform(g["out"], lambda x: span(x["start"] + at, x["end"] + at, x["hit"])))))
+
+    return let(pieces, lambda ps: F.when(F.size(ps) <= GROUP, F.aggregate(ps, none, step)["out"]).otherwise(grouped(ps)))
+
+
+def strips(spans: Column, text: Column) -> Column:
+    """The spans by the strip of the text they touch; few spans are one strip."""
+    at = F.sequence(F.lit(0), F.floor(F.length(text) / STRIP).cast("int"))
+    return F.when(F.size(spans) <= GROUP, F.array(spans)).otherwise(F.transform(at, lambda b: F.filter(spans, lambda s: (s["start"] < (b + 1) * STRIP) & (s["end"] > b * STRIP))))
+
 
-    return F.aggregate(pieces, start, step, lambda acc: acc["out"])
+def beside(strips_: Column, x: Column) -> Column:
+    """What can overlap x."""
+    first = F.floor(x["start"] / STRIP).cast("int")
+    return F.when(F.size(strips_) == 1, strips_[0]).otherwise(F.flatten(F.slice(strips_, first + 1, F.floor(x["end"] / STRIP).cast("int") - first + 1)))
 
 
 def digits(hit: Column) -> Column:
@@ -217,7 +243,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     Spans are kind:start:end in code points by kind, then start. An added span overlaps no base span, nor an added one
     with a higher score (an equal score: an earlier start). Null text counts as empty; null and repeated doc_ids pass
-    through; other columns are not read; an empty table gives no rows.
+    through; texts are read whole, however long, and however many spans they hold; other columns are not read; an empty
+    table gives no rows.
     """
     trees, least = fitted(docs.sparkSession)
     rows = proposals(docs.select(F.col("doc_id").cast("long"), "text"))
@@ -226,14 +253,14 @@ def find_pii(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("_base", F.concat(*[F.col(f"_b{k}") for k in range(4)]))
     apart = lambda a, b: (a["end"] <= b["start"]) | (b["end"] <= a["start"])
     rest = F.concat(*[F.filter(f"_base{k}", _checked(name, False)) for k, name in enumerate(KINDS)], *[F.col(f"_loose{k}") for k in range(4)])
-    rest = F.filter(rest, lambda x: F.forall("_base", lambda b: apart(x, b)))
-    rows = rows.withColumn("_rest", F.when(F.size(F.concat(*[F.col(f"_base{k}") for k in range(4)], *[F.col(f"_loose{k}") for k in range(4)])) > F.size("_base"), rest).otherwise(F.array().cast(SPAN)))
+    loose = let(strips(F.col("_base"), F.col("_text")), lambda base: F.filter(rest, lambda x: F.forall(beside(base, x), lambda b: apart(x, b))))
+    rows = rows.withColumn("_rest", F.when(F.size(F.concat(*[F.col(f"_base{k}") for k in range(4)], *[F.col(f"_loose{k}") for k in range(4)])) > F.size("_base"), loose).otherwise(F.array().cast(SPAN)))
     rows = rows.withColumn("_rest", F.transform("_rest", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), features(F.col("_text"), x).alias("f"))))
     rows = rows.withColumn("_rest", F.transform("_rest", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), score(trees, x["f"]).alias("s"))))
     enough = F.filter("_rest", lambda x: x["s"] >= F.element_at(F.array(*[F.lit(v) for v in least]), x["kind"] + 1))
     rows = rows.withColumn("_rest", enough)
     better = lambda a, b: (a["s"] > b["s"]) | ((a["s"] == b["s"]) & ((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["kind"] < b["kind"]))))
-    rows = rows.withColumn("_added", F.filter("_rest", lambda x: F.forall("_rest", lambda o: apart(x, o) | ~better(o, x))))
+    rows = rows.withColumn("_added", let(strips(F.col("_rest"), F.col("_text")), lambda rest: F.filter("_rest", lambda x: F.forall(beside(rest, x), lambda o: apart(x, o) | ~better(o, x)))))
     plain = lambda c: F.transform(c, lambda x: F.struct(x["kind"].alias("k"), x["start"].alias("a"), x["end"].alias("b")))
     say = lambda c: F.array_join(F.transform(c, lambda x: F.concat(F.element_at(F.array(*[F.lit(k) for k in KINDS]), x["k"] + 1), F.lit(":"), x["a"].cast("string"), F.lit(":"), x["b"].cast("string"))), ",")
     base, every = plain(F.col("_base")), F.array_sort(F.concat(plain(F.col("_base")), plain(F.col("_added"))))
