@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm._common import written
+from textmill.llm._common import discard, written
 from textmill.llm.decontaminate import contaminated
 from textmill.llm.line_dedup import dedup_lines
 from textmill.llm.mix import mix
@@ -42,10 +42,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the smallest doc_id; of equal rows one."""
+    """One document of each near-duplicate group: the smallest doc_id; of rows equal in doc_id and text one."""
     gone = near_duplicates(docs).where("not kept")
     left = _without(docs, gone)
-    named = left.where("doc_id is not null").dropDuplicates(["doc_id"])
+    named = left.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
     return named.unionByName(left.where("doc_id is null"))
 
 
@@ -74,6 +74,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents, one after the other."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
