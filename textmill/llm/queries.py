@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._common import spread
 from .decontaminate import contaminated
 from .embedding_dup import link_embeddings
 from .langid import predict_language
@@ -17,9 +18,13 @@ from .toxicity import score_toxicity
 from .warc import page_records, resolve_revisits
 
 
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixes all documents to the source targets."""
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumn("target", F.round("target", 6))
+    return mix(_docs(spark, sf_dir)).withColumn("target", F.round("target", 6))
 
 
 OP1_SQL = r"""
@@ -38,17 +43,17 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, (epochs * size + g
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
-    return find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return find_pii(_docs(spark, sf_dir))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test items found in all documents."""
-    return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents."""
-    return predict_language(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return predict_language(_docs(spark, sf_dir))
 
 
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,17 +87,17 @@ FROM verdict
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents."""
-    return score_toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(_docs(spark, sf_dir))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without their later repeated runs; the text as its length and MD5."""
-    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = dedup_lines(_docs(spark, sf_dir))
     return out.select("doc_id", "n_runs", "n_deleted", F.length("text").cast("long").alias("n_chars_left"), F.md5("text").alias("text_md5"))
 
 
@@ -103,7 +108,7 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
-    return find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return find_secrets(_docs(spark, sf_dir))
 
 
 def queries() -> dict:
