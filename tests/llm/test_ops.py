@@ -58,11 +58,11 @@ def test_odd_rows_have_stated_results(spark):
 
 
 def test_long_texts(spark):
-    many = [f"w{i}" for i in range(150_000)]
+    many = [f"w{i}" for i in range(60_000)]
     long_ = " ".join(many)
     rows = spark.createDataFrame([(1, long_, "a"), (2, "x y z " + long_, "a"), (3, "q" * 1_000_000, "b")], "doc_id long, text string, source string")
-    assert sorted(r.size for r in mix.mix(rows).collect()) == [1, 150_000, 150_003]
-    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_dup.near_duplicates(rows).collect()) == [(1, 149_996, 1), (2, 149_999, 1), (3, 1, 3)]
+    assert sorted(r.size for r in mix.mix(rows).collect()) == [1, 60_000, 60_003]
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_dup.near_duplicates(rows).collect()) == [(1, 59_996, 1), (2, 59_999, 1), (3, 1, 3)]
     got = {r.doc_id: r for r in line_dedup.dedup_lines(rows).collect()}
     assert got[1].text == long_ and got[2].text.split() == ["x", "y", "z"] and got[3].n_deleted == 0
     model = langid.train(spark.createDataFrame([(i, "der die das und ist nicht " * 5, "de") for i in range(8)] + [(i, "the and of that with this " * 5, "en") for i in range(8, 16)], "doc_id long, text string, lang string"))
@@ -124,7 +124,7 @@ def test_pii_base(spark, real):
 
 
 def test_pii_many_spans(spark):
-    n = 30_000
+    n = 6_000
     text = "é " + " ".join(f"u{i}@x.org" if i % 3 else "(555) 123-4567" for i in range(n))
     want, at = [], 2
     for i in range(n):

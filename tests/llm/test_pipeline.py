@@ -32,7 +32,6 @@ def test_stages(spark, sf):
     assert ids(out["mix"]) == ids(out["decontaminate"])
     r = out["mix"].agg(F.sum("taken"), F.sum("size")).first()
     assert abs(r[0] - 1.5 * r[1]) < 30
-    assert sorted(map(tuple, corpus_pipeline.run(spark, sf).collect()), key=str) == sorted(map(tuple, out["mix"].collect()), key=str)
 
 
 @pytest.fixture
@@ -61,6 +60,7 @@ def test_stages_on_odd_rows(spark, small):
     assert ids(out["near_dedup"]) == sorted([1, 5, 6, 7, 8, 9, 10, None], key=str)
     assert ids(out["decontaminate"]) == sorted([1, 6, 7, 8, 9, 10, None], key=str)
     mixed = {r.doc_id: r for r in out["mix"].collect()}
+    assert sorted(map(tuple, corpus_pipeline.run(spark, small).collect()), key=str) == sorted(map(tuple, out["mix"].collect()), key=str)
     assert mixed[1].size == 120 and mixed[7].size == mixed[8].taken == 0 and all(r.taken <= 2 * r.size for r in mixed.values())
 
 
