@@ -64,7 +64,8 @@ def resolve_revisits(records: DataFrame, ranges: int | None = None) -> DataFrame
     """
     ok = F.col("canon").isNotNull() & (F.col("canon") != "")
     recs = records.select("record_id", "ts", "kind", "etag", "last_modified", "digest", "headers", canonical_url(F.col("url")).alias("canon")).where(F.col("kind").isin("response", "revisit"))
-    recs = recs.withColumn("again", F.col("kind") == "revisit")
+    # written, as the bounds of the ranges are sampled in a pass of its own
+    recs = written(recs.withColumn("again", F.col("kind") == "revisit"), "records")
     order = ["ts", "again", "record_id"]
     named = recs.where(ok)
     named = named.repartitionByRange(*([ranges] if ranges else []), "canon", *order).withColumn("run", F.spark_partition_id())
