@@ -317,6 +317,16 @@ def test_line_dedup_against_runs(spark):
     assert [got[i] for i in range(len(texts))] == left_by_line_dedup(texts)
 
 
+def test_line_dedup_stores_what_is_read_again(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: (names.append(name), common.written(df, name))[1])
+    w = [f"w{i}" for i in range(200)]
+    texts = [" ".join(w), " ".join(w[:90] + w[40:150]), " ".join([*w[60:130], "x", *w[20:75]])]
+    got = {r.doc_id: r.text.split() for r in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == left_by_line_dedup(texts)
+    assert names == ["prints", "firsts", "again", "runs", "found"]  # each written file starts processes on its executor
+
+
 def test_line_dedup_own_lines(spark):
     rnd = np.random.default_rng(9)
     pool = [[f"w{x}" for x in rnd.integers(0, 10**9, n)] for n in (1, 2, 3, 9, 10, 11, 39, 40, 41)]

@@ -269,7 +269,7 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, line: int = LINE, windo
     runs = written(arrow_map(texts, lambda b: _runs(b, least), RUNS), "runs")
     known = runs.groupBy("run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").select("run", "first")
     at_first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))
-    parts = written(runs.join(known, "run").where(~at_first).select("doc_id", "pos", F.lit(least).alias("n")), "later-runs")
+    parts = runs.join(known, "run").where(~at_first).select("doc_id", "pos", F.lit(least).alias("n"))
     later = prints.select("stretch", "doc_id", "pos", "n").join(firsts.where("times > 1").select("stretch", "first"), "stretch").where(~at_first).select("doc_id", "pos", "n")
     full = later.unionByName(parts).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "n")).alias("found"))
     full = written(full, "found")
