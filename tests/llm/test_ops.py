@@ -562,6 +562,18 @@ def test_revisits_odd_records(spark):
     assert {r.record_id for r in warc.resolve_revisits(dated).where("resolved").collect()} == {2, 7}
 
 
+def test_revisits_store_one_table(spark, sf, monkeypatch):
+    names = []
+    monkeypatch.setattr(warc, "written", lambda df, name: (names.append(name), common.written(df, name))[1])
+    rows = [(i, i // 2, (None, "", "a.org", "b.org")[i % 4], ("response", "revisit")[i // 4 % 2], '"v"', None, None, {"Date": str(i)}) for i in range(80)]
+    for ranges in (1, 7):
+        got = {r.record_id: (r.canon, r.response_id, r.reason, r.headers) for r in warc.resolve_revisits(spark.createDataFrame(rows, RECORDS), ranges).collect()}
+        assert got == {i: (r[2], None, "no url", {"date": str(i)}) if not r[2] else (r[2], i - 4, None, {"date": str(i)}) for i, r in enumerate(rows) if r[3] == "revisit"}
+    assert names == ["runs", "runs"]  # each written file starts processes on its executor
+    plan = warc.page_records(spark.read.parquet(f"{sf}/pages.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_revisits_of_one_url_against_a_loop(spark):
     rnd = np.random.default_rng(4)
     rows = [(i, int(rnd.integers(0, 300)), "a.org/x", ("response", "revisit")[i % 2], f'"{rnd.integers(0, 3)}"', None, None, None) for i in range(1200)]

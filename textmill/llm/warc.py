@@ -62,36 +62,33 @@ def resolve_revisits(records: DataFrame, ranges: int | None = None) -> DataFrame
     repeated rows give repeated results; an empty table gives none. ranges: into how many the records are dealt; by
     default as many as the session's shuffles have partitions.
     """
-    ok = F.col("canon").isNotNull() & (F.col("canon") != "")
+    ok = F.coalesce(F.col("canon") != "", F.lit(False))
     recs = records.select("record_id", "ts", "kind", "etag", "last_modified", "digest", "headers", canonical_url(F.col("url")).alias("canon")).where(F.col("kind").isin("response", "revisit"))
-    # written, as the bounds of the ranges are sampled in a pass of its own
-    recs = written(recs.withColumn("again", F.col("kind") == "revisit"), "records")
+    recs = recs.withColumn("again", F.col("kind") == "revisit").where(ok | F.col("again"))
     order = ["ts", "again", "record_id"]
-    named = recs.where(ok)
-    named = named.repartitionByRange(*([ranges] if ranges else []), "canon", *order).withColumn("run", F.spark_partition_id())
-    named = written(named, "runs")
+    # the one table written: revisits without a URL lie in it too, and the records are read for it and its bounds only
+    recs = recs.repartitionByRange(*([ranges] if ranges else []), "canon", *order).withColumn("run", F.spark_partition_id())
+    recs = written(recs, "runs")
     full = F.struct("record_id", "etag", "last_modified", "digest", "headers")
-    # null orders below all other values in a structure too
-    ends = named.where(~F.col("again")).groupBy("canon", "run").agg(F.max_by(full, F.struct("ts", "record_id")).alias("end"))
-    spans = named.select("canon", "run").distinct().join(ends, ["canon", "run"], "left")
+    # null orders below all other values in a structure too; runs without a response have a null end
+    spans = recs.where(ok).groupBy("canon", "run").agg(F.max_by(full, F.when(~F.col("again"), F.struct("ts", "record_id"))).alias("end"))
     before = F.last("end", ignorenulls=True).over(Window.partitionBy("canon").orderBy("run").rowsBetween(Window.unboundedPreceding, -1))
     carried = spans.select("canon", "run", before.alias("carried"))
     inside = F.last(F.when(~F.col("again"), full), ignorenulls=True).over(Window.partitionBy("canon", "run").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1))
-    asof = named.withColumn("inside", inside).where("again").join(carried, ["canon", "run"]).withColumn("r", F.coalesce("inside", "carried"))
+    # left: revisits without a URL are in no span
+    asof = recs.withColumn("inside", inside).where("again").join(carried, ["canon", "run"], "left").withColumn("r", F.coalesce("inside", "carried"))
     r = F.col("r")
     verdict = (
-        F.when(r.isNull(), "no earlier response")
+        F.when(~ok, "no url")
+        .when(r.isNull(), "no earlier response")
         .when(F.col("etag").isNotNull() & r["etag"].isNotNull(), F.when(_weak(F.col("etag")) != _weak(r["etag"]), "validators differ"))
         .when(F.col("last_modified").isNotNull() & r["last_modified"].isNotNull(), F.when(F.col("last_modified") != r["last_modified"], "validators differ"))
         .when(F.col("digest").isNotNull() & r["digest"].isNotNull(), F.when(F.col("digest") != r["digest"], "validators differ"))
         .otherwise("no validator")
     )
     found = asof.select("record_id", "canon", "ts", r["record_id"].alias("response_id"), verdict.alias("reason"), F.col("headers").alias("own"), r["headers"].alias("stored"))
-    lost = recs.where(~F.coalesce(ok, F.lit(False)) & F.col("again"))
-    none = lambda c: F.lit(None).cast(recs.schema[c].dataType)
-    lost = lost.select("record_id", "canon", "ts", none("record_id").alias("response_id"), F.lit("no url").alias("reason"), F.col("headers").alias("own"), none("headers").alias("stored"))
     resolved = F.col("reason").isNull()
-    return found.unionByName(lost).select(
+    return found.select(
         "record_id", "canon", "ts", "response_id", resolved.alias("resolved"), "reason", merged_headers(F.when(resolved, F.col("stored")), F.col("own")).alias("headers")
     )
 
@@ -106,8 +103,9 @@ def page_records(pages: DataFrame) -> DataFrame:
     p = pages.select("page_id", "url", F.md5(F.coalesce("html", F.lit(""))).alias("md5"))
     etag = F.when(F.col("page_id") % 7 != 3, F.concat(F.when(F.col("page_id") % 2 == 0, "W/").otherwise(""), F.lit('"'), "md5", F.lit('"')))
     modified = F.when(F.col("page_id") % 7 != 3, F.concat(F.lit("day "), F.floor(F.col("page_id") / 10).cast("string")))
-    common = [F.col("url"), etag.alias("etag"), modified.alias("last_modified"), F.when(F.col("page_id") % 5 != 4, F.col("md5")).alias("digest")]
-    head = lambda kind: F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), F.concat(F.lit(kind), F.col("page_id").cast("string")), F.lit("X-Cache"), F.lit(kind))
-    first = p.select((F.col("page_id") * 2).alias("record_id"), F.col("page_id").alias("ts"), F.lit("response").alias("kind"), *common, head("full").alias("headers"))
-    again = p.select((F.col("page_id") * 2 + 1).alias("record_id"), (F.col("page_id") + 100_000).alias("ts"), F.lit("revisit").alias("kind"), *common, head("again").alias("headers"))
-    return first.unionByName(again)
+    p = p.select("page_id", "url", etag.alias("etag"), modified.alias("last_modified"), F.when(F.col("page_id") % 5 != 4, F.col("md5")).alias("digest"))
+    page = F.col("page_id")
+    head = lambda kind: F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), F.concat(F.lit(kind), page.cast("string")), F.lit("X-Cache"), F.lit(kind))
+    visit = lambda i, ts, kind, name: F.struct((page * 2 + i).alias("record_id"), ts.alias("ts"), F.lit(kind).alias("kind"), "url", "etag", "last_modified", "digest", head(name).alias("headers"))
+    # both visits from one scan
+    return p.select(F.inline(F.array(visit(0, page, "response", "full"), visit(1, page + 100_000, "revisit", "again"))))
