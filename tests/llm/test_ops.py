@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm import _common as common
 from textmill.llm import decontaminate, embedding_dup, langid, line_dedup, mix, near_dup, pii, queries, secrets, toxicity, warc
+from textmill.operators import _store as store
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, source string, taken string, size int"
@@ -327,6 +328,23 @@ def test_line_dedup_stores_what_is_read_again(spark, monkeypatch):
     assert names == ["prints", "firsts", "again", "runs", "found"]  # each written file starts processes on its executor
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    own = spark.newSession()
+    own.conf.set(store.BATCH, "8m")
+    long = F.when(F.col("id") == 700, 1_300_000).otherwise(500)
+    pieces = {}
+    for name, session, limits in (("small", spark, ()), ("joined", spark, (10_000, 32 << 20)), ("own", own, ())):
+        rows = session.range(0, 6000, 1, 1).select("id", F.repeat(F.lit("word "), long).alias("text"))
+        seen = lambda batches: (pa.RecordBatch.from_arrays([[len(b)], [b.get_total_buffer_size()], [sum(len(x.as_py()) for x in b.column(1))]], names=["n", "held", "chars"]) for b in batches)
+        pieces[name] = common.arrow_map(rows, seen, "n long, held long, chars long", *limits).collect()
+        assert sum(r.n for r in pieces[name]) == 6000 and sum(r.chars for r in pieces[name]) == 5999 * 2500 + 6_500_000
+    # what a piece keeps alive is a batch or two, the longer one with the text that is longer by itself
+    held = [r.held for r in pieces["small"]]
+    assert np.median(held) < 5 << 20 and max(held) < 12 << 20
+    assert len(pieces["joined"]) == 1
+    assert own.conf.get(store.BATCH) == "8m"
+
+
 def test_line_dedup_own_lines(spark):
     rnd = np.random.default_rng(9)
     pool = [[f"w{x}" for x in rnd.integers(0, 10**9, n)] for n in (1, 2, 3, 9, 10, 11, 39, 40, 41)]

@@ -31,10 +31,23 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000, size: int = 4 <<
             yield batch.slice(i, many)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches that follow on each other put together, up to `rows` rows and about `size` bytes."""
+    held, n, many = [], 0, 0
+    for batch in batches:
+        if held and (n + batch.num_rows > rows or many + batch.nbytes > size):
+            yield pa.concat_batches(held)
+            held, n, many = [], 0, 0
+        held.append(batch)
+        n, many = n + batch.num_rows, many + batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def arrow_map(df: DataFrame, f: Callable, schema, rows: int = 1000, size: int = 4 << 20) -> DataFrame:
     """mapInArrow of f over pieces of the batches."""
     ship(df.sparkSession)
-    return df.mapInArrow(lambda batches: f(sliced(batches, rows, size)), schema)
+    return df.mapInArrow(lambda batches: f(sliced(gathered(batches, rows, size), rows, size)), schema)
 
 
 def text_buffers(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

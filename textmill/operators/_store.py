@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Bytes of rows that Spark gathers before it hands them to a Python worker; a row beyond that is a batch of its own.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every machine sees: spark.checkpoint.dir. Where it is unset, a local master may use its own folder;
     on a cluster each machine would write to its own disk, so that is an error."""
@@ -50,7 +54,11 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once a session: they need not have it installed."""
+    """Give the executors this package, once a session: they need not have it installed. Where the session sets no bytes
+    of an Arrow batch, it gets BATCH_BYTES: Spark's own 10,000 rows of text are held on both sides of each worker, outside
+    the heap."""
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, BATCH_BYTES)
     sc = spark.sparkContext
     if any("textmill-" in str(f) for f in sc.listFiles):
         return
