@@ -258,3 +258,16 @@ def test_cluster_needs_a_shared_folder(spark):
 
     with pytest.raises(ValueError):
         _store.shared_dir(Bare)
+
+
+def test_rounding_goes_by_the_exact_value(spark):
+    """As Python's format and round do: 0.085 and 0.155 are no ties, 0.125 and 0.375 are."""
+    values = [n / 1000 for n in range(1001)] + [0.125, 0.375, -0.085, 0.0, 1 / 3, 89.5, 2.675, 1234.565, 14999.995] + [a / b for b in (7, 40, 200, 1000) for a in range(b)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(
+        "v", T.rounded(F.col("v"), 2).alias("two"), F.format_string("%.2f", T.rounded(F.col("v"), 2)).alias("said"), T.rounded(F.col("v"), 0).alias("none")).collect()
+    assert [(r.two, r.said, r.none) for r in got] == [(round(r.v, 2), f"{r.v:.2f}", float(round(r.v))) for r in got]
+    odd = spark.createDataFrame([(None,), (math.inf,), (math.nan,), (1e300,)], "v double").select(T.rounded(F.col("v"), 2).alias("x"))
+    assert [str(r.x) for r in odd.collect()] == ["None", "inf", "nan", "1e+300"]
+    row = ("的" * 17 + "水" * 183, "水" * 200, "redundant", 1.0, 10.0, 5.0)
+    said = rewrite.judged(spark.createDataFrame([row], "rewritten_text string, original_text string, rewrite_reason string, similarity double, perplexity double, rew_ppl double")).first()
+    assert said.reason == "冗余未降(0.09)"

@@ -100,6 +100,24 @@ def redundancy(t: Column) -> Column:
     return F.when(n > 0, (n - F.length(F.translate(t, vocab.REDUNDANT_CHARS, ""))) / n).otherwise(0.0)
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """x to so many decimals as Python's round and C's printf have it: the double's exact value counts, and only a true
+    tie goes to the even digit. bround takes the shortest decimal for the value: 0.085, a little above the tie, gives 0.08.
+
+    The product with the power of ten is taken with its rounding error (Dekker's split), which says on which side of a
+    seeming tie x lies. Values of 2^40 and more, infinities and NaN are left to bround."""
+    scale = float(10**digits)
+
+    def near(v: Column) -> Column:
+        p, far = v * scale, v * 134217729.0
+        high = far - (far - v)
+        error = (high * scale - p) + (v - high) * scale
+        n = F.when((p - F.floor(p) == 0.5) & (error != 0.0), F.floor(p) + (error > 0.0).cast("int")).otherwise(F.rint(p))
+        return F.when(F.abs(v) < float(2**40), n / scale).otherwise(F.bround(v, digits))
+
+    return F.get(F.transform(F.array(x.cast("double")), near), F.lit(0))  # x is worked out once
+
+
 def question_type(t: Column) -> Column:
     """First type one of whose words occurs; else calculate for a digit with a sign of arithmetic; else fallback."""
     out = F

@@ -81,7 +81,7 @@ def fail_reason(cfg: QaConfig = QaConfig()) -> Column:
     )
     if cfg.relevance == "cosine":
         sim = T.cosine(T.hashed_bigrams(F.col("source_text")), T.hashed_bigrams(F.concat_ws(" ", q, a)))
-        out = out.when(sim < cfg.similarity, F.format_string("与原文相关度低(%.2f)", sim))
+        out = out.when(sim < cfg.similarity, F.format_string("与原文相关度低(%.2f)", T.rounded(sim, 2)))
     return out
 
 

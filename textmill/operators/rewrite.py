@@ -67,10 +67,10 @@ def quality(cfg: RewriteConfig = RewriteConfig()) -> Column:
     return (
         F.when((F.coalesce(F.length(new), F.lit(0)) == 0) | F.contains(new, F.lit("改写失败")), "生成空结果或失败")
         .when(logic & ~T.any_of(new, vocab.LOGIC), "未注入逻辑链")
-        .when(logic & (sim < cfg.similarity), F.format_string("相似度过低(%.2f)", F.bround(sim, 2)))
-        .when(sim < cfg.similarity, F.format_string("相似度低(%.2f)", F.bround(sim, 2)))
-        .when((reason == "high_perplexity") & (F.col("rew_ppl") >= F.col("perplexity") * cfg.reduction), F.format_string("困惑度未降(%.0f)", F.bround("rew_ppl", 0)))
-        .when((reason == "redundant") & (T.redundancy(new) >= T.redundancy(F.col("original_text"))), F.format_string("冗余未降(%.2f)", F.bround(T.redundancy(new), 2)))
+        .when(logic & (sim < cfg.similarity), F.format_string("相似度过低(%.2f)", T.rounded(sim, 2)))
+        .when(sim < cfg.similarity, F.format_string("相似度低(%.2f)", T.rounded(sim, 2)))
+        .when((reason == "high_perplexity") & (F.col("rew_ppl") >= F.col("perplexity") * cfg.reduction), F.format_string("困惑度未降(%.0f)", T.rounded(F.col("rew_ppl"), 0)))
+        .when((reason == "redundant") & (T.redundancy(new) >= T.redundancy(F.col("original_text"))), F.format_string("冗余未降(%.2f)", T.rounded(T.redundancy(new), 2)))
     )
 
 

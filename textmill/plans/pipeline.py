@@ -42,7 +42,7 @@ def decide(docs: DataFrame, cfg: Config = Config(), scorer: Callable[[DataFrame]
 def refine(docs: DataFrame, cfg: Config = Config(), scorer: Callable[[DataFrame], DataFrame] = scoring.bigram_perplexity, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Stage 1: the kept records with cleaned_text, md5, text_type, perplexity (two decimals), has_academic_features."""
     kept = decide(docs, cfg, scorer, key, text).where("drop_reason is null").drop("drop_reason")
-    return kept.withColumn("perplexity", F.bround("perplexity", 2))
+    return kept.withColumn("perplexity", T.rounded(F.col("perplexity"), 2))
 
 
 def run(docs: DataFrame, rewriter: Callable[[DataFrame], DataFrame], questioner: Callable[[DataFrame], DataFrame], cfg: Config = Config(), scorer: Callable[[DataFrame], DataFrame] = scoring.bigram_perplexity, key: str = "doc_id", text: str = "text", timer: monitor.Stages | None = None) -> dict[str, DataFrame]:
