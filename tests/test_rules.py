@@ -271,3 +271,52 @@ def test_rounding_goes_by_the_exact_value(spark):
     row = ("的" * 17 + "水" * 183, "水" * 200, "redundant", 1.0, 10.0, 5.0)
     said = rewrite.judged(spark.createDataFrame([row], "rewritten_text string, original_text string, rewrite_reason string, similarity double, perplexity double, rew_ppl double")).first()
     assert said.reason == "冗余未降(0.09)"
+
+
+def test_greedy_by_first_keys_is_sequential_greedy(spark, sf, monkeypatch):
+    """Few first keys at a time: texts that are dropped by those kept, and then the rounds."""
+    docs = filters.clean(spark.read.parquet(f"{sf}/documents.parquet")).select("doc_id", "cleaned_text")
+    signed = _store.stored(dedup.signatures(docs), "signatures")
+    inc = dedup.buckets(signed).toPandas()
+    kept, taken = set(), set()
+    for k, g in sorted(inc.groupby("doc_id")):
+        own = set(zip(g.band, g.bucket))
+        if not own & taken:
+            kept.add(k)
+            taken |= own
+    rounds = []
+    plain = dedup.greedy_near_dedup
+    monkeypatch.setattr(dedup, "greedy_near_dedup", lambda df, key, last: (rounds.append(df.select(key).distinct().count()), plain(df, key, last))[1])
+    for texts in (1, 40, 10_000):
+        got = [r.doc_id for r in dedup.greedy_signed(signed, last=25 * texts).collect()]
+        assert sorted(got) == sorted(kept)
+    assert len(rounds) == 1  # at one text a time too little is dropped, and rounds go on
+    ordered = signed.withColumn("doc_id", F.concat(F.lit("k"), F.lpad("doc_id", 9, "0")))
+    assert {r.doc_id for r in dedup.greedy_signed(_store.stored(ordered, "signatures"), last=25 * 20).collect()} == {f"k{k:09d}" for k in kept}
+
+
+def test_taken_buckets_are_compared_whole(monkeypatch):
+    """Buckets of one hash are told apart by their minima."""
+    own = np.random.default_rng(1).integers(0, 2**31 - 1, (50, 5, 6)).astype(np.int32)
+    other = own[:20].copy()
+    other[:10] += 1
+    for hashed in (dedup._Taken._codes, lambda x: (x[..., 0] % 3).astype(np.uint64)):
+        monkeypatch.setattr(dedup._Taken, "_codes", staticmethod(hashed))
+        assert dedup._Taken(own).hit(other).tolist() == [False] * 10 + [True] * 10
+        assert not dedup._Taken(own[:0]).hit(other).any()
+
+
+def test_stage1_writes_texts_once(spark, tmp_path, monkeypatch):
+    """Copies and near copies: all records' texts are written once, and again only those that are left."""
+    said = "".join(chr(0x4E00 + i * 7 % 9000) for i in range(3000))
+    docs = spark.createDataFrame([(i, said[i % 3 :] + " " * (i % 2)) for i in range(60)], "doc_id long, text string")
+    rows = {}
+    put = _store.stored
+    for module in (pipeline, dedup, scoring):
+        monkeypatch.setattr(module, "stored", lambda df, name: (out := put(df, name), rows.setdefault(name, (out.count(), out.columns)))[0])
+    got = {r.doc_id: r.drop_reason for r in pipeline.decide(docs).select("doc_id", "drop_reason").collect()}
+    assert [got[i] for i in range(6)] == [None, "near_duplicate", "near_duplicate"] + ["md5_duplicate"] * 3
+    wide = {name: n for name, (n, columns) in rows.items() if {"text", "cleaned_text"} & set(columns) and name != "scored"}
+    assert wide == {"filtered": 60, "left": 1} and not {"text", "cleaned_text"} <= set(rows["filtered"][1])
+    plain = {r.doc_id: r.drop_reason for r in pipeline.decide(docs, pipeline.Config(minhash=None)).select("doc_id", "drop_reason").collect()}
+    assert sum(v == "md5_duplicate" for v in plain.values()) == 57 and all(plain[i] != "md5_duplicate" for i in range(3))

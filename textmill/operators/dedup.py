@@ -58,7 +58,11 @@ def mark_duplicates(df: DataFrame, order: str = "doc_id") -> DataFrame:
     """Sets drop_reason of later records with the digest of an earlier kept one.
 
     df is written once and not filtered: a filter on drop_reason would be pushed below the rules and run them anew."""
-    df = stored(df, "reasons")
+    return marked(stored(df, "reasons"), order)
+
+
+def marked(df: DataFrame, order: str = "doc_id") -> DataFrame:
+    """mark_duplicates of a table that is written already."""
     first = _firsts(df, order, "md5", F.col("drop_reason").isNull()).withColumnsRenamed({order: "_k", "md5": "_d"})
     out = df.join(first, F.col(order).eqNullSafe(F.col("_k")) & F.col("md5").eqNullSafe(F.col("_d")), "left").drop("_k", "_d")
     return out.withColumn("drop_reason", F.when(F.col("drop_reason").isNull() & F.col("_first").isNull(), "md5_duplicate").otherwise(F.col("drop_reason"))).drop("_first")
@@ -143,15 +147,127 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(kept, schema.types[0])], names=["k"])
 
 
+class _Taken:
+    """Buckets of kept keys, looked up whole columns at a time: by a 64-bit hash first, then by all their minima."""
+
+    def __init__(self, own: np.ndarray):
+        own = own.reshape(-1, own.shape[-1])
+        code = self._codes(own)
+        by = np.argsort(code, kind="stable")
+        self.own, self.code = own[by], code[by]
+        self.alike = int(np.unique(code, return_counts=True)[1].max()) if len(code) else 0
+
+    @staticmethod
+    def _codes(own: np.ndarray) -> np.ndarray:
+        code = np.zeros(own.shape[:-1], np.uint64)
+        for i in range(own.shape[-1]):
+            code = (code ^ own[..., i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            code ^= code >> np.uint64(29)
+        return code
+
+    def hit(self, own: np.ndarray) -> np.ndarray:
+        """Of (texts, bands, 1 + minima) whether each text has a bucket that is taken."""
+        code = self._codes(own)
+        at, found = np.searchsorted(self.code, code), np.zeros(code.shape, bool)
+        for more in range(self.alike):
+            i = np.minimum(at + more, max(len(self.code) - 1, 0))
+            near = (self.code[i] == code) & ~found
+            found[near] = (self.own[i[near]] == own[near]).all(-1)
+        return found.any(-1)
+
+
+def _own(signature: pa.Array, cfg: MinHashConfig) -> np.ndarray:
+    """(texts, bands, 1 + rows): the buckets of signatures, each its band and the band's minima, which are below 2^31."""
+    b, r = cfg.bands
+    low = signature.flatten().to_numpy(zero_copy_only=False).reshape(len(signature), cfg.num_perm)[:, : b * r].reshape(-1, b, r)
+    return np.concatenate([np.broadcast_to(np.arange(b)[:, None], (len(low), b, 1)), low], 2).astype(np.int32)
+
+
+def _greedy(batches: Iterator[pa.RecordBatch], cfg: MinHashConfig) -> Iterator[pa.RecordBatch]:
+    """The rows (key, signature), sorted by key, that going through them keeps. Rows of one key are one text."""
+    taken: set[bytes] = set()
+    key, own, rows = None, set(), []
+
+    def decide() -> list[tuple]:
+        if not own or own & taken:
+            return []
+        taken.update(own)
+        return rows
+
+    for batch in batches:
+        out: list[tuple] = []
+        own_of = _own(batch.column(1), cfg)
+        for k, s, buckets in zip(batch.column(0).to_pylist(), batch.column(1), own_of.view(f"V{4 * own_of.shape[2]}")[..., 0].tolist()):
+            if k != key:
+                out += decide()
+                key, own, rows = k, set(), []
+            own.update(buckets)
+            rows.append((k, s))
+        schema = batch.schema
+        yield _batch(out, schema)
+    if out := decide():
+        yield _batch(out, schema)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], schema.types[0]), pa.array([s.as_py() for _, s in rows], schema.types[1])], names=schema.names)
+
+
+def _head(df: DataFrame, key: str, n: int, most: int) -> object:
+    """A key with about `most` of the n rows of df up to it, from a sample of some 10,000 keys by hash; None if there is
+    none. What lies up to it only bounds the work of one task, so the sample decides no result."""
+    every = max(1, n // 10_000)
+    sample = df.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(every)) == 0)).select(key)
+    return sample.orderBy(key).limit(max(1, most // every)).agg(F.max(key)).first()[0]
+
+
+def greedy_signed(signed: DataFrame, cfg: MinHashConfig = MinHashConfig(), key: str = "doc_id", last: int = LAST_ROWS) -> DataFrame:
+    """greedy_near_dedup of the buckets of (key, signature), which is written already.
+
+    What going through the first keys in order keeps does not depend on later ones, so one task goes through as many as
+    have `last` incidences. The buckets of those kept, `last` at most, go to the executors, and every later text that has
+    one of them is dropped where it is: nothing is shuffled, and only what is left is written. As long as that drops half
+    of the texts or more, it is done again; texts that are mostly unlike go through the rounds of greedy_near_dedup."""
+    spark, most = signed.sparkSession, max(1, last // cfg.bands[0])
+    ship(spark)
+    open_, kept, k = signed.where("signature is not null").select(key, "signature"), None, F.col(key)
+    n, mine = open_.count(), None
+    while n > most and (bound := _head(open_, key, n, most)) is not None:
+        first = open_.where(k.isNull() | (k <= F.lit(bound)))
+        if first.count() > 4 * most:  # one key has very many rows
+            break
+        first = stored(first.repartition(1).sortWithinPartitions(key).mapInArrow(lambda b: _greedy(b, cfg), open_.schema), "kept-first")
+        lows = first.select("signature").toArrow().column(0).combine_chunks()
+        taken = spark.sparkContext.broadcast(_Taken(_own(lows, cfg)))
+
+        def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = taken.value
+            for batch in batches:
+                for i in range(0, len(batch), 4096):
+                    part = batch.slice(i, 4096)
+                    yield part.filter(pa.array(~known.hit(_own(part.column(1), cfg))))
+
+        left = stored(open_.where(k > F.lit(bound)).mapInArrow(later, open_.schema), "open")
+        kept = first.select(key) if kept is None else kept.unionByName(first.select(key))
+        if mine is not None:
+            discard(mine)
+        open_ = mine = left
+        was, n = n, left.count()
+        if 2 * n > was:
+            break
+    rest = open_.coalesce(1).sortWithinPartitions(key).mapInArrow(lambda b: _greedy(b, cfg), open_.schema).select(key) if n <= most else greedy_near_dedup(buckets(open_, cfg, key), key, last)
+    return rest if kept is None else kept.unionByName(rest)
+
+
 def greedy_near_dedup(incidence: DataFrame, key: str = "doc_id", last: int = LAST_ROWS) -> DataFrame:
     """The keys that going through them in order keeps, where a key is dropped if it shares a bucket with a kept one.
 
     Rounds over the bucket incidence, no pairs: a key that is the smallest undecided one in all its buckets is kept, and
     every undecided key that shares a bucket with a kept one is dropped. Buckets are only aggregated to minima
     (map-side), so one that holds a third of all keys is harmless. Each round writes what is still undecided; when that
-    is `last` rows or fewer, one task goes through the rest in order.
+    is `last` rows or fewer, one task goes through the rest in order. A row that occurs twice changes nothing.
     """
-    open_ = stored(incidence.select(F.col(key).alias("k"), "band", "bucket").distinct(), "incidence")
+    open_ = stored(incidence.select(F.col(key).alias("k"), "band", "bucket"), "incidence")
     kept = None
     while open_.count() > last:
         lead = open_.groupBy("band", "bucket").agg(F.min("k").alias("lead"))
@@ -169,7 +285,11 @@ def greedy_near_dedup(incidence: DataFrame, key: str = "doc_id", last: int = LAS
 
 def near_dedup(df: DataFrame, cfg: MinHashConfig = MinHashConfig(), text: str = "cleaned_text", key: str = "doc_id") -> DataFrame:
     """The records that greedy near-duplicate removal keeps, in order of key; texts without grams always stay."""
+    return df.join(near_kept(df, cfg, text, key), key, "left_semi")
+
+
+def near_kept(df: DataFrame, cfg: MinHashConfig = MinHashConfig(), text: str = "cleaned_text", key: str = "doc_id") -> DataFrame:
+    """The keys that near_dedup keeps, written: where they are few, what is joined with them need not be shuffled."""
     signed = stored(signatures(df, cfg, text, key), "signatures")
-    kept = greedy_near_dedup(buckets(signed, cfg, key), key)
-    bare = signed.where("signature is null").select(key)
-    return df.join(kept.unionByName(bare).distinct(), key, "left_semi")
+    kept = greedy_signed(signed, cfg, key)
+    return stored(kept.unionByName(signed.where("signature is null").select(key)), "kept-keys")
