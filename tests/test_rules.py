@@ -320,3 +320,18 @@ def test_stage1_writes_texts_once(spark, tmp_path, monkeypatch):
     assert wide == {"filtered": 60, "left": 1} and not {"text", "cleaned_text"} <= set(rows["filtered"][1])
     plain = {r.doc_id: r.drop_reason for r in pipeline.decide(docs, pipeline.Config(minhash=None)).select("doc_id", "drop_reason").collect()}
     assert sum(v == "md5_duplicate" for v in plain.values()) == 57 and all(plain[i] != "md5_duplicate" for i in range(3))
+
+
+def test_all_stages_write_only_kept_texts_again(spark, monkeypatch):
+    """The records that stage 1 keeps are those it decides to keep, and the later stages write no other text."""
+    said = "".join(chr(0x4E00 + i * 7 % 9000) for i in range(3000))
+    docs = spark.createDataFrame([(i, said[i % 3 :] + " " * (i % 2)) for i in range(60)], "doc_id long, text string")
+    wide = {}
+    put = _store.stored
+    for module in (pipeline, dedup, scoring):
+        monkeypatch.setattr(module, "stored", lambda df, name: (out := put(df, name), "text" in df.columns and wide.setdefault(name, out.count()))[0])
+    out = pipeline.run(docs, generators.template(F.col("original_text")), generators.template(F.lit("问题：什么是惯性？答案：物体的性质。")))
+    kept = out["kept"].collect()
+    assert {"doc_id", "text", "cleaned_text", "md5", "has_academic_features", "text_type", "perplexity"} == set(out["kept"].columns)
+    assert [(r.doc_id, r.text, r.cleaned_text, r.md5) for r in kept] == [(0, said, said, hashlib.md5(said.encode()).hexdigest())]
+    assert wide == {"filtered": 60, "left": 1, "kept": 1}
